@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NUMBER = r"[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?"
+LARGEST_DOUBLE = 1.7976931348623157e308
 
 
 def decimal_comma(text: Column) -> Column:
@@ -17,12 +18,12 @@ def leading_number(text: Column) -> Column:
     """The number a text starts with, 0.0 when it starts with none.
 
     The lenient reading a weakly typed column gives: ``1.200.50`` is 1.2 and
-    ``abc`` is 0.0. NULL stays NULL.
+    ``abc`` is 0.0. NULL stays NULL. Clean numbers skip the pattern.
     """
-    head = F.regexp_extract(text, rf"^\s*({NUMBER})", 1)
-    return F.when(text.isNull(), F.lit(None).cast("double")).otherwise(
-        F.coalesce(head.try_cast("double"), F.lit(0.0))
-    )
+    whole = text.try_cast("double")
+    finite = F.when(F.abs(whole) <= LARGEST_DOUBLE, whole)
+    head = F.regexp_extract(text, rf"^\s*({NUMBER})", 1).try_cast("double")
+    return F.coalesce(finite, head, F.when(text.isNotNull(), 0.0))
 
 
 def parse_power(text: Column) -> Column:
@@ -48,6 +49,15 @@ def first_filled(*candidates: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates])
 
 
+def json_columns(text: str, schema: str) -> Column:
+    """The fields of a JSON text as columns of a ``select``.
+
+    As a generator it is evaluated once per row: a later filter on one of the
+    fields does not drag a second parse below it.
+    """
+    return F.inline(F.array(F.from_json(text, schema)))
+
+
 def row_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
     """SHA-256 over the row as JSON with its keys in alphabetical order.
 

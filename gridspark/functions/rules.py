@@ -119,25 +119,28 @@ def classify(df: DataFrame, *keep: str) -> DataFrame:
         real = found[name]
         return F.col(f"`{real}`") if real else F.lit(None).cast("string")
 
+    parsed = df.select(
+        *keep,
+        field("uf").alias("uf"),
+        field("municipio").alias("municipio"),
+        field("cod_ibge").alias("cod_ibge"),
+        field("distribuidora").alias("distribuidora"),
+        field("fonte").alias("fonte_bruta"),
+        source_code(field("fonte")).alias("fonte_norm"),
+        parse_power(field("potencia_kw").cast("string")).alias("potencia_kw"),
+        field("data_conexao").alias("data_conexao"),
+        field("modalidade").alias("modalidade_bruta"),
+        modality_code(field("modalidade")).alias("modalidade_norm"),
+        field("classe_consumo").alias("classe_consumo"),
+    )
     power = F.col("potencia_kw")
-    return (
-        df.select(
-            *keep,
-            field("uf").alias("uf"),
-            field("municipio").alias("municipio"),
-            field("cod_ibge").alias("cod_ibge"),
-            field("distribuidora").alias("distribuidora"),
-            field("fonte").alias("fonte_bruta"),
-            source_code(field("fonte")).alias("fonte_norm"),
-            parse_power(field("potencia_kw").cast("string")).alias("potencia_kw"),
-            field("data_conexao").alias("data_conexao"),
-            field("modalidade").alias("modalidade_bruta"),
-            modality_code(field("modalidade")).alias("modalidade_norm"),
-            field("classe_consumo").alias("classe_consumo"),
-        )
-        .withColumn("faixa_regulatoria", regulatory_band(power, F.col("fonte_norm")))
-        .withColumn("faixa_potencia", power_band(power))
-        .withColumn("is_outlier", outlier_flag(power, F.col("faixa_regulatoria")))
+    band = regulatory_band(power, F.col("fonte_norm"))
+    return parsed.withColumns(
+        {
+            "faixa_regulatoria": band,
+            "faixa_potencia": power_band(power),
+            "is_outlier": outlier_flag(power, band),
+        }
     )
 
 

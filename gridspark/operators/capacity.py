@@ -194,15 +194,18 @@ def _audited_cells(classified: DataFrame) -> DataFrame:
     """Units and exact kW per (UF, source code), outliers left out.
 
     Decimals make the sum independent of the order rows arrive in, which keeps
-    the third decimal of the MW totals stable between runs.
+    the third decimal of the MW totals stable between runs. The outlier test
+    sits in the aggregates, so its rules are evaluated once per row and not
+    again in a filter pushed below them.
     """
+    counted = F.col("is_outlier") == 0
     return (
-        classified.filter(F.col("is_outlier") == 0)
-        .groupBy("uf", "fonte_norm")
+        classified.groupBy("uf", "fonte_norm")
         .agg(
-            F.count("*").alias("qtd"),
-            F.sum(F.col("potencia_kw").cast(_MW_EXACT)).alias("kw"),
+            F.count(F.when(counted, 1)).alias("qtd"),
+            F.sum(F.when(counted, F.col("potencia_kw").cast(_MW_EXACT))).alias("kw"),
         )
+        .filter(F.col("qtd") > 0)
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark import schemas
-from gridspark.functions.parsing import first_filled, first_truthy
+from gridspark.functions.parsing import first_filled, first_truthy, json_columns
 
 PAGE_LIMIT = 1000
 MAX_DAYS = 90
@@ -18,26 +18,21 @@ def _number(name: str) -> Column:
     return F.col(name).try_cast("double")
 
 
-def reference_time(prefix: str = "") -> Column:
+def reference_time() -> Column:
     """Reference time of a load record: UTC field first, then the local ones."""
     names = ["din_referenciautc", "din_referencia", "dat_referencia"]
-    text = first_filled(*[F.col(prefix + n) for n in names])
+    text = first_filled(*[F.col(n) for n in names])
     return text.try_cast("timestamp_ntz")
 
 
 def load_points(load: DataFrame) -> DataFrame:
     """Stored load rows with the JSON parsed once: time and value."""
-    parsed = load.withColumn("doc", F.from_json("data_json", schemas.LOAD_RECORD))
-    value = first_truthy(
-        _number("doc.val_cargaglobal"), _number("doc.valor"), _number("doc.val_carga")
-    )
-    return parsed.select(
-        "id",
-        "tipo",
-        "area",
-        "created_at",
-        reference_time("doc.").alias("ts"),
-        _number("doc.val_cargaglobal").alias("carga_global"),
+    keys = ["id", "tipo", "area", "created_at"]
+    value = first_truthy(_number("val_cargaglobal"), _number("valor"), _number("val_carga"))
+    return load.select(*keys, json_columns("data_json", schemas.LOAD_RECORD)).select(
+        *keys,
+        reference_time().alias("ts"),
+        _number("val_cargaglobal").alias("carga_global"),
         value.alias("val"),
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark import schemas
-from gridspark.functions.parsing import first_filled, first_truthy
+from gridspark.functions.parsing import first_filled, first_truthy, json_columns
 from gridspark.operators.rowsets import keep_first
 
 # Device names of the two payload kinds.
@@ -21,29 +21,31 @@ IDENTITY = ["cliente_id", "ts", "geracao_kw", "consumo_kw", "dispositivo"]
 
 def adapt_generic(payloads: DataFrame, body: str = "value") -> DataFrame:
     """JSON payloads of the open format; alternative field names are accepted."""
-    doc = F.from_json(body, schemas.MEASUREMENT_JSON)
-    zero = F.lit(0.0)
-    return payloads.select(doc.alias("d")).select(
-        F.col("d.cliente_id").alias("cliente_id"),
-        first_filled(F.col("d.timestamp"), F.col("d.data_hora")).try_cast("timestamp_ntz").alias("ts"),
-        F.coalesce(first_truthy(F.col("d.geracao_kw"), F.col("d.power_kw")), zero).alias("geracao_kw"),
-        F.coalesce(first_truthy(F.col("d.consumo_kw"), F.col("d.load_kw")), zero).alias("consumo_kw"),
-        F.col("d.bateria_soc").alias("bateria_soc"),
-        F.col("d.bateria_potencia_kw").alias("bateria_potencia_kw"),
-        F.coalesce("d.dispositivo", F.lit(DEFAULT_DEVICE)).alias("dispositivo"),
-        F.col("d.extra").alias("extra_json"),
+    def either(one: str, other: str) -> Column:
+        return F.coalesce(first_truthy(F.col(one), F.col(other)), F.lit(0.0)).alias(one)
+
+    time = first_filled(F.col("timestamp"), F.col("data_hora"))
+    return payloads.select(json_columns(body, schemas.MEASUREMENT_JSON)).select(
+        "cliente_id",
+        time.try_cast("timestamp_ntz").alias("ts"),
+        either("geracao_kw", "power_kw"),
+        either("consumo_kw", "load_kw"),
+        "bateria_soc",
+        "bateria_potencia_kw",
+        F.coalesce("dispositivo", F.lit(DEFAULT_DEVICE)).alias("dispositivo"),
+        F.col("extra").alias("extra_json"),
     )
 
 
 def adapt_vendor(payloads: DataFrame, body: str = "value") -> DataFrame:
     """JSON payloads of the inverter vendor; the payload itself is kept."""
-    doc = F.from_json(body, schemas.VENDOR_JSON)
     none = F.lit(None).cast("double")
-    return payloads.select(doc.alias("d"), F.col(body).alias("extra_json")).select(
-        F.col("d.station_id").alias("cliente_id"),
-        F.col("d.time").try_cast("timestamp_ntz").alias("ts"),
-        F.coalesce("d.power", F.lit(0.0)).alias("geracao_kw"),
-        F.coalesce("d.load_power", F.lit(0.0)).alias("consumo_kw"),
+    fields = json_columns(body, schemas.VENDOR_JSON)
+    return payloads.select(F.col(body).alias("extra_json"), fields).select(
+        F.col("station_id").alias("cliente_id"),
+        F.col("time").try_cast("timestamp_ntz").alias("ts"),
+        F.coalesce("power", F.lit(0.0)).alias("geracao_kw"),
+        F.coalesce("load_power", F.lit(0.0)).alias("consumo_kw"),
         none.alias("bateria_soc"),
         none.alias("bateria_potencia_kw"),
         F.lit(VENDOR_DEVICE).alias("dispositivo"),

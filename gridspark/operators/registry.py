@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridspark import schemas
 from gridspark.functions import rules
-from gridspark.functions.parsing import decimal_comma, leading_number
+from gridspark.functions.parsing import decimal_comma, json_columns, leading_number
 from gridspark.operators.rowsets import new_rows
 
 # Labels and limits of the lean fact table.
@@ -31,24 +31,24 @@ def _lean_band(kw: Column) -> Column:
 
 
 def _lean_columns() -> list[Column]:
-    power = leading_number(decimal_comma(F.coalesce(F.col("doc.MdaPotenciaInstaladaKW"), F.lit("0"))))
+    power = F.col("potencia_instalada_kw")
     return [
         F.col("row_id").alias("id"),
-        F.col("doc.CodEmpreendimento").alias("cod_empreendimento"),
-        F.col("doc.SigUF").alias("siguf"),
-        F.lower("doc.DscFonteGeracao").alias("dscfontegeracao"),
-        power.alias("potencia_instalada_kw"),
-        F.lower("doc.SigModalidadeEmpreendimento").alias("modalidade"),
+        F.col("CodEmpreendimento").alias("cod_empreendimento"),
+        F.col("SigUF").alias("siguf"),
+        F.lower("DscFonteGeracao").alias("dscfontegeracao"),
+        power,
+        F.lower("SigModalidadeEmpreendimento").alias("modalidade"),
         _lean_band(power).alias("faixa_regulatoria"),
         F.col("hash"),
     ]
 
 
 def _detail_columns() -> list[Column]:
-    receivers = F.coalesce(F.col("doc.QtdUcRecebeCredito").try_cast("int"), F.lit(0))
+    receivers = F.coalesce(F.col("QtdUcRecebeCredito").try_cast("int"), F.lit(0))
     return [
         *[
-            F.coalesce(F.col(f"doc.{source}"), F.lit("")).alias(name)
+            F.coalesce(F.col(source), F.lit("")).alias(name)
             for name, source in DETAIL_FIELDS.items()
         ],
         receivers.alias("qtd_uc_recebe_credito"),
@@ -56,7 +56,12 @@ def _detail_columns() -> list[Column]:
 
 
 def _parsed(raw: DataFrame, *schema: str) -> DataFrame:
-    return raw.withColumn("doc", F.from_json("raw_json", ", ".join(schema)))
+    return raw.select("row_id", "hash", json_columns("raw_json", ", ".join(schema)))
+
+
+def _with_power(parsed: DataFrame) -> DataFrame:
+    text = F.coalesce("MdaPotenciaInstaladaKW", F.lit("0"))
+    return parsed.withColumn("potencia_instalada_kw", leading_number(decimal_comma(text)))
 
 
 def lean_fact(raw: DataFrame) -> DataFrame:
@@ -65,13 +70,13 @@ def lean_fact(raw: DataFrame) -> DataFrame:
     Missing power counts as 0 and therefore as micro generation. The landing
     row id becomes the fact id.
     """
-    return _parsed(raw, schemas.REGISTRY_JSON).select(*_lean_columns())
+    return _with_power(_parsed(raw, schemas.REGISTRY_JSON)).select(*_lean_columns())
 
 
 def wide_fact(raw: DataFrame) -> DataFrame:
     """Lean and descriptive columns together, for a fact built in one go."""
     parsed = _parsed(raw, schemas.REGISTRY_JSON, schemas.REGISTRY_DETAIL_JSON)
-    return parsed.select(*_lean_columns(), *_detail_columns())
+    return _with_power(parsed).select(*_lean_columns(), *_detail_columns())
 
 
 def valid_only(fact: DataFrame) -> DataFrame:
@@ -135,5 +140,4 @@ def enrich(fact: DataFrame, raw: DataFrame) -> DataFrame:
 def classified_fact(raw: DataFrame) -> DataFrame:
     """Landing rows with every business rule applied in one projection."""
     parsed = _parsed(raw, schemas.REGISTRY_JSON, schemas.REGISTRY_DETAIL_JSON)
-    flat = parsed.select(F.col("row_id").alias("id"), "hash", "doc.*")
-    return rules.classify(flat, "id", "hash")
+    return rules.classify(parsed.withColumnRenamed("row_id", "id"), "id", "hash")
