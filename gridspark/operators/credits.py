@@ -80,13 +80,18 @@ def available(credits: DataFrame, as_of: str, client: int | None = None) -> Data
 
 
 def credit_surplus(credits: DataFrame, fresh: DataFrame, as_of: str) -> DataFrame:
-    """The credit table after crediting the surplus of fresh measurements.
+    """The credit table after crediting the surplus of fresh measurements."""
+    return apply_surplus(credits, surplus_by_client(fresh), as_of)
+
+
+def apply_surplus(credits: DataFrame, surplus: DataFrame, as_of: str) -> DataFrame:
+    """The credit table after crediting a sum per client (cliente_id, excedente_kwh).
 
     A client's surplus goes to the live credit that expires first, or opens a
-    new one. Surplus is summed per client before anything is joined.
+    new one.
     """
     targets = earliest_live(credits, as_of).select("cliente_id", F.col("id").alias("credito_id"))
-    earned = surplus_by_client(fresh).join(targets, "cliente_id", "left")
+    earned = surplus.join(targets, "cliente_id", "left")
     additions = earned.filter(F.col("credito_id").isNotNull()).select(
         F.col("credito_id").alias("id"), "excedente_kwh"
     )
