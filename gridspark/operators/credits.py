@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridspark.operators.measurements import surplus_by_client
 from gridspark.operators.rowsets import dense_ids, keep_first, keep_last
+from gridspark.session import materialise
 
 # Credit terms.
 LIFETIME_DAYS = 1825
@@ -88,10 +89,11 @@ def apply_surplus(credits: DataFrame, surplus: DataFrame, as_of: str) -> DataFra
     """The credit table after crediting a sum per client (cliente_id, excedente_kwh).
 
     A client's surplus goes to the live credit that expires first, or opens a
-    new one.
+    new one. The sums are written to the scratch area first (eager): they serve
+    both cases, and the measurements behind them are read once.
     """
     targets = earliest_live(credits, as_of).select("cliente_id", F.col("id").alias("credito_id"))
-    earned = surplus.join(targets, "cliente_id", "left")
+    earned = materialise(surplus.join(targets, "cliente_id", "left"), "surplus")
     additions = earned.filter(F.col("credito_id").isNotNull()).select(
         F.col("credito_id").alias("id"), "excedente_kwh"
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,31 +95,35 @@ def mix_now(dispatch: DataFrame, subsystem: str = WHOLE_GRID) -> DataFrame:
     generation stays outside the mix. No rows for an unknown subsystem.
     """
     columns = ["val_demanda", *SOURCE_COLUMNS.values()]
-    top = (
+    levels = (
         latest_day(_of_subsystem(dispatch, subsystem))
         .groupBy(DAY, LEVEL)
         .agg(*[F.sum(c).alias(c) for c in columns])
-        .orderBy(F.desc(LEVEL))
-        .limit(1)
     )
 
     def value(column: str) -> Column:
         return F.coalesce(F.col(column), F.lit(0.0))
 
-    mix = top.select(
-        F.lit(subsystem.upper()).alias("subsistema"),
-        DAY,
-        LEVEL,
-        F.col("val_demanda").alias("demanda_mw"),
-        (value("val_ger_hidraulica") + value("val_ger_pch")).alias("hidraulica_mw"),
-        (value("val_ger_termica") + value("val_ger_pct")).alias("termica_mw"),
-        value("val_ger_eolica").alias("eolica_mw"),
-        value("val_ger_fotovoltaica").alias("solar_mw"),
-        value("val_ger_mmgd").alias("mmgd_mw"),
+    parts = {
+        "hidraulica": value("val_ger_hidraulica") + value("val_ger_pch"),
+        "termica": value("val_ger_termica") + value("val_ger_pct"),
+        "eolica": value("val_ger_eolica"),
+        "solar": value("val_ger_fotovoltaica"),
+    }
+    whole = reduce(Column.__add__, parts.values())
+    return (
+        levels.select(
+            F.lit(subsystem.upper()).alias("subsistema"),
+            DAY,
+            LEVEL,
+            F.col("val_demanda").alias("demanda_mw"),
+            *[part.alias(f"{name}_mw") for name, part in parts.items()],
+            value("val_ger_mmgd").alias("mmgd_mw"),
+            *[_share(part, whole).alias(f"{name}_pct") for name, part in parts.items()],
+        )
+        .orderBy(F.desc(LEVEL))
+        .limit(1)
     )
-    kinds = ["hidraulica", "termica", "eolica", "solar"]
-    whole = sum((F.col(f"{k}_mw") for k in kinds[1:]), F.col(f"{kinds[0]}_mw"))
-    return mix.withColumns({f"{k}_pct": _share(F.col(f"{k}_mw"), whole) for k in kinds})
 
 
 def demand_history(

@@ -21,6 +21,7 @@ STALE_CRITICAL_DAYS = 30
 COMPLETE_WARNING_PCT = 95
 COMPLETE_CRITICAL_PCT = 50
 RECENT_POINTS = 500
+GROUP_LIMIT_ROWS = 1000
 OFFICIAL_FIELDS = [
     "distribuidora",
     "cod_empreendimento",
@@ -45,8 +46,11 @@ def _severity(critical: Column) -> Column:
 def recent_points(points: DataFrame, per_area: int = RECENT_POINTS) -> DataFrame:
     """The newest stored points of each area: how far back a routine check looks.
 
-    Runs as a group limit in every task before the shuffle.
+    Runs as a group limit in every task before the shuffle. Spark does that for
+    at most 1000 rows a group; to look further back, check the whole history.
     """
+    if per_area > GROUP_LIMIT_ROWS:
+        raise ValueError(f"at most {GROUP_LIMIT_ROWS} recent points; or use all of them")
     newest = Window.partitionBy("area").orderBy(F.desc("created_at"), F.desc("id"))
     return (
         points.withColumn("__rank", F.row_number().over(newest))

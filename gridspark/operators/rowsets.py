@@ -71,7 +71,7 @@ def dense_ids(
     of rows in the ranges before, so no task ever sees the whole table. Same
     input, same ids, whatever the partitioning.
     """
-    bucket = F.floor(F.col(key) / chunk)
+    bucket = F.expr(f"`{key}` div {chunk}")
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         df.select(bucket.alias("__range"))

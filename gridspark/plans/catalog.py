@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridspark import session
 from gridspark.functions import rules
 from gridspark.functions.parsing import row_hash
 from gridspark.operators import (
@@ -90,11 +91,11 @@ def registry_dedup_last(spark, sf_dir):
 
 
 def _interrupted(spark, sf_dir):
-    """A landing table and the fact an earlier run left half way through it."""
+    """A landing table and the fact table an earlier run wrote half way through it."""
     raw = inputs.raw(spark, sf_dir)
     last = inputs.table(spark, sf_dir, "orders").agg(F.max("o_orderkey") / 2).scalar()
     done = registry.lean_fact(raw.filter(F.col("row_id") <= last))
-    return raw, rowsets.keep_first(done, "hash", ["id"])
+    return raw, session.materialise(rowsets.keep_first(done, "hash", ["id"]), "fact")
 
 
 @query
