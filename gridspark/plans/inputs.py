@@ -8,9 +8,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridspark.session import spread
+
+
+# Columns used from the test tables; a given schema saves opening a file to learn it.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "events"), "event_id")
 
 
 def _pick(key: Column, modulus: int, *values) -> Column:
@@ -27,6 +47,7 @@ def _text(value: Column) -> Column:
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry landing table; repeated hashes, missing power and empty UFs included."""
     orders, customer, nation = (table(spark, sf_dir, n) for n in ["orders", "customer", "nation"])
+    orders = spread(orders, "o_orderkey")
     key = F.col("o_orderkey")
     scale = _pick(key, 5, 100000.0, 10000.0, 1000.0, 100.0, 5.0)
     cents = F.lpad(_text(key % 100), 2, "0")
@@ -118,7 +139,7 @@ def load(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(_second(F.col("ts"))).alias("din_referenciautc"),
         F.floor(F.col("value") * 10).alias("val_cargaglobal"),
     )
-    return table(spark, sf_dir, "events").select(
+    return events(spark, sf_dir).select(
         F.col("event_id").alias("id"),
         F.lit("verificada").alias("tipo"),
         _area().alias("area"),
@@ -167,13 +188,13 @@ def dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def iot(spark: SparkSession, sf_dir: str, repeated: bool = False) -> DataFrame:
     """Device measurements; ``repeated`` sends every twentieth of them twice."""
-    events = table(spark, sf_dir, "events")
+    rows = table(spark, sf_dir, "events")
     key = F.col("event_id")
     if repeated:
         times = F.when(key % 20 == 3, 2).otherwise(1)
-        events = events.withColumn("copy", F.explode(F.sequence(F.lit(1), times)))
+        rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), times)))
     level = F.replace(F.replace("props", F.lit('{"k": ')), F.lit("}"))
-    return events.select(
+    return rows.select(
         F.col("user_id").alias("cliente_id"),
         "ts",
         F.col("value").alias("geracao_kw"),
@@ -197,7 +218,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 3 == 0, F.lit(2.5)).alias("load_kw"),
         F.when(key % 4 != 0, F.col("event_type")).alias("dispositivo"),
     )
-    return table(spark, sf_dir, "events").select(F.to_json(body).alias("value"))
+    return events(spark, sf_dir).select(F.to_json(body).alias("value"))
 
 
 def vendor_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +229,7 @@ def vendor_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("power"),
         F.when(F.col("event_id") % 2 == 0, 1.5).alias("load_power"),
     )
-    return table(spark, sf_dir, "events").select(F.to_json(body).alias("value"))
+    return events(spark, sf_dir).select(F.to_json(body).alias("value"))
 
 
 def credits(spark: SparkSession, sf_dir: str) -> DataFrame:

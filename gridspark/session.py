@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording a Python call site for every Column costs more than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -62,3 +64,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give an input that arrives in too few tasks to every core.
+
+    A file of a single row group is read by one task however large the cluster;
+    costly per-row work on it is worth a shuffle by ``key``. Inputs with enough
+    splits pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
