@@ -59,10 +59,17 @@ def _prepared(requests: DataFrame) -> DataFrame:
 
 
 def _folded(requests: DataFrame, credits: DataFrame, order: list[str]) -> DataFrame:
-    """Settlement of credits with at most ``FOLD_LIMIT`` requests."""
+    """Settlement of credits with at most ``FOLD_LIMIT`` requests.
+
+    Where all requests together fit the balance their order does not matter and
+    the fold is skipped.
+    """
     rest = [c for c in requests.columns if c not in (*order, "credito_id")]
     listed = requests.groupBy("credito_id").agg(
-        F.array_sort(F.collect_list(F.struct(*order, *rest))).alias("reqs")
+        F.array_sort(F.collect_list(F.struct(*order, *rest))).alias("reqs"),
+        F.sum("q").alias("asked"),
+        F.min("q").alias("least"),
+        F.count("q").alias("valid"),
     )
     opening = credits.select(F.col("id").alias("credito_id"), F.col("saldo_kwh").cast(BALANCE).alias("saldo"))
     start = F.struct(
@@ -77,9 +84,15 @@ def _folded(requests: DataFrame, credits: DataFrame, order: list[str]) -> DataFr
             F.concat(acc["flags"], F.array(fits)).alias("flags"),
         )
 
+    all_fit = (
+        (F.col("least") >= 0) & (F.col("valid") == F.size("reqs")) & (F.col("asked") <= F.col("saldo"))
+    )
+    every = F.array_repeat(F.lit(True), F.size("reqs"))
     return (
         listed.join(opening, "credito_id", "left")
-        .withColumn("flags", F.aggregate("reqs", start, step)["flags"])
+        .withColumn(
+            "flags", F.when(all_fit, every).otherwise(F.aggregate("reqs", start, step)["flags"])
+        )
         .select("credito_id", "saldo", F.explode(F.arrays_zip("reqs", "flags")).alias("x"))
         .select("credito_id", "saldo", "x.reqs.*", F.col("x.flags").alias("aceita"))
     )
