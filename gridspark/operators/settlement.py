@@ -104,6 +104,8 @@ def _round(placed: DataFrame, state: DataFrame, credits_open: int) -> DataFrame:
         placed.select("credito_id", "chunk", "pos", "q")
         .join(_bounded_broadcast(state, credits_open), "credito_id")
         .filter(F.col("pos") > F.col("after"))
+        # beyond the round's range: neither fits nor changes anything
+        .filter((F.col("start") < 0) | (F.col("q") <= F.col("start") * 2))
         .withColumn("used", F.when(_certain(), F.col("q")).otherwise(F.lit(0).cast(QUANTITY)))
     )
     earlier = Window.partitionBy("credito_id").orderBy("chunk").rowsBetween(
