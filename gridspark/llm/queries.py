@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import exact_dedup, mixing, packing, token_files, url_filters, warc
+from gridspark.llm import chat, exact_dedup, mixing, packing, quality, token_files, url_filters, warc
 from gridspark.session import scratch_path
 
 PACK_END, FILE_END = 1, 2
@@ -68,10 +68,23 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.evaluate(url_captures(pages), url_entries(pages))
 
 
+def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], SCHEMAS["conversations"]
+    )
+    return chat.read_back(chat.windows(table(spark, sf_dir, "conversations").unionByName(planted)))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -109,7 +122,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_chat_windows": op2_chat_windows,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op7_token_planes": op7_token_planes,
     "op8_source_mix": op8_source_mix,

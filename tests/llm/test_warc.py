@@ -23,7 +23,7 @@ PAGES = [
     (11, "http://a.example/11", "é" * 500),
     (12, "http://a.example/12", "é" * 500),
     (None, "http://a.example/13", BIG),
-    (14, "http://a.example/14", "long " * 40_000),
+    (14, "http://a.example/14", "long " * 4_000),
 ]
 
 
@@ -42,7 +42,7 @@ def expected(pages):
     return collections.Counter(out)
 
 
-@pytest.mark.parametrize("range_bytes", [100, 2_000, 8_000_000])
+@pytest.mark.parametrize("range_bytes", [500, 8_000_000])
 def test_round_trip_rejects_magic_in_payloads(spark, range_bytes):
     pages = spark.createDataFrame([(*p, "extra") for p in PAGES], "page_id bigint, url string, html string, payload string")
     folder = scratch_path(spark, "warc-test")
@@ -51,7 +51,7 @@ def test_round_trip_rejects_magic_in_payloads(spark, range_bytes):
     rows = found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
     assert collections.Counter(tuple(r) for r in rows) == expected(PAGES)
     bodies = {r.page_id: bytes(r.payload) for r in found.filter("record_type = 'response'").collect()}
-    assert bodies[2] == (FAKE * 5).encode() and bodies[14] == ("long " * 40_000).encode()
+    assert bodies[2] == (FAKE * 5).encode() and bodies[14] == ("long " * 4_000).encode()
 
 
 def test_empty_table(spark):
