@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import chat, exact_dedup, mixing, packing, quality, token_files, url_filters, warc
+from gridspark.llm import chat, exact_dedup, fingerprints, mixing, packing, quality, token_files, url_filters, warc
 from gridspark.session import scratch_path
 
 PACK_END, FILE_END = 1, 2
@@ -95,6 +95,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file(), PACK_END)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
 def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-planes")
     token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer_file(), FILE_END)
@@ -126,6 +130,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
+    "op6_fingerprints": op6_fingerprints,
     "op7_token_planes": op7_token_planes,
     "op8_source_mix": op8_source_mix,
     "op10_warc": op10_warc,
