@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import chat, exact_dedup, fingerprints, mixing, packing, quality, token_files, url_filters, warc
+from gridspark.llm import chat, exact_dedup, fingerprints, mixing, near_dedup, packing, quality, token_files, url_filters, warc
 from gridspark.session import scratch_path
 
 PACK_END, FILE_END = 1, 2
@@ -116,6 +116,10 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), folder)
@@ -133,5 +137,6 @@ QUERIES = {
     "op6_fingerprints": op6_fingerprints,
     "op7_token_planes": op7_token_planes,
     "op8_source_mix": op8_source_mix,
+    "op9_near_dedup": op9_near_dedup,
     "op10_warc": op10_warc,
 }
