@@ -39,7 +39,7 @@ BLOCK_IDS = 1 << 16
 LEVEL = 3
 BATCH_ROWS = 20_000
 MANIFEST = "file string, n_ids bigint, n_docs bigint"
-DOCUMENTS = "file string, doc_id bigint, start_in_file bigint, n_tokens bigint, ids_crc32 bigint"
+DOCUMENTS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 def to_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -187,11 +187,11 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch.column("file").to_pylist():
+            for name, before in zip(batch.column("file").to_pylist(), batch.column("ids_before").to_pylist()):
                 with shared_files.opened(f"{folder}/{name}") as stream:
                     rows = []
-                    for row in PlaneReader(stream).documents():
-                        rows.append((name, *row))
+                    for doc_id, start, n_tokens, crc in PlaneReader(stream).documents():
+                        rows.append((doc_id, before + start, n_tokens, crc))
                         if len(rows) == BATCH_ROWS:
                             yield _rows(rows)
                             rows = []
@@ -199,20 +199,12 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                         yield _rows(rows)
 
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
-    files = max(1, manifest.count())
-    found = manifest.select("file").repartition(files).mapInArrow(part, DOCUMENTS)
+    # One row per file meets in this window.
     before = F.sum("n_ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     starts = manifest.select("file", F.coalesce(before, F.lit(0)).alias("ids_before"))
-    return found.join(starts, "file").select(
-        "doc_id",
-        (F.col("ids_before") + F.col("start_in_file")).alias("start"),
-        "n_tokens",
-        "ids_crc32",
-    )
+    return starts.repartition(max(1, manifest.count())).mapInArrow(part, DOCUMENTS)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows)
-    types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-    names = ("file", "doc_id", "start_in_file", "n_tokens", "ids_crc32")
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+    names = ("doc_id", "start", "n_tokens", "ids_crc32")
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
