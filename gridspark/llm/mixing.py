@@ -155,13 +155,15 @@ def plan(docs: DataFrame, seed: int = 0, most: int = MOST_COPIES) -> DataFrame:
     closing = left_over.groupBy("key").agg(
         F.max(F.struct("size", (-F.col("place")).alias("back"), "id")).alias("closing")
     )
-    return (
+    found = (
         sources.drop("need", "docs")
         .join(cuts.drop("gap"), "key", "left")
         .join(closing, "key", "left")
         .select("*", F.col("closing.id").alias("closing_id"), (-F.col("closing.back")).alias("closing_place"))
         .drop("closing")
     )
+    # As a table its size is known: small enough it is broadcast, else a hot source is split.
+    return materialise(found, "mix-plan")
 
 
 def _edge(rows: DataFrame, part: str) -> DataFrame:
