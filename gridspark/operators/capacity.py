@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PAGE_LIMIT = 5000
-TOP_LIMIT = 1000
+from gridspark.operators.rowsets import first_rows
+
 _MW_EXACT = "decimal(18,6)"
 
 
@@ -313,21 +313,17 @@ def units_page(
     fact: DataFrame,
     uf: str | None = None,
     source_like: str | None = None,
-    limit: int = 100,
+    limit: int | None = 100,
     offset: int = 0,
 ) -> DataFrame:
-    """Units by id, optionally of one UF or with a source text; at most 5000 a page."""
+    """Units by id, optionally of one UF or with a source text; all of them without a limit."""
     rows = fact
     if uf:
         rows = rows.filter(F.col("siguf") == uf.upper())
     if source_like:
         rows = rows.filter(F.col("dscfontegeracao").ilike(f"%{source_like}%"))
-    return (
-        rows.orderBy("id")
-        .offset(offset)
-        .limit(min(limit, PAGE_LIMIT))
-        .select("id", "cod_empreendimento", "siguf", "dscfontegeracao", "potencia_instalada_kw")
-    )
+    page = first_rows(rows.orderBy("id").offset(offset), limit)
+    return page.select("id", "cod_empreendimento", "siguf", "dscfontegeracao", "potencia_instalada_kw")
 
 
 def _top_columns(df: DataFrame, kind: str) -> DataFrame:
@@ -338,10 +334,10 @@ def _top_columns(df: DataFrame, kind: str) -> DataFrame:
     return df.select(*[F.col(c).alias(n) for c, n in zip(names, ["uf", "name", "value", "fonte"])])
 
 
-def treemap_uf(df: DataFrame, uf: str, kind: str = "siga", limit: int = 100) -> DataFrame:
+def treemap_uf(df: DataFrame, uf: str, kind: str = "siga", limit: int | None = 100) -> DataFrame:
     """Largest plants (``siga``) or units (``mmgd``) of one UF."""
     rows = _top_columns(df, kind).filter(F.col("uf") == uf.upper())
-    return rows.orderBy(F.desc("value"), "name").limit(min(limit, TOP_LIMIT))
+    return first_rows(rows.orderBy(F.desc("value"), "name"), limit)
 
 
 def treemap_every_uf(df: DataFrame, kind: str = "siga", limit: int = 100) -> DataFrame:
@@ -353,5 +349,5 @@ def treemap_every_uf(df: DataFrame, kind: str = "siga", limit: int = 100) -> Dat
     order = Window.partitionBy("uf").orderBy(F.desc("value"), "name")
     rows = _top_columns(df, kind).filter(_filled("uf"))
     return rows.withColumn("rank", F.row_number().over(order)).filter(
-        F.col("rank") <= min(limit, TOP_LIMIT)
+        F.col("rank") <= limit
     )

@@ -22,8 +22,10 @@ def _day(as_of: str) -> Column:
     return F.lit(as_of).cast("date")
 
 
-def _token_id(owner: Column, as_of: str) -> Column:
-    return F.substring(F.sha2(F.concat_ws(":", owner.cast("string"), F.lit(as_of)), 256), 1, 16)
+def _token_id(kind: str, owner: Column, as_of: str) -> Column:
+    """Differs by the kind of owner, the owner, the credit's own id and the day."""
+    parts = [F.lit(kind), owner.cast("string"), F.col("id").cast("string"), F.lit(as_of)]
+    return F.substring(F.sha2(F.concat_ws(":", *parts), 256), 1, 16)
 
 
 def register_clients(people: DataFrame) -> DataFrame:
@@ -56,10 +58,10 @@ def issue_credits(
         F.lit(float(price_rs)).alias("valor_unitario_rs"),
         F.lit(price_rs * TOKEN_SHARE).alias("valor_unitario_token"),
         F.date_add(_day(as_of), LIFETIME_DAYS).alias("data_vencimento"),
-        _token_id(F.col("mmgd_fato_id"), as_of).alias("token_id"),
         F.lit(contract).cast("string").alias("token_contrato"),
     )
-    return dense_ids(drafted, "mmgd_fato_id", "id", start_id)
+    numbered = dense_ids(drafted, "mmgd_fato_id", "id", start_id)
+    return numbered.withColumn("token_id", _token_id("unidade", F.col("mmgd_fato_id"), as_of))
 
 
 def live(credits: DataFrame, as_of: str) -> DataFrame:
@@ -108,10 +110,10 @@ def apply_surplus(credits: DataFrame, surplus: DataFrame, as_of: str) -> DataFra
         F.lit(OPENING_PRICE_RS).alias("valor_unitario_rs"),
         F.lit(OPENING_PRICE_TOKEN).alias("valor_unitario_token"),
         F.date_add(_day(as_of), LIFETIME_DAYS).alias("data_vencimento"),
-        _token_id(F.col("cliente_id"), as_of).alias("token_id"),
     )
     top_id = credits.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     opened = dense_ids(drafted, "cliente_id", "__n").withColumn("id", F.col("__n") + top_id)
+    opened = opened.withColumn("token_id", _token_id("cliente", F.col("cliente_id"), as_of))
     columns = [c for c in opened.columns if c in credits.columns]
     return topped.unionByName(opened.select(columns), allowMissingColumns=True)
 

@@ -27,7 +27,6 @@ SERIES_COLUMNS = {
     "mmgd": "val_ger_mmgd",
 }
 WHOLE_GRID = "SIN"
-MAX_DAYS = 90
 
 DAY = "din_programacaodia"
 LEVEL = "num_patamar"
@@ -129,11 +128,11 @@ def mix_now(dispatch: DataFrame, subsystem: str = WHOLE_GRID) -> DataFrame:
 def demand_history(
     dispatch: DataFrame, as_of: str, subsystem: str = WHOLE_GRID, days: int = 1
 ) -> DataFrame:
-    """Σ demand per day and level of the last ``days`` (at most 90) before ``as_of``."""
-    first = F.date_sub(F.lit(as_of).cast("date"), min(days, MAX_DAYS))
+    """Σ demand per day and level of the ``days`` up to ``as_of``."""
+    last = F.lit(as_of).cast("date")
     return (
         _of_subsystem(dispatch, subsystem)
-        .filter(F.col(DAY) >= first)
+        .filter(F.col(DAY).cast("date").between(F.date_sub(last, days), last))
         .groupBy(DAY, LEVEL)
         .agg(F.sum("val_demanda").alias("demanda_mw"))
     )

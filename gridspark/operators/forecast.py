@@ -68,5 +68,9 @@ def forecast_capacity(monthly: DataFrame, months: int = 12) -> DataFrame:
     return steps.select(
         "siguf",
         F.format_string("%04d-%02d", year, F.col("m") % 12 + 1).alias("mes"),
-        F.greatest(F.lit(0.0), F.col("base") + F.col("slope") * F.col("m")).alias("potencia_kw"),
+        # A single month has no slope and no forecast.
+        F.when(
+            F.col("slope").isNotNull(),
+            F.greatest(F.lit(0.0), F.col("base") + F.col("slope") * F.col("m")),
+        ).alias("potencia_kw"),
     )

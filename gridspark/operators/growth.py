@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-LOG_LIMIT = 365
+from gridspark.operators.rowsets import first_rows
 
 
 def _dated_units(fact: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def _dated_units(fact: DataFrame) -> DataFrame:
 def snapshot(fact: DataFrame, plants: DataFrame, points: DataFrame, as_of: str) -> DataFrame:
     """One row for ``as_of``: units and plants with their kW, mean load, total rows.
 
-    Units count once connected. The three one-row aggregates are stacked and
+    Units count once connected, load up to that day. The three one-row aggregates are stacked and
     folded, so nothing is joined.
     """
     day = F.lit(as_of).cast("date")
@@ -34,7 +34,7 @@ def snapshot(fact: DataFrame, plants: DataFrame, points: DataFrame, as_of: str)
             F.count("*").alias("siga_ativos"),
             F.sum("potencia_outorgada_kw").alias("siga_potencia_kw"),
         ),
-        points.agg(
+        points.filter(F.col("ts").cast("date") <= day).agg(
             F.count("*").alias("carga_registros"), F.avg("carga_global").alias("ons_carga_media_mw")
         ),
     ]
@@ -80,6 +80,6 @@ def deltas(log: DataFrame) -> DataFrame:
     ).orderBy("data")
 
 
-def recent(log: DataFrame, limit: int = 30) -> DataFrame:
-    """Newest snapshots first, at most 365."""
-    return log.orderBy(F.desc("data")).limit(min(limit, LOG_LIMIT))
+def recent(log: DataFrame, limit: int | None = 30) -> DataFrame:
+    """Newest snapshots first."""
+    return first_rows(log.orderBy(F.desc("data")), limit)

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.operators.rowsets import first_rows
 from gridspark import schemas
 from gridspark.functions.parsing import first_filled, first_truthy, json_columns
 
-PAGE_LIMIT = 1000
-MAX_DAYS = 90
 SLOT_SECONDS = 1800
 EPOCH = "1970-01-01 00:00:00"
 
@@ -44,16 +43,12 @@ def official_points(records: DataFrame) -> DataFrame:
 
 
 def load_page(
-    load: DataFrame, area: str | None = None, limit: int = 100, offset: int = 0
+    load: DataFrame, area: str | None = None, limit: int | None = 100, offset: int = 0
 ) -> DataFrame:
-    """Newest stored load rows, optionally of one area; at most 1000 a page."""
+    """Newest stored load rows, optionally of one area; all of them without a limit."""
     rows = load.filter(F.col("area") == area.upper()) if area else load
-    return (
-        rows.orderBy(F.desc("created_at"), F.desc("id"))
-        .offset(offset)
-        .limit(min(limit, PAGE_LIMIT))
-        .select("id", "area", "tipo", "data_json")
-    )
+    newest = rows.orderBy(F.desc("created_at"), F.desc("id")).offset(offset)
+    return first_rows(newest, limit).select("id", "area", "tipo", "data_json")
 
 
 def load_series(points: DataFrame, area: str, start: str, end: str) -> DataFrame:
@@ -69,9 +64,10 @@ def load_series(points: DataFrame, area: str, start: str, end: str) -> DataFrame
 def load_daily(
     points: DataFrame, as_of: str, days: int = 30, area: str | None = None
 ) -> DataFrame:
-    """Σ load per reference date over the last ``days`` (at most 90)."""
+    """Σ load per reference date over the ``days`` up to ``as_of``."""
     day = F.col("ts").cast("date")
-    rows = points.filter(day >= F.date_sub(F.lit(as_of).cast("date"), min(days, MAX_DAYS)))
+    last = F.lit(as_of).cast("date")
+    rows = points.filter(day.between(F.date_sub(last, days), last))
     if area:
         rows = rows.filter(F.col("area") == area)
     return rows.groupBy(day.alias("dat_referencia")).agg(

@@ -68,8 +68,8 @@ def with_surplus(measurements: DataFrame, hours: float = 1.0) -> DataFrame:
 
 
 def measurement_hash() -> Column:
-    """SHA-256 over what identifies a measurement."""
-    return F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in IDENTITY]), 256)
+    """SHA-256 over what identifies a measurement; a missing value differs from any other."""
+    return F.sha2(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in IDENTITY]), 256)
 
 
 def distinct_measurements(measurements: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridspark.functions import rules
 from gridspark.functions.parsing import decimal_comma, row_hash
-from gridspark.operators.rowsets import upsert
+from gridspark.operators.rowsets import first_rows, upsert
 
 # Output column and the plant record field it comes from.
 TEXT_FIELDS = {
@@ -28,7 +28,6 @@ NUMBER_FIELDS = {
     "lat": "NumCoordNEmpreendimento",
     "lon": "NumCoordEEmpreendimento",
 }
-PAGE_LIMIT = 5000
 
 
 def _measure(text: Column) -> Column:
@@ -50,8 +49,10 @@ def normalise(records: DataFrame, *keep: str) -> DataFrame:
 
     texts = [F.coalesce(source(f), F.lit("")).alias(n) for n, f in TEXT_FIELDS.items()]
     numbers = [_measure(source(f)).alias(n) for n, f in NUMBER_FIELDS.items()]
+    # Bookkeeping columns must not tell apart two versions of a plant without a code.
+    fields = [*TEXT_FIELDS.values(), *NUMBER_FIELDS.values()]
     code = F.coalesce(source("CodCEG"), F.lit(""))
-    key = F.when(code != "", code).otherwise(row_hash(records))
+    key = F.when(code != "", code).otherwise(row_hash(records, [f for f in fields if f in have]))
     return records.select(*texts, *numbers, key.alias("hash"), *keep)
 
 
@@ -62,7 +63,7 @@ def quarantine(records: DataFrame) -> DataFrame:
         if field in records.columns:
             bad = _measure(F.col(field)).isNull()
             broken = bad if broken is None else broken | bad
-    return records.filter(broken)
+    return records.filter(F.lit(False) if broken is None else broken)
 
 
 def upsert_plants(stored: DataFrame, incoming: DataFrame, order: list[str]) -> DataFrame:
@@ -74,29 +75,26 @@ def plants_page(
     plants: DataFrame,
     kind: str | None = None,
     uf: str | None = None,
-    limit: int = 100,
+    limit: int | None = 100,
     offset: int = 0,
 ) -> DataFrame:
-    """Largest plants first, optionally of one kind or UF; at most 5000 a page."""
+    """Largest plants first, optionally of one kind or UF; all of them without a limit."""
     rows = plants
     if kind:
         rows = rows.filter(F.col("tipo_geracao") == kind.upper())
     if uf:
         rows = rows.filter(F.col("uf") == uf.upper())
-    return (
-        rows.orderBy(F.desc("potencia_outorgada_kw"), "cod_ceg")
-        .offset(offset)
-        .limit(min(limit, PAGE_LIMIT))
-    )
+    largest = rows.orderBy(F.desc("potencia_outorgada_kw"), "cod_ceg").offset(offset)
+    return first_rows(largest, limit)
 
 
-def plants_geo(plants: DataFrame, limit: int = 100) -> DataFrame:
-    """Largest plants with usable coordinates, with a map marker radius."""
+def plants_geo(plants: DataFrame, limit: int | None = None) -> DataFrame:
+    """Plants with usable coordinates, the largest with a limit, and their map marker radius."""
     placed = plants.filter((F.col("lat") != 0) & (F.col("lon") != 0))
+    if limit is not None:
+        placed = placed.orderBy(F.desc("potencia_outorgada_kw"), "cod_ceg").limit(limit)
     return (
-        placed.orderBy(F.desc("potencia_outorgada_kw"), "cod_ceg")
-        .limit(min(limit, PAGE_LIMIT))
-        .select(
+        placed.select(
             "cod_ceg",
             "nome_empreendimento",
             "uf",

@@ -18,6 +18,11 @@ def _one_per_key(df: DataFrame, keys: list[Column], order: list[Column]) -> Data
     return df.withColumn(_RANK, ranked).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def first_rows(df: DataFrame, limit: int | None) -> DataFrame:
+    """At most ``limit`` rows of an ordered table; all of them for None."""
+    return df if limit is None else df.limit(limit)
+
+
 def keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """First row per key. NULL keys never collide, so all their rows stay.
 

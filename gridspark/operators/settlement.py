@@ -36,14 +36,8 @@ KIND = "venda"
 ORDER = ["data_transacao", "seq", "tie", "tie2"]
 FOLD_LIMIT = 1000
 CHUNK_ROWS = 1_000_000
-BROADCAST_ROWS = 1_000_000
-QUANTITY = "decimal(18,6)"
-BALANCE = "decimal(28,6)"
-
-
-def _bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast two-column tables of a counted size; leave larger ones to Spark."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+QUANTITY = "decimal(28,6)"
+BALANCE = "decimal(38,6)"
 
 
 def _prepared(requests: DataFrame) -> DataFrame:
@@ -98,11 +92,11 @@ def _folded(requests: DataFrame, credits: DataFrame, order: list[str]) -> DataFr
     )
 
 
-def _round(placed: DataFrame, state: DataFrame, credits_open: int) -> DataFrame:
+def _round(placed: DataFrame, state: DataFrame) -> DataFrame:
     """One round for the credits in ``state``: where it ends and the balance there."""
     live = (
         placed.select("credito_id", "chunk", "pos", "q")
-        .join(_bounded_broadcast(state, credits_open), "credito_id")
+        .join(state, "credito_id")
         .filter(F.col("pos") > F.col("after"))
         # beyond the round's range: neither fits nor changes anything
         .filter((F.col("start") < 0) | (F.col("q") <= F.col("start") * 2))
@@ -167,8 +161,8 @@ def _in_rounds(
         "settlement-state",
     )
     history = None
-    while (still_open := state.count()) > 0:
-        step = materialise(_round(placed, state, still_open), "settlement-round")
+    while not state.isEmpty():
+        step = materialise(_round(placed, state), "settlement-round")
         history = step if history is None else history.unionByName(step)
         state = step.filter(F.col("until").isNotNull()).select(
             "credito_id", F.col("next").alias("start"), F.col("until").alias("after")
@@ -210,19 +204,25 @@ def settle(
     the requests per credit first (eager) to choose the way; a sale of an
     expired credit or of a non-positive quantity goes through but is flagged.
     """
-    wanted = _prepared(requests)
+    prepared = _prepared(requests)
+    known = credits.select(F.col("id").alias("credito_id"))
+    # Requests of no known credit are refused whatever the order: they join no fold or round.
+    refused = prepared.join(known, "credito_id", "left_anti").withColumns(
+        {"saldo": F.lit(None).cast(BALANCE), "aceita": F.lit(False)}
+    )
+    wanted = prepared.join(known, "credito_id", "left_semi")
     counts = wanted.groupBy("credito_id").agg(F.count("*").alias("n")).filter(F.col("n") > fold_limit)
     size = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     if size[0] == 0:
         decided = _folded(wanted, credits, order)
     else:
         ids = materialise(counts.select("credito_id"), "settlement-ids")
-        marked = _bounded_broadcast(ids, size[0])
         decided = _folded(
-            wanted.join(marked, "credito_id", "left_anti"), credits, order
+            wanted.join(ids, "credito_id", "left_anti"), credits, order
         ).unionByName(
-            _in_rounds(wanted.join(marked, "credito_id", "left_semi"), credits, ids, size[1], order)
+            _in_rounds(wanted.join(ids, "credito_id", "left_semi"), credits, ids, size[1], order)
         )
+    decided = decided.unionByName(refused, allowMissingColumns=True)
     reason = (
         F.when(F.col("aceita"), SOLD)
         .when(F.col("q").isNull(), INVALID)

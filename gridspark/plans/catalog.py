@@ -278,7 +278,7 @@ def plants_page(spark, sf_dir):
 
 @query
 def plants_geo(spark, sf_dir):
-    return rounded(plants.plants_geo(inputs.plants(spark, sf_dir), 5000), 6, "raio")
+    return rounded(plants.plants_geo(inputs.plants(spark, sf_dir)), 6, "raio")
 
 
 @query
@@ -330,13 +330,13 @@ def load_mix_now_subsystem(spark, sf_dir):
 
 @query
 def load_history(spark, sf_dir):
-    history = dispatch.demand_history(inputs.dispatch(spark, sf_dir), "2001-11-04", "SIN", 90)
+    history = dispatch.demand_history(inputs.dispatch(spark, sf_dir), "1998-06-30", "SIN", 120)
     return rounded(history, 2, "demanda_mw")
 
 
 @query
 def load_daily(spark, sf_dir):
-    return load.load_daily(points(spark, sf_dir), "2024-01-31", 90)
+    return load.load_daily(points(spark, sf_dir), "2024-01-20", 90)
 
 
 @query

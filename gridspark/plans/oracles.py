@@ -330,7 +330,7 @@ SELECT cod_ceg, nome_empreendimento, uf, tipo_geracao, potencia_outorgada_kw FRO
 WHERE tipo_geracao = 'UFV' ORDER BY potencia_outorgada_kw DESC, cod_ceg LIMIT 20""",
     "plants_geo": """
 SELECT *, ROUND(GREATEST(3, LEAST(14, SQRT(GREATEST(potencia_outorgada_kw, 0) / 5000))), 6) AS raio FROM fx_plants
-WHERE lat <> 0 AND lon <> 0 ORDER BY potencia_outorgada_kw DESC, cod_ceg LIMIT 5000""",
+WHERE lat <> 0 AND lon <> 0 ORDER BY potencia_outorgada_kw DESC, cod_ceg""",
     "treemap_uf_plants": """
 SELECT uf, nome_empreendimento AS name, potencia_outorgada_kw AS value, tipo_geracao AS fonte FROM fx_plants
 WHERE uf = 'NATION_3' ORDER BY value DESC, name LIMIT 100""",
@@ -362,10 +362,10 @@ SELECT dia AS data, hidraulica AS "Hidráulica", eolica AS "Eólica", solar AS "
 FROM fx_dispatch ORDER BY dia DESC, patamar DESC, sub, demanda DESC LIMIT 1""",
     "load_history": """
 SELECT dia AS din_programacaodia, patamar AS num_patamar, ROUND(SUM(demanda), 2) AS demanda_mw FROM fx_dispatch
-WHERE dia >= DATE '2001-11-04' - 90 GROUP BY 1, 2""",
+WHERE dia BETWEEN DATE '1998-06-30' - 120 AND DATE '1998-06-30' GROUP BY 1, 2""",
     "load_daily": """
 SELECT CAST(rts AS DATE) AS dat_referencia, SUM(carga) AS carga_total FROM fx_load
-WHERE CAST(rts AS DATE) >= DATE '2024-01-31' - 90 GROUP BY 1""",
+WHERE CAST(rts AS DATE) BETWEEN DATE '2024-01-20' - 90 AND DATE '2024-01-20' GROUP BY 1""",
     "load_coverage": """
 SELECT area, MIN(lo) AS inicio, MAX(hi) AS fim, CAST(SUM(n) AS BIGINT) AS registros, COUNT(*) AS pontos,
   MAX(slot) - MIN(slot) + 1 AS pontos_esperados, COUNT(*) FILTER (nxt > slot + 1) AS lacunas,
@@ -430,7 +430,7 @@ SELECT ROW_NUMBER() OVER (ORDER BY f.id) AS id, f.id AS mmgd_fato_id, o_custkey
   ROUND(f.potencia_instalada_kw * 24 * 30 * CAST(0.15 AS DOUBLE), 4) AS saldo_kwh,
   CAST(0.8 AS DOUBLE) AS valor_unitario_rs, CAST(0.2 AS DOUBLE) AS valor_unitario_token,
   CAST(DATE '2003-01-01' + INTERVAL 1825 DAY AS DATE) AS data_vencimento,
-  SUBSTR(sha256(CAST(f.id AS VARCHAR) || ':2003-01-01'), 1, 16) AS token_id
+  SUBSTR(sha256('unidade:' || f.id || ':' || ROW_NUMBER() OVER (ORDER BY f.id) || ':2003-01-01'), 1, 16) AS token_id
 FROM fact f JOIN orders ON o_orderkey + 1 = f.id""",
     "credit_settlement": """
 SELECT * EXCLUDE (n), 'venda' AS tipo, CAST(CASE WHEN quantidade_kwh <= 0 THEN 1 ELSE 0 END AS INTEGER)
@@ -448,7 +448,7 @@ SELECT DATE '2001-12-31' AS data, u.n AS mmgd_ativos, ROUND(u.kw, 2) AS mmgd_pot
   ROUND(p.kw, 2) AS siga_potencia_kw, ROUND(l.media, 2) AS ons_carga_media_mw, u.n + p.n + l.n AS total_registros
 FROM (SELECT COUNT(*) AS n, SUM(potencia_instalada_kw) AS kw FROM wide WHERE data_conexao <= '2001-12-31') u,
   (SELECT COUNT(*) AS n, SUM(potencia_outorgada_kw) AS kw FROM fx_plants) p,
-  (SELECT COUNT(*) AS n, AVG(carga) AS media FROM fx_load) l""",
+  (SELECT COUNT(*) AS n, AVG(carga) AS media FROM fx_load WHERE CAST(rts AS DATE) <= DATE '2001-12-31') l""",
     "growth_delta": """
 SELECT data, mmgd_ativos, ROUND(mmgd_potencia_kw, 2) AS mmgd_potencia_kw,
   mmgd_ativos - LAG(mmgd_ativos) OVER (ORDER BY data) AS delta_mmgd_ativos,
@@ -469,7 +469,7 @@ LEFT JOIN seasonal s ON s.area = g.area AND s.wd = ISODOW(g.data) - 1
     AS x, kw FROM monthly),
 line AS (SELECT siguf, REGR_SLOPE(kw, x) AS a, REGR_INTERCEPT(kw, x) AS b, MAX(x) AS last FROM indexed GROUP BY 1)
 SELECT siguf, printf('%04d-%02d', 1970 + (last + k) // 12, (last + k) % 12 + 1) AS mes,
-  ROUND(GREATEST(0, b + a * (last + k)), 2) AS potencia_kw
+  CASE WHEN a IS NOT NULL THEN ROUND(GREATEST(0, b + a * (last + k)), 2) END AS potencia_kw
 FROM line, (SELECT UNNEST(generate_series(1, 12)) AS k)""",
 }
 

@@ -83,8 +83,8 @@ def write_treemap(classified: DataFrame, path: str, generated_at: str) -> None:
     document.write.mode("overwrite").text(path)
 
 
-def write_geojson(plant_table: DataFrame, path: str, limit: int = 100) -> None:
-    """Largest plants with coordinates, one GeoJSON feature per line."""
+def write_geojson(plant_table: DataFrame, path: str, limit: int | None = None) -> None:
+    """Plants with coordinates, the largest with a limit, one GeoJSON feature per line."""
     rows = plants.plants_geo(plant_table, limit)
     plants.geojson_features(rows).write.mode("overwrite").text(path)
 

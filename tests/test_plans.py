@@ -42,7 +42,7 @@ def test_groups_are_limited_before_the_shuffle(spark, sf_dir, name):
     assert re.search(r"WindowGroupLimit .*Partial", plan_of(spark, sf_dir, name))
 
 
-@pytest.mark.parametrize("name", ["units_page", "plants_page", "plants_geo", "load_page", "top_ufs", "dispatch_now", "load_mix_now", "growth_log"])
+@pytest.mark.parametrize("name", ["units_page", "plants_page", "load_page", "top_ufs", "dispatch_now", "load_mix_now", "growth_log"])
 def test_pages_do_not_sort_everything(spark, sf_dir, name):
     plan = plan_of(spark, sf_dir, name)
     assert "TakeOrderedAndProject" in plan and "Exchange rangepartitioning" not in plan

@@ -53,6 +53,7 @@ def test_generation_now(spark):
 def test_demand_history_window(spark):
     df = dispatch_rows(spark, (D1, 1, "S", 1.5, 1.0), (D2, 1, "S", 2.0, 1.0), (D2, 1, "N", 3.0, 1.0))
     assert dispatch.demand_history(df, "2025-05-03", "SIN", 1).count() == 1
+    assert dispatch.demand_history(df, D1, "SIN", 5000).count() == 1
     both = dispatch.demand_history(df, "2025-05-03", "SIN", 5000).collect()
     assert sorted(r["demanda_mw"] for r in both) == [1.5, 5.0]
 
@@ -133,11 +134,25 @@ def test_forecast_grid_keeps_empty_slots(spark):
 
 def test_forecast_capacity_line(spark):
     df = spark.createDataFrame([("SP", "2025-11", 10.0), ("SP", "2025-12", 20.0), ("RJ", "2025-12", 5.0)], "siguf string, mes string, potencia_kw double")
-    rows = {(r["siguf"], r["mes"]): round(r["potencia_kw"], 6) for r in forecast.forecast_capacity(df, 2).collect()}
-    assert rows[("SP", "2026-01")] == 30.0 and rows[("SP", "2026-02")] == 40.0
-    assert rows[("RJ", "2026-01")] == 0.0
+    rows = {(r["siguf"], r["mes"]): r["potencia_kw"] for r in forecast.forecast_capacity(df, 2).collect()}
+    assert round(rows[("SP", "2026-01")], 6) == 30.0 and round(rows[("SP", "2026-02")], 6) == 40.0
+    assert rows[("RJ", "2026-01")] is None
 
 
 def test_growth_deltas(spark):
     log = spark.createDataFrame([(D1, 2, 5.0), (D2, 5, 9.0)], "data date, mmgd_ativos bigint, mmgd_potencia_kw double")
     assert [r["delta_mmgd_ativos"] for r in growth.deltas(log).collect()] == [None, 3]
+
+
+def test_no_limit_gives_all_rows(spark, sf_dir):
+    table = inputs.plants(spark, sf_dir)
+    assert plants.plants_page(table, limit=None).count() == table.count()
+    placed = table.filter("lat <> 0 AND lon <> 0").count()
+    assert plants.plants_geo(table).count() == placed
+
+
+def test_missing_measures_do_not_meet(spark):
+    rows = [(1, 5.0, None), (1, None, 5.0), (1, None, 5.0)]
+    df = spark.createDataFrame(rows, "cliente_id bigint, geracao_kw double, consumo_kw double")
+    df = df.withColumn("ts", F.lit("2025-05-01").cast("timestamp_ntz")).withColumn("dispositivo", F.lit("d"))
+    assert measurements.distinct_measurements(df).count() == 2

@@ -93,3 +93,13 @@ def test_token_value_and_flag(spark):
     assert (rows[1]["valor_token"], rows[1]["sinal_suspeito"]) == (2.0, 1)
     assert (rows[2]["valor_token"], rows[2]["sinal_suspeito"]) == (5.0, 0)
     assert {r["status"] for r in rows.values()} == {settlement.SOLD}
+
+
+def test_requests_without_a_known_credit_join_no_group(spark):
+    credits = spark.createDataFrame([(1, 5e12)], "id bigint, saldo_kwh double")
+    rows = [(k, None if k % 2 else 99, 1.0, 1.0) for k in range(50)] + [(100, 1, 2e12, 1.0)]
+    requests = spark.createDataFrame(rows, "id bigint, credito_id bigint, quantidade_kwh double, valor_rs double")
+    got = settlement.settle(credits, requests, ["id"], fold_limit=5).collect()
+    assert len(got) == 51
+    assert {r["status"] for r in got if r["id"] < 100} == {settlement.UNKNOWN_CREDIT}
+    assert [r["status"] for r in got if r["id"] == 100] == [settlement.SOLD]
