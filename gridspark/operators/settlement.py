@@ -5,13 +5,16 @@ takes nothing, so every decision depends on the ones before it. Two exact ways
 share the work:
 
 * A credit with few requests is folded: its requests, sorted, in one array.
-* A credit with many requests is settled in rounds over all its rows. While the
-  balance stays within half and twice its value R at the start of a round, every
-  request below R/2 is certain to fit; only larger ones need the running balance,
-  and the first of them that fits ends the round, as does leaving the range. A
-  round is thus one distributed running sum, and each halves the balance: a
-  credit takes about log2(balance / smallest step) rounds however many rows it
-  has. No task or group ever holds such a credit whole.
+* A credit with many requests is settled in passes over range-partitioned rows.
+  A pass first folds the next ``SLICE_ROWS`` requests exactly, so it always
+  gets on, refunds or not. From the balance R left there, while the balance
+  stays within half and twice R, every request below R/2 is certain to fit;
+  only larger ones need the running balance, and the first of them that fits
+  ends the pass, as does leaving the range. That part is one distributed
+  running sum. Without refunds each pass halves the balance; with refunds the
+  number of passes is at most requests / ``SLICE_ROWS``. A pass writes the
+  outcome of the rows it settled, and later ones read only what is left. No
+  task or group ever holds such a credit whole.
 
 Quantities are decimals with six places, so sums do not depend on their order.
 """
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.operators.credits import TOKEN_SHARE
-from gridspark.session import materialise
+from gridspark.session import materialise, scratch_path
 
 # Result names.
 SOLD = "venda_realizada"
@@ -35,7 +38,9 @@ KIND = "venda"
 
 ORDER = ["data_transacao", "seq", "tie", "tie2"]
 FOLD_LIMIT = 1000
+SLICE_ROWS = 10_000
 CHUNK_ROWS = 1_000_000
+FOLD_BLOCK = 100
 QUANTITY = "decimal(28,6)"
 BALANCE = "decimal(38,6)"
 
@@ -52,6 +57,33 @@ def _prepared(requests: DataFrame) -> DataFrame:
     )
 
 
+def _fold(requests: Column, balance: Column) -> Column:
+    """Balance after the sorted ``requests`` and a text of 1 (fits) or 0 for each.
+
+    The text grows by blocks, so that a step copies a short text only.
+    """
+
+    def state(left: Column, flags: Column) -> Column:
+        return F.struct(left.cast(BALANCE).alias("left"), flags.alias("flags"))
+
+    def step(acc: Column, req: Column) -> Column:
+        fits = F.coalesce(acc["left"] >= req["q"], F.lit(False))
+        left = F.when(fits, acc["left"] - req["q"]).otherwise(acc["left"])
+        return state(left, F.concat(acc["flags"], F.when(fits, "1").otherwise("0")))
+
+    def block(acc: Column, rows: Column) -> Column:
+        return F.aggregate(
+            rows,
+            state(acc["left"], F.lit("")),
+            step,
+            lambda own: state(own["left"], F.concat(acc["flags"], own["flags"])),
+        )
+
+    starts = F.sequence(F.lit(1), F.size(requests), F.lit(FOLD_BLOCK))
+    blocks = F.transform(starts, lambda first: F.slice(requests, first, FOLD_BLOCK))
+    return F.aggregate(blocks, state(balance, F.lit("")), block)
+
+
 def _folded(requests: DataFrame, credits: DataFrame, order: list[str]) -> DataFrame:
     """Settlement of credits with at most ``FOLD_LIMIT`` requests.
 
@@ -66,38 +98,39 @@ def _folded(requests: DataFrame, credits: DataFrame, order: list[str]) -> DataFr
         F.count("q").alias("valid"),
     )
     opening = credits.select(F.col("id").alias("credito_id"), F.col("saldo_kwh").cast(BALANCE).alias("saldo"))
-    start = F.struct(
-        F.col("saldo").alias("left"), F.array().cast("array<boolean>").alias("flags")
-    )
-
-    def step(acc: Column, req: Column) -> Column:
-        fits = F.coalesce(acc["left"] >= req["q"], F.lit(False))
-        left = F.when(fits, acc["left"] - req["q"]).otherwise(acc["left"])
-        return F.struct(
-            left.cast(BALANCE).alias("left"),
-            F.concat(acc["flags"], F.array(fits)).alias("flags"),
-        )
-
     all_fit = (
         (F.col("least") >= 0) & (F.col("valid") == F.size("reqs")) & (F.col("asked") <= F.col("saldo"))
     )
-    every = F.array_repeat(F.lit(True), F.size("reqs"))
+    every = F.array_repeat(F.lit("1"), F.size("reqs"))
+    flags = F.split(_fold(F.col("reqs"), F.col("saldo"))["flags"], "")
     return (
         listed.join(opening, "credito_id", "left")
-        .withColumn(
-            "flags", F.when(all_fit, every).otherwise(F.aggregate("reqs", start, step)["flags"])
-        )
+        .withColumn("flags", F.when(all_fit, every).otherwise(flags))
         .select("credito_id", "saldo", F.explode(F.arrays_zip("reqs", "flags")).alias("x"))
-        .select("credito_id", "saldo", "x.reqs.*", F.col("x.flags").alias("aceita"))
+        .select("credito_id", "saldo", "x.reqs.*", (F.col("x.flags") == "1").alias("aceita"))
+    )
+
+
+def _sliced(live: DataFrame, state: DataFrame, slice_rows: int) -> DataFrame:
+    """State after the exact fold of each credit's next slice."""
+    end = F.least(F.col("done") + slice_rows, F.col("last"))
+    ahead = (
+        live.join(state.select("credito_id", "done", "last"), "credito_id")
+        .filter((F.col("n") > F.col("done")) & (F.col("n") <= end))
+        .groupBy("credito_id")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "q"))).alias("reqs"))
+    )
+    folded = ahead.join(state, "credito_id").withColumn("f", _fold(F.col("reqs"), F.col("left")))
+    return folded.select(
+        "credito_id", "done", "last", "f.flags", end.alias("after"), F.col("f.left").alias("start")
     )
 
 
-def _round(placed: DataFrame, state: DataFrame) -> DataFrame:
-    """One round for the credits in ``state``: where it ends and the balance there."""
+def _round(live: DataFrame, state: DataFrame) -> DataFrame:
+    """The certain range behind each slice: where it ends and the balance there."""
     live = (
-        placed.select("credito_id", "chunk", "pos", "q")
-        .join(state, "credito_id")
-        .filter(F.col("pos") > F.col("after"))
+        live.join(state.select("credito_id", "start", "after"), "credito_id")
+        .filter(F.col("n") > F.col("after"))
         # beyond the round's range: neither fits nor changes anything
         .filter((F.col("start") < 0) | (F.col("q") <= F.col("start") * 2))
         .withColumn("used", F.when(_certain(), F.col("q")).otherwise(F.lit(0).cast(QUANTITY)))
@@ -110,7 +143,7 @@ def _round(placed: DataFrame, state: DataFrame) -> DataFrame:
         .agg(F.sum("used").alias("s"))
         .select("credito_id", "chunk", F.sum("s").over(earlier).alias("chunks_before"))
     )
-    inside = Window.partitionBy("credito_id", "chunk").orderBy("pos").rowsBetween(
+    inside = Window.partitionBy("credito_id", "chunk").orderBy("n").rowsBetween(
         Window.unboundedPreceding, -1
     )
     zero = F.lit(0).cast(BALANCE)
@@ -128,26 +161,35 @@ def _round(placed: DataFrame, state: DataFrame) -> DataFrame:
         .withColumn("left", left)
         .filter(ends)
         .groupBy("credito_id")
-        .agg(F.min(F.struct(F.col("pos").alias("until"), rest.alias("next"))).alias("e"))
+        .agg(F.min(F.struct(F.col("n").alias("until"), rest.alias("next"))).alias("e"))
     )
     return state.join(found, "credito_id", "left").select(
-        "credito_id", "start", "after", F.col("e.until").alias("until"), F.col("e.next").alias("next")
+        state["*"], F.col("e.until").alias("until"), F.col("e.next").alias("next")
     )
 
 
 def _certain() -> Column:
-    """Requests sure to fit while the round's balance range holds."""
+    """Requests sure to fit while the balance range of the pass holds."""
     q, start = F.col("q"), F.col("start")
     return F.coalesce((start >= 0) & ((q * 2 < start) | (q <= 0)), F.lit(False))
 
 
-def _in_rounds(
-    requests: DataFrame, credits: DataFrame, ids: DataFrame, rows: int, order: list[str]
-) -> DataFrame:
-    """Settlement of credits with many requests, over range-partitioned rows (eager)."""
-    spark = requests.sparkSession
-    width = max(spark.sparkContext.defaultParallelism, math.ceil(rows / CHUNK_ROWS))
-    # Position in the global order: the row's place in its range partition.
+def _outcomes(live: DataFrame, passed: DataFrame) -> DataFrame:
+    """Outcome of the requests that a pass settled."""
+    settled = live.join(passed, "credito_id").filter(
+        (F.col("n") > F.col("done")) & (F.col("n") <= F.coalesce("until", "last"))
+    )
+    in_slice = F.substring("flags", (F.col("n") - F.col("done")).cast("int"), F.lit(1)) == "1"
+    in_range = F.coalesce(_certain() | (F.col("n") == F.col("until")), F.lit(False))
+    return settled.select(
+        "credito_id", "n", F.when(F.col("n") <= F.col("after"), in_slice).otherwise(in_range).alias("aceita")
+    )
+
+
+def _numbered(requests: DataFrame, rows: int, order: list[str]) -> DataFrame:
+    """Requests with their place ``n`` (from 1) among those of their credit (eager)."""
+    cores = requests.sparkSession.sparkContext.defaultParallelism
+    width = max(cores, math.ceil(rows / CHUNK_ROWS))
     placed = materialise(
         requests.repartitionByRange(width, "credito_id", *order)
         .sortWithinPartitions("credito_id", *order)
@@ -155,39 +197,53 @@ def _in_rounds(
         .withColumn("chunk", F.shiftright("pos", 33)),
         "settlement-rows",
     )
-    opening = credits.select(F.col("id").alias("credito_id"), F.col("saldo_kwh").cast(BALANCE).alias("start"))
-    state = materialise(
-        ids.join(opening, "credito_id").withColumn("after", F.lit(-1).cast("bigint")),
-        "settlement-state",
+    # Within a range partition the rows of a credit follow each other.
+    earlier = Window.partitionBy("credito_id").orderBy("chunk").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    history = None
-    while not state.isEmpty():
-        step = materialise(_round(placed, state), "settlement-round")
-        history = step if history is None else history.unionByName(step)
-        state = step.filter(F.col("until").isNotNull()).select(
-            "credito_id", F.col("next").alias("start"), F.col("until").alias("after")
-        )
-    if history is None:  # none of the credits exists
-        return placed.select(
-            *requests.columns,
-            F.lit(None).cast(BALANCE).alias("saldo"),
-            F.lit(False).alias("aceita"),
-        )
-    rounds = history.groupBy("credito_id").agg(
-        F.collect_list(F.struct("start", "after", "until")).alias("rounds"),
-        F.min_by("start", "after").alias("saldo"),
+    parts = placed.groupBy("credito_id", "chunk").agg(
+        F.count("*").alias("rows"), F.min("pos").alias("first")
+    )
+    base = parts.select(
+        "credito_id",
+        "chunk",
+        (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) + 1 - F.col("first")).alias("base"),
     )
-    own = F.filter(
-        "rounds",
-        lambda r: (F.col("pos") > r["after"]) & (r["until"].isNull() | (F.col("pos") <= r["until"])),
-    )[0]
     return (
-        placed.join(rounds, "credito_id", "left")
-        .withColumn("r", own)
-        .withColumn("start", F.col("r.start"))
-        .withColumn(
-            "aceita", F.coalesce(_certain() | (F.col("pos") == F.col("r.until")), F.lit(False))
+        placed.join(base, ["credito_id", "chunk"])
+        .withColumn("n", F.col("pos") + F.col("base"))
+        .drop("pos", "base")
+    )
+
+
+def _in_passes(
+    requests: DataFrame, credits: DataFrame, sizes: DataFrame, rows: int, order: list[str], slice_rows: int
+) -> DataFrame:
+    """Settlement of credits with many requests, over range-partitioned rows (eager)."""
+    spark = requests.sparkSession
+    opening = credits.select(F.col("id").alias("credito_id"), F.col("saldo_kwh").cast(BALANCE).alias("saldo"))
+    numbered = _numbered(requests, rows, order)
+    live = materialise(numbered.select("credito_id", "chunk", "n", "q"), "settlement-live")
+    state = sizes.join(opening, "credito_id").select(
+        "credito_id", F.lit(0).cast("bigint").alias("done"), F.col("n").alias("last"), F.col("saldo").alias("left")
+    )
+    path, held, left, number = scratch_path(spark, "settlement-outcomes"), rows, rows, 0
+    while left:
+        if left * 2 <= held:  # most rows are settled: keep the others only
+            ahead = live.join(state.select("credito_id", "done"), "credito_id").filter(F.col("n") > F.col("done"))
+            live, held = materialise(ahead.drop("done"), "settlement-live"), left
+        sliced = materialise(_sliced(live, state, slice_rows), "settlement-slice")
+        passed = materialise(_round(live, sliced), "settlement-pass")
+        _outcomes(live, passed).write.parquet(f"{path}/pass={number}")
+        state = passed.filter(F.col("until") < F.col("last")).select(
+            "credito_id", F.col("until").alias("done"), "last", F.col("next").alias("left")
         )
+        left = state.agg(F.coalesce(F.sum(F.col("last") - F.col("done")), F.lit(0))).first()[0]
+        number += 1
+    outcomes = spark.read.schema("credito_id bigint, n bigint, aceita boolean").parquet(f"{path}/pass=*")
+    return (
+        numbered.join(outcomes, ["credito_id", "n"])
+        .join(opening, "credito_id")
         .select(*requests.columns, "saldo", "aceita")
     )
 
@@ -197,6 +253,7 @@ def settle(
     requests: DataFrame,
     order: list[str] = ORDER,
     fold_limit: int = FOLD_LIMIT,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Every sale request with its outcome.
 
@@ -206,7 +263,7 @@ def settle(
     """
     prepared = _prepared(requests)
     known = credits.select(F.col("id").alias("credito_id"))
-    # Requests of no known credit are refused whatever the order: they join no fold or round.
+    # Requests of no known credit are refused whatever the order: they join no fold or pass.
     refused = prepared.join(known, "credito_id", "left_anti").withColumns(
         {"saldo": F.lit(None).cast(BALANCE), "aceita": F.lit(False)}
     )
@@ -216,11 +273,13 @@ def settle(
     if size[0] == 0:
         decided = _folded(wanted, credits, order)
     else:
-        ids = materialise(counts.select("credito_id"), "settlement-ids")
+        ids = materialise(counts, "settlement-ids")
         decided = _folded(
             wanted.join(ids, "credito_id", "left_anti"), credits, order
         ).unionByName(
-            _in_rounds(wanted.join(ids, "credito_id", "left_semi"), credits, ids, size[1], order)
+            _in_passes(
+                wanted.join(ids, "credito_id", "left_semi"), credits, ids, size[1], order, slice_rows
+            )
         )
     decided = decided.unionByName(refused, allowMissingColumns=True)
     reason = (

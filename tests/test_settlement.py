@@ -50,13 +50,13 @@ def some_requests(rng, credits, n, quantity):
     ]
 
 
-@pytest.mark.parametrize("fold_limit", [1000, 3])
-@pytest.mark.parametrize("seed", range(3))
-def test_against_walk(spark, seed, fold_limit):
+@pytest.mark.parametrize("fold_limit, slice_rows", [(1000, 7), (3, 7), (3, 10_000)])
+@pytest.mark.parametrize("seed", range(2))
+def test_against_walk(spark, seed, fold_limit, slice_rows):
     rng = random.Random(seed)
     credits = {1: 100.0, 2: 0.0, 3: 57.25, 4: 1e6, 5: 12.5}
     requests = some_requests(rng, [1, 1, 1, 2, 3, 4, 5, 99], 200, lambda r: round(r.expovariate(1 / 8), 2))
-    check(spark, credits, requests, fold_limit=fold_limit)
+    check(spark, credits, requests, fold_limit=fold_limit, slice_rows=slice_rows)
 
 
 @pytest.mark.parametrize("fold_limit", [1000, 3])
@@ -68,16 +68,30 @@ def test_odd_quantities(spark, fold_limit):
     check(spark, credits, requests, fold_limit=fold_limit)
 
 
-def test_one_hot_credit_needs_few_rounds(spark, monkeypatch):
+def test_one_hot_credit_needs_few_passes(spark, monkeypatch):
     rounds = []
     real = settlement._round
     monkeypatch.setattr(settlement, "_round", lambda *a: rounds.append(1) or real(*a))
     rng = random.Random(3)
     requests = some_requests(rng, [1], 5000, lambda r: float(r.randrange(1, 50)))
-    check(spark, {1: 3000.0}, requests, fold_limit=100)
+    check(spark, {1: 3000.0}, requests, fold_limit=100, slice_rows=50)
     assert len(rounds) <= 14
 
 
+def test_refunds_take_few_passes(spark, monkeypatch):
+    rounds = []
+    real = settlement._round
+    monkeypatch.setattr(settlement, "_round", lambda *a: rounds.append(1) or real(*a))
+    requests = some_requests(random.Random(5), [1], 24, lambda r: r.choice([-3.0, 3.0, 2.0]))
+    check(spark, {1: 1.0}, requests, fold_limit=5)
+    assert len(rounds) <= 2
+
+
+def test_long_fold_crosses_blocks(spark):
+    requests = some_requests(random.Random(6), [1, 2], 700, lambda r: r.choice([-2.0, 1.5, 4.0, None]))
+    check(spark, {1: 3.0, 2: 100.0}, requests)
+
+
 def test_only_unknown_hot_credits(spark):
     requests = some_requests(random.Random(1), [8], 20, lambda r: 1.0)
     check(spark, {1: 5.0}, requests, fold_limit=5)
