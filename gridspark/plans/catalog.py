@@ -483,6 +483,18 @@ def credit_settlement(spark, sf_dir):
     return rounded(_settled(spark, sf_dir), 4, "valor_token")
 
 
+@query
+def credit_settlement_hot(spark, sf_dir):
+    sales = inputs.hot_sales(spark, sf_dir)
+    return rounded(settlement.settle(inputs.hot_credits(spark, sf_dir), sales), 4, "valor_token")
+
+
+@query
+def credit_settlement_refunds(spark, sf_dir):
+    sales = inputs.hot_sales(spark, sf_dir, refunds=True)
+    return rounded(settlement.settle(inputs.hot_credits(spark, sf_dir), sales), 4, "valor_token")
+
+
 @query
 def credit_balances(spark, sf_dir):
     return settlement.balances(inputs.credits(spark, sf_dir), _settled(spark, sf_dir))

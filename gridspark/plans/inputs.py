@@ -257,6 +257,29 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HOT_CREDITS = 30
+
+
+def hot_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few credits that pool all balances, for very many requests each."""
+    pooled = credits(spark, sf_dir).groupBy((F.col("id") % HOT_CREDITS).alias("id"))
+    return pooled.agg(F.floor(F.sum("saldo_kwh") / 4).cast("double").alias("saldo_kwh"))
+
+
+def hot_sales(spark: SparkSession, sf_dir: str, refunds: bool = False) -> DataFrame:
+    """Sale requests of the pooled credits; with ``refunds`` every fifth supplier gives back."""
+    sign = F.when(F.col("l_suppkey") % 5 == 0, -1).otherwise(1) if refunds else F.lit(1)
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_partkey") % HOT_CREDITS).alias("credito_id"),
+        F.col("l_linenumber").alias("seq"),
+        F.col("l_orderkey").alias("tie"),
+        F.col("l_partkey").alias("tie2"),
+        (F.col("l_quantity") * sign).alias("quantidade_kwh"),
+        F.col("l_extendedprice").alias("valor_rs"),
+        F.col("l_shipdate").alias("data_transacao"),
+    )
+
+
 def plant_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rounds of plant records: every second code, then every third again."""
     suppliers = table(spark, sf_dir, "supplier")

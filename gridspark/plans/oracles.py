@@ -91,6 +91,32 @@ TABLES = {
     CASE WHEN w.credito_id IS NULL THEN 'credito_inexistente' WHEN w.ok THEN 'venda_realizada'
       ELSE 'saldo_insuficiente' END AS status
   FROM requests r LEFT JOIN walk w ON w.credito_id = r.credito_id AND w.n = r.n""",
+    "fx_hot_credits": """
+  SELECT id % 30 AS credito_id, FLOOR(SUM(saldo_kwh) / 4) AS saldo_kwh FROM fx_credits GROUP BY 1""",
+    "hot_requests": """
+  SELECT l_partkey % 30 AS credito_id, l_linenumber AS seq, l_orderkey AS tie, l_partkey AS tie2,
+    l_quantity AS quantidade_kwh, l_extendedprice AS valor_rs,
+    l_shipdate AS data_transacao,
+    ROW_NUMBER() OVER (PARTITION BY l_partkey % 30 ORDER BY l_shipdate, l_linenumber, l_orderkey, l_partkey) AS n
+  FROM lineitem""",
+    "hot_walk": """
+  SELECT credito_id, CAST(0 AS BIGINT) AS n, saldo_kwh AS saldo, FALSE AS ok FROM fx_hot_credits
+  UNION ALL
+  SELECT r.credito_id, r.n, CASE WHEN w.saldo >= r.quantidade_kwh THEN w.saldo - r.quantidade_kwh ELSE w.saldo END,
+    w.saldo >= r.quantidade_kwh
+  FROM hot_walk w JOIN hot_requests r ON r.credito_id = w.credito_id AND r.n = w.n + 1""",
+    "refund_requests": """
+  SELECT l_partkey % 30 AS credito_id, l_linenumber AS seq, l_orderkey AS tie, l_partkey AS tie2,
+    CASE WHEN l_suppkey % 5 = 0 THEN -l_quantity ELSE l_quantity END AS quantidade_kwh, l_extendedprice AS valor_rs,
+    l_shipdate AS data_transacao,
+    ROW_NUMBER() OVER (PARTITION BY l_partkey % 30 ORDER BY l_shipdate, l_linenumber, l_orderkey, l_partkey) AS n
+  FROM lineitem""",
+    "refund_walk": """
+  SELECT credito_id, CAST(0 AS BIGINT) AS n, saldo_kwh AS saldo, FALSE AS ok FROM fx_hot_credits
+  UNION ALL
+  SELECT r.credito_id, r.n, CASE WHEN w.saldo >= r.quantidade_kwh THEN w.saldo - r.quantidade_kwh ELSE w.saldo END,
+    w.saldo >= r.quantidade_kwh
+  FROM refund_walk w JOIN refund_requests r ON r.credito_id = w.credito_id AND r.n = w.n + 1""",
     "lean": """
   SELECT row_id AS id, json_extract_string(raw_json, '$.CodEmpreendimento') AS cod_empreendimento,
     json_extract_string(raw_json, '$.SigUF') AS siguf,
@@ -435,6 +461,18 @@ FROM fact f JOIN orders ON o_orderkey + 1 = f.id""",
     "credit_settlement": """
 SELECT * EXCLUDE (n), 'venda' AS tipo, CAST(CASE WHEN quantidade_kwh <= 0 THEN 1 ELSE 0 END AS INTEGER)
   AS sinal_suspeito FROM settled""",
+    "credit_settlement_hot": """
+SELECT r.* EXCLUDE (n), ROUND(r.valor_rs * 0.25, 4) AS valor_token, 'venda' AS tipo,
+  CASE WHEN w.credito_id IS NULL THEN 'credito_inexistente' WHEN w.ok THEN 'venda_realizada'
+    ELSE 'saldo_insuficiente' END AS status,
+  CAST(CASE WHEN quantidade_kwh <= 0 THEN 1 ELSE 0 END AS INTEGER) AS sinal_suspeito
+FROM hot_requests r LEFT JOIN hot_walk w ON w.credito_id = r.credito_id AND w.n = r.n""",
+    "credit_settlement_refunds": """
+SELECT r.* EXCLUDE (n), ROUND(r.valor_rs * 0.25, 4) AS valor_token, 'venda' AS tipo,
+  CASE WHEN w.credito_id IS NULL THEN 'credito_inexistente' WHEN w.ok THEN 'venda_realizada'
+    ELSE 'saldo_insuficiente' END AS status,
+  CAST(CASE WHEN quantidade_kwh <= 0 THEN 1 ELSE 0 END AS INTEGER) AS sinal_suspeito
+FROM refund_requests r LEFT JOIN refund_walk w ON w.credito_id = r.credito_id AND w.n = r.n""",
     "credit_balances": """
 SELECT c.id, c.cliente_id, w.saldo AS saldo_kwh, c.valor_unitario_rs, c.data_vencimento
 FROM fx_credits c JOIN (SELECT credito_id, MIN(saldo) AS saldo FROM walk GROUP BY 1) w ON w.credito_id = c.id""",

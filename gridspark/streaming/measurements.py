@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridspark import schemas
 from gridspark.operators import credits
 from gridspark.operators.measurements import (
-    IDENTITY,
     adapt_generic,
     adapt_vendor,
-    surplus_by_client,
+    distinct_measurements,
     usage_windows,
     with_surplus,
 )
+from gridspark.sources.readers import stored
 from gridspark.streaming import ledger
 
-SURPLUS = schemas.ddl(cliente_id="bigint", excedente_kwh="double")
+EARNED = schemas.ddl(cliente_id="bigint", excedente_kwh="double", medicoes="bigint")
+ACCEPTED = schemas.ddl(
+    cliente_id="bigint", excedente_kwh="double", hash="string", batch_id="bigint", dia="date"
+)
+# Day under which measurements without a time are kept.
+NO_DAY = "1900-01-01"
 
 
 def payload_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -46,11 +51,6 @@ def watermarked(measurements: DataFrame, delay: str = "1 hour") -> DataFrame:
     return measurements.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
 
 
-def distinct_stream(measurements: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Each identical measurement once; its state is dropped after the delay."""
-    return watermarked(measurements, delay).dropDuplicatesWithinWatermark(IDENTITY)
-
-
 def window_stream(
     measurements: DataFrame, width: str = "1 hour", delay: str = "1 hour"
 ) -> DataFrame:
@@ -58,37 +58,56 @@ def window_stream(
     return usage_windows(watermarked(measurements, delay), width)
 
 
-def balance_stream(measurements: DataFrame) -> DataFrame:
-    """Running Σ surplus per client, for update mode."""
-    return (
-        with_surplus(measurements)
-        .groupBy("cliente_id")
-        .agg(F.sum("excedente_kwh").alias("excedente_kwh"), F.count("*").alias("medicoes"))
-    )
-
+def start_crediting(measurements: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Credit each measurement once, however late it comes or is repeated.
 
-def start_crediting(
-    measurements: DataFrame, path: str, checkpoint: str, delay: str = "1 hour"
-) -> StreamingQuery:
-    """Write the surplus each micro-batch of fresh measurements earns per client."""
+    Accepted measurements are kept under ``path`` by batch and day; a batch is
+    compared with the days it names only, so its work does not grow with the
+    history. What it earned per client is written beside them.
+    """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        ledger.write_batch(surplus_by_client(batch), path, batch_id)
+        spark, accepted = batch.sparkSession, f"{path}/accepted"
+        day = F.coalesce(F.col("ts").cast("date"), F.lit(NO_DAY).cast("date"))
+        batch = batch.withColumn("dia", day).persist()
+        try:
+            # calendar days, not rows
+            named = batch.select(F.col("dia").cast("string")).distinct().toLocalIterator()
+            days = [F.lit(r["dia"]).cast("date") for r in named]
+            known = stored(spark, accepted, ACCEPTED).filter(
+                (F.col("batch_id") < batch_id) & F.col("dia").isin(days)
+            )
+            fresh = with_surplus(distinct_measurements(batch)).join(
+                known.select("dia", "hash"), ["dia", "hash"], "left_anti"
+            )
+            fresh.select("cliente_id", "excedente_kwh", "hash", "dia").write.mode("overwrite").option(
+                "partitionOverwriteMode", "static"
+            ).partitionBy("dia").parquet(f"{accepted}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+        mine = stored(spark, accepted, ACCEPTED).filter(F.col("batch_id") == batch_id)
+        ledger.write_batch(_earned(mine, F.count("*")), f"{path}/earned", batch_id)
 
     return (
-        distinct_stream(measurements, delay)
-        .writeStream.foreachBatch(append)
+        measurements.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def credited(stored: DataFrame, path: str, as_of: str) -> DataFrame:
-    """The credit table with all surplus written so far."""
-    earned = (
-        ledger.read_all(stored.sparkSession, path, SURPLUS)
-        .groupBy("cliente_id")
-        .agg(F.sum("excedente_kwh").alias("excedente_kwh"))
+def _earned(rows: DataFrame, count: Column) -> DataFrame:
+    return rows.groupBy("cliente_id").agg(
+        F.sum("excedente_kwh").alias("excedente_kwh"), count.alias("medicoes")
     )
-    return credits.apply_surplus(stored, earned, as_of)
+
+
+def running_balance(spark: SparkSession, path: str) -> DataFrame:
+    """Σ surplus and number of measurements per client over all batches credited so far."""
+    return _earned(ledger.read_all(spark, f"{path}/earned", EARNED), F.sum("medicoes"))
+
+
+def credited(table: DataFrame, path: str, as_of: str) -> DataFrame:
+    """The credit table with all surplus written so far."""
+    earned = running_balance(table.sparkSession, path).filter(F.col("excedente_kwh") > 0)
+    return credits.apply_surplus(table, earned.drop("medicoes"), as_of)

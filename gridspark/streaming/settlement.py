@@ -44,14 +44,16 @@ def start_settlement(
 
     def settle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read several times below
-        named = batch.select(F.col("credito_id").alias("id")).distinct()
-        touched = credits.join(named, "id", "left_semi")
-        earlier = ledger.read_before(batch.sparkSession, path, OUTCOME, batch_id).join(
-            named.withColumnRenamed("id", "credito_id"), "credito_id", "left_semi"
-        )
-        left = settlement.balances(touched, earlier)
-        ledger.write_batch(settlement.settle(left, batch), path, batch_id)
-        batch.unpersist()
+        try:
+            named = batch.select(F.col("credito_id").alias("id")).distinct()
+            touched = credits.join(named, "id", "left_semi")
+            earlier = ledger.read_before(batch.sparkSession, path, OUTCOME, batch_id).join(
+                named.withColumnRenamed("id", "credito_id"), "credito_id", "left_semi"
+            )
+            left = settlement.balances(touched, earlier)
+            ledger.write_batch(settlement.settle(left, batch), path, batch_id)
+        finally:
+            batch.unpersist()
 
     return (
         requests.writeStream.foreachBatch(settle)

@@ -84,12 +84,26 @@ def test_closed_windows_equal_batch(spark, sf_dir, tmp_path):
 
 
 def test_running_balance(spark, tmp_path):
-    folder = tmp_path / "in"
-    messages(folder, "1.json", message(1, "2026-01-01 00:10:00", 5.0, 1.0), message(2, "2026-01-01 00:10:00", 1.0, 4.0))
-    messages(folder, "2.json", message(1, "2026-01-01 00:20:00", 1.0, 2.0, bateria_potencia_kw=-3.0))
-    df = stream.balance_stream(stream.measurement_stream(spark, str(folder), files_per_batch=1))
-    table = run_to_memory(df, "balance", "complete", tmp_path / "c")
-    assert {r["cliente_id"]: r["excedente_kwh"] for r in table.collect()} == {1: 6.0, 2: 0.0}
+    folder, ledger = tmp_path / "in", str(tmp_path / "ledger")
+    once = message(1, "2026-01-01 00:10:00", 5.0, 1.0)
+    messages(folder, "1.json", once, message(2, "2026-01-01 00:10:00", 1.0, 4.0))
+    messages(folder, "2.json", once, message(1, "2026-01-01 00:20:00", 1.0, 2.0, bateria_potencia_kw=-3.0))
+    source = stream.measurement_stream(spark, str(folder), files_per_batch=1)
+    drain(stream.start_crediting(source, ledger, str(tmp_path / "c")))
+    rows = {r["cliente_id"]: r for r in stream.running_balance(spark, ledger).collect()}
+    assert {k: (r["excedente_kwh"], r["medicoes"]) for k, r in rows.items()} == {1: (6.0, 2), 2: (0.0, 1)}
+
+
+def test_late_measurements_are_credited_once(spark, tmp_path):
+    folder, ledger = tmp_path / "in", str(tmp_path / "ledger")
+    late, timeless = message(1, "2026-01-02 00:10:00", 7.0), message(1, None, 2.0)
+    messages(folder, "1.json", message(1, "2026-01-05 00:10:00", 1.0), timeless)
+    messages(folder, "2.json", late)
+    messages(folder, "3.json", message(1, "2026-01-08 00:10:00", 1.0))
+    messages(folder, "4.json", late, timeless)  # repeated, days later
+    source = stream.measurement_stream(spark, str(folder), files_per_batch=1)
+    drain(stream.start_crediting(source, ledger, str(tmp_path / "c")))
+    assert [(r["excedente_kwh"], r["medicoes"]) for r in stream.running_balance(spark, ledger).collect()] == [(11.0, 4)]
 
 
 def test_crediting_ignores_duplicates_and_replays(spark, tmp_path):
