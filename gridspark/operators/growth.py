@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 
 from gridspark.operators.rowsets import first_rows
 
+MEASURES = [
+    "mmgd_ativos",
+    "mmgd_potencia_kw",
+    "siga_ativos",
+    "siga_potencia_kw",
+    "ons_carga_media_mw",
+]
+
 
 def _dated_units(fact: DataFrame) -> DataFrame:
     return fact.select(
@@ -16,42 +24,65 @@ def _dated_units(fact: DataFrame) -> DataFrame:
     )
 
 
-def snapshot(fact: DataFrame, plants: DataFrame, points: DataFrame, as_of: str) -> DataFrame:
-    """One row for ``as_of``: units and plants with their kW, mean load, total rows.
+def _by_day(rows: DataFrame, *sums) -> DataFrame:
+    return rows.groupBy("dia").agg(*sums)
+
 
-    Units count once connected, load up to that day. The three one-row aggregates are stacked and
-    folded, so nothing is joined.
+def snapshots(fact: DataFrame, plants: DataFrame, points: DataFrame, days: list[str]) -> DataFrame:
+    """One row for each of ``days``: units and plants with their kW, mean load, total rows.
+
+    Units count once connected, load up to that day, plants from the day they enter operation;
+    plants without a readable date count always. Every table is reduced to its dates first, and a
+    date then counts for each day that is not before it.
     """
-    day = F.lit(as_of).cast("date")
+    first = F.lit("0001-01-01").cast("date")
+    entered = (
+        F.col("data_entrada_operacao").try_cast("date")
+        if "data_entrada_operacao" in plants.columns
+        else F.lit(None).cast("date")
+    )
     parts = [
-        _dated_units(fact)
-        .filter(F.col("dia") <= day)
-        .agg(
-            F.count("*").alias("mmgd_ativos"),
-            F.sum("potencia_instalada_kw").alias("mmgd_potencia_kw"),
+        _by_day(
+            _dated_units(fact).filter(F.col("dia").isNotNull()),
+            F.count("*").alias("mmgd"),
+            F.sum("potencia_instalada_kw").alias("mmgd_kw"),
         ),
-        plants.agg(
-            F.count("*").alias("siga_ativos"),
-            F.sum("potencia_outorgada_kw").alias("siga_potencia_kw"),
+        _by_day(
+            plants.withColumn("dia", F.coalesce(entered, first)),
+            F.count("*").alias("siga"),
+            F.sum("potencia_outorgada_kw").alias("siga_kw"),
         ),
-        points.filter(F.col("ts").cast("date") <= day).agg(
-            F.count("*").alias("carga_registros"), F.avg("carga_global").alias("ons_carga_media_mw")
+        _by_day(
+            points.withColumn("dia", F.col("ts").cast("date")).filter(F.col("dia").isNotNull()),
+            F.count("*").alias("linhas"),
+            F.count("carga_global").alias("medidas"),
+            F.sum("carga_global").alias("carga"),
         ),
+        # Days before every date still get a row.
+        fact.sparkSession.range(1).select(first.alias("dia")),
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.agg(
-        day.alias("data"),
-        F.max("mmgd_ativos").alias("mmgd_ativos"),
-        F.coalesce(F.max("mmgd_potencia_kw"), F.lit(0.0)).alias("mmgd_potencia_kw"),
-        F.max("siga_ativos").alias("siga_ativos"),
-        F.coalesce(F.max("siga_potencia_kw"), F.lit(0.0)).alias("siga_potencia_kw"),
-        F.max("ons_carga_media_mw").alias("ons_carga_media_mw"),
-        (F.max("mmgd_ativos") + F.max("siga_ativos") + F.max("carga_registros")).alias(
-            "total_registros"
-        ),
+    marks = F.array(*[F.lit(day).cast("date") for day in days])
+    reached = stacked.select("*", F.explode(F.filter(marks, lambda day: day >= F.col("dia"))).alias("data"))
+
+    def total(name: str):
+        return F.coalesce(F.sum(name), F.lit(0))
+
+    return reached.groupBy("data").agg(
+        total("mmgd").alias("mmgd_ativos"),
+        F.coalesce(F.sum("mmgd_kw"), F.lit(0.0)).alias("mmgd_potencia_kw"),
+        total("siga").alias("siga_ativos"),
+        F.coalesce(F.sum("siga_kw"), F.lit(0.0)).alias("siga_potencia_kw"),
+        F.when(total("medidas") > 0, F.sum("carga") / total("medidas")).alias("ons_carga_media_mw"),
+        (total("mmgd") + total("siga") + total("linhas")).alias("total_registros"),
     )
 
 
+def snapshot(fact: DataFrame, plants: DataFrame, points: DataFrame, as_of: str) -> DataFrame:
+    """The one row of ``snapshots`` for ``as_of``."""
+    return snapshots(fact, plants, points, [as_of])
+
+
 def registry_history(fact: DataFrame) -> DataFrame:
     """Units and kW connected up to each month end.
 
@@ -74,9 +105,8 @@ def registry_history(fact: DataFrame) -> DataFrame:
 def deltas(log: DataFrame) -> DataFrame:
     """Snapshots oldest first with the change since the one before."""
     order = Window.orderBy("data")
-    counts = ["mmgd_ativos", "mmgd_potencia_kw"]
     return log.withColumns(
-        {f"delta_{c}": F.col(c) - F.lag(c).over(order) for c in counts}
+        {f"delta_{c}": F.col(c) - F.lag(c).over(order) for c in MEASURES if c in log.columns}
     ).orderBy("data")
 
 

@@ -24,9 +24,9 @@ def reference_time() -> Column:
     return text.try_cast("timestamp_ntz")
 
 
-def load_points(load: DataFrame) -> DataFrame:
-    """Stored load rows with the JSON parsed once: time and value."""
-    keys = ["id", "tipo", "area", "created_at"]
+def load_points(load: DataFrame, *keep: str) -> DataFrame:
+    """Load rows with the JSON parsed once: time and value; ``keep`` names more columns to carry."""
+    keys = ["id", "tipo", "area", "created_at", *keep]
     value = first_truthy(_number("val_cargaglobal"), _number("valor"), _number("val_carga"))
     return load.select(*keys, json_columns("data_json", schemas.LOAD_RECORD)).select(
         *keys,
@@ -52,8 +52,13 @@ def load_page(
 
 
 def load_series(points: DataFrame, area: str, start: str, end: str) -> DataFrame:
-    """Load curve of one area, start included, end not."""
+    """Load curve of one area, start included, end not.
+
+    Of a stored table only the folders of those days are read.
+    """
     ts = F.col("ts")
+    if "dia" in points.columns:
+        points = points.filter(F.col("dia").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     return points.filter(
         (F.col("area") == area)
         & (ts >= F.lit(start).cast("timestamp_ntz"))

@@ -21,7 +21,6 @@ STALE_CRITICAL_DAYS = 30
 COMPLETE_WARNING_PCT = 95
 COMPLETE_CRITICAL_PCT = 50
 RECENT_POINTS = 500
-GROUP_LIMIT_ROWS = 1000
 OFFICIAL_FIELDS = [
     "distribuidora",
     "cod_empreendimento",
@@ -46,11 +45,9 @@ def _severity(critical: Column) -> Column:
 def recent_points(points: DataFrame, per_area: int = RECENT_POINTS) -> DataFrame:
     """The newest stored points of each area: how far back a routine check looks.
 
-    Runs as a group limit in every task before the shuffle. Spark does that for
-    at most 1000 rows a group; to look further back, check the whole history.
+    Runs as a group limit in every task before the shuffle, up to the session's
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; beyond it Spark ranks after it.
     """
-    if per_area > GROUP_LIMIT_ROWS:
-        raise ValueError(f"at most {GROUP_LIMIT_ROWS} recent points; or use all of them")
     newest = Window.partitionBy("area").orderBy(F.desc("created_at"), F.desc("id"))
     return (
         points.withColumn("__rank", F.row_number().over(newest))
@@ -235,14 +232,25 @@ def breakdown(report_rows: DataFrame) -> DataFrame:
     return report_rows.groupBy("ordem", "severidade", "tipo").agg(F.count("*").alias("total"))
 
 
-def summary(report_rows: DataFrame) -> DataFrame:
-    """One row: findings, critical ones, warnings, and whether the run failed."""
+def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row with the rows of each table, as ``registros_<table>``."""
+    counts = [rows.agg(F.count("*").alias(f"registros_{name}")) for name, rows in tables.items()]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
+def summary(report_rows: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """One row: findings, critical ones, warnings, whether the run failed, rows of the tables."""
     def tally(level: str) -> Column:
         return F.count(F.when(F.col("severidade") == level, 1))
 
-    return report_rows.agg(
+    tallied = report_rows.agg(
         F.count("*").alias("total_divergencias"),
         tally(CRITICAL).alias("criticos"),
         tally(WARNING).alias("atencoes"),
         F.when(tally(CRITICAL) > 0, 1).otherwise(0).alias("falhou"),
     )
+    if counts is None:
+        return tallied
+    both = tallied.unionByName(counts, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])

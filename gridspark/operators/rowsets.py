@@ -58,13 +58,14 @@ def upsert(target: DataFrame, incoming: DataFrame, key: Column, order: list[str]
     """Replace-by-key: incoming rows win over stored ones, later ones over earlier.
 
     ``order`` names incoming columns that say which of two rows came later. The
-    caller writes the result to a new snapshot folder.
+    stored rows, one per key already, are only filtered: their size never meets a
+    sort, and a small batch is broadcast to them. The caller writes the result to a
+    new snapshot folder.
     """
-    staged = target.withColumn("__new", F.lit(0)).unionByName(
-        incoming.withColumn("__new", F.lit(1)), allowMissingColumns=True
-    )
-    ranked = [F.col("__new").desc(), *[F.col(c).desc_nulls_last() for c in order]]
-    return _one_per_key(staged, [key], ranked).drop("__new")
+    last = _one_per_key(incoming, [key], [F.col(c).desc_nulls_last() for c in order])
+    replaced = last.select(key.alias("__key"))
+    kept = target.join(replaced, key.eqNullSafe(F.col("__key")), "left_anti")
+    return kept.unionByName(last, allowMissingColumns=True)
 
 
 def dense_ids(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark import session
+from gridspark import schemas, session
 from gridspark.functions import rules
 from gridspark.functions.parsing import row_hash
 from gridspark.operators import (
@@ -25,6 +25,7 @@ from gridspark.operators import (
     settlement,
 )
 from gridspark.plans import inputs
+from gridspark.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +33,7 @@ QUERIES: dict[str, Query] = {}
 AS_OF = "2003-01-01"
 AREAS = ["S", "N", "NE", "SIN"]
 SERIES_START, SERIES_END = "1995-01-01", "2001-12-31"
+GROWTH_DAYS = [f"{year}-12-31" for year in range(1992, 2002)] + ["2024-01-10", "2024-01-20"]
 OFFICIAL_MODIFIED = "2001-12-31T12:00:00Z"
 
 
@@ -155,18 +157,19 @@ def plants_upsert(spark, sf_dir):
 # ---- capacity ------------------------------------------------------------
 
 
+def _tables(spark, sf_dir):
+    return {
+        "mmgd_raw": inputs.raw(spark, sf_dir),
+        "mmgd_fato": fact(spark, sf_dir),
+        "ons_carga": inputs.load(spark, sf_dir),
+        "dessem_detalhe": inputs.dispatch(spark, sf_dir),
+        "siga_fato": inputs.plants(spark, sf_dir),
+    }
+
+
 @query
 def table_stats(spark, sf_dir):
-    return capacity.table_stats(
-        spark,
-        {
-            "mmgd_raw": inputs.raw(spark, sf_dir),
-            "mmgd_fato": fact(spark, sf_dir),
-            "ons_carga": inputs.load(spark, sf_dir),
-            "dessem_detalhe": inputs.dispatch(spark, sf_dir),
-            "siga_fato": inputs.plants(spark, sf_dir),
-        },
-    )
+    return capacity.table_stats(spark, _tables(spark, sf_dir))
 
 
 @query
@@ -379,6 +382,12 @@ def _official(spark, sf_dir):
 
 @query
 def missing_areas(spark, sf_dir):
+    partial = load.official_points(inputs.load_official_partial(spark, sf_dir))
+    return quality.missing_areas(partial, AREAS)
+
+
+@query
+def missing_area_hours(spark, sf_dir):
     return quality.missing_area_hours(_official(spark, sf_dir), AREAS)
 
 
@@ -409,12 +418,19 @@ def _report(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
+    rows = quality.ordered(_report(spark, sf_dir))
+    values = {n: F.col(n).try_cast("double") for n in ("valor_local", "valor_oficial")}
+    return rounded(rows.withColumns(values), 3, *values, "delta_pct")
+
+
+@query
+def quality_breakdown(spark, sf_dir):
     return quality.breakdown(_report(spark, sf_dir))
 
 
 @query
 def quality_summary(spark, sf_dir):
-    return quality.summary(_report(spark, sf_dir))
+    return quality.summary(_report(spark, sf_dir), quality.table_counts(_tables(spark, sf_dir)))
 
 
 # ---- measurements and credits --------------------------------------------
@@ -526,16 +542,32 @@ def growth_snapshot(spark, sf_dir):
     return rounded(row, 2, "mmgd_potencia_kw", "siga_potencia_kw", "ons_carga_media_mw")
 
 
+def _growth_log(spark, sf_dir):
+    """A stored log of snapshots; the last one is taken twice."""
+    path = session.scratch_path(spark, "growth")
+    tables = dated_fact(spark, sf_dir), inputs.plants(spark, sf_dir), points(spark, sf_dir)
+    writers.write_snapshot_row(growth.snapshots(*tables, GROWTH_DAYS), path)
+    writers.write_snapshot_row(growth.snapshot(*tables, GROWTH_DAYS[-1]), path)
+    return readers.stored(spark, path, schemas.GROWTH_LOG)
+
+
 @query
 def growth_delta(spark, sf_dir):
-    log = growth.registry_history(dated_fact(spark, sf_dir))
-    return rounded(growth.deltas(log), 2, "mmgd_potencia_kw", "delta_mmgd_potencia_kw")
+    log = growth.deltas(_growth_log(spark, sf_dir))
+    sums = [n for n in log.columns if n.endswith(("_kw", "_mw"))]
+    return rounded(log, 2, *sums)
 
 
 @query
 def growth_log(spark, sf_dir):
-    log = growth.registry_history(dated_fact(spark, sf_dir))
-    return rounded(growth.recent(log, 30), 2, "mmgd_potencia_kw")
+    log = growth.recent(_growth_log(spark, sf_dir), 30)
+    return rounded(log, 2, "mmgd_potencia_kw", "siga_potencia_kw", "ons_carga_media_mw")
+
+
+@query
+def growth_history(spark, sf_dir):
+    log = growth.deltas(growth.registry_history(dated_fact(spark, sf_dir)))
+    return rounded(log, 2, "mmgd_potencia_kw", "delta_mmgd_potencia_kw")
 
 
 @query
@@ -551,3 +583,147 @@ def forecast_capacity(spark, sf_dir):
         dated_fact(spark, sf_dir), None, SERIES_START, SERIES_END
     )
     return rounded(forecast.forecast_capacity(monthly, 12), 2, "potencia_kw")
+
+
+# ---- files and tables, written and read back ------------------------------
+
+
+@query
+def source_registry_csv(spark, sf_dir):
+    path = session.scratch_path(spark, "registry-csv")
+    rows = fact(spark, sf_dir).select(
+        F.col("cod_empreendimento").alias("CodEmpreendimento"),
+        F.col("siguf").alias("SigUF"),
+        F.col("dscfontegeracao").alias("DscFonteGeracao"),
+    )
+    rows.write.csv(path, sep=";", header=True, encoding="ISO-8859-1")
+    return readers.registry_snapshot(spark, path)
+
+
+@query
+def source_plant_pages(spark, sf_dir):
+    path = session.scratch_path(spark, "plant-pages")
+    records = inputs.plant_records(spark, sf_dir).withColumn("page", F.pmod(F.hash("NomEmpreendimento"), F.lit(8)))
+    fields = [c for c in records.columns if c != "page"]
+    body = F.struct(
+        F.struct(F.count("*").alias("total"), F.collect_list(F.struct(*fields)).alias("records")).alias("result")
+    )
+    pages = records.groupBy("page").agg(F.to_json(body).alias("value"))
+    pages.repartition("page").write.partitionBy("page").text(path)
+    return readers.plant_records(readers.plant_pages(spark, path)).select(*fields)
+
+
+def _landed_load(spark, sf_dir):
+    """Official load landed as JSON lines in one folder per area; the records name no area."""
+    path = session.scratch_path(spark, "load")
+    inputs.load_official(spark, sf_dir).write.partitionBy("area").json(path)
+    return path
+
+
+@query
+def source_load_records(spark, sf_dir):
+    rows = readers.load_records(
+        spark, _landed_load(spark, sf_dir), "2024-01-05", "2024-01-25", ["S", "NE"], lines=True
+    )
+    return rows.select("_area", "_fonte", F.col("val_cargaglobal").try_cast("double").alias("val"))
+
+
+@query
+def source_recent_load(spark, sf_dir):
+    rows = readers.recent_load(spark, _landed_load(spark, sf_dir), "2024-01-20", 5, lines=True)
+    return rows.groupBy("_area").agg(F.count("*").alias("n"))
+
+
+def _landed_dispatch(spark, sf_dir):
+    """Dispatch files of two headers in one folder."""
+    path = session.scratch_path(spark, "dispatch-csv")
+    rows = inputs.dispatch(spark, sf_dir)
+    early = F.col("num_patamar") <= 3
+    rows.filter(early).write.csv(path, sep=";", header=True)
+    later = [c for c in reversed(rows.columns) if c != "val_ger_pct"]
+    rows.filter(~early).select(later).write.mode("append").csv(path, sep=";", header=True)
+    return readers.dispatch_files(spark, path)
+
+
+@query
+def source_dispatch_files(spark, sf_dir):
+    return _landed_dispatch(spark, sf_dir).drop("hash", "fonte_arquivo")
+
+
+@query
+def sink_dispatch(spark, sf_dir):
+    path = session.scratch_path(spark, "dispatch-table")
+    landed = _landed_dispatch(spark, sf_dir)
+    for _ in range(2):
+        writers.append_dispatch(landed, path)
+    table = readers.stored(spark, path, schemas.STORED_DISPATCH)
+    return table.select("dia", "num_patamar", "cod_subsistema", "val_demanda", "val_ger_pct")
+
+
+@query
+def sink_registry(spark, sf_dir):
+    path = session.scratch_path(spark, "landing")
+    records = inputs.raw(spark, sf_dir).select(F.get_json_object("raw_json", "$.SigUF").alias("SigUF"))
+    for day in ("2026-01-01", "2026-01-02"):
+        writers.land_registry(records, path, f"{day} 00:00:00")
+    landed = readers.stored(spark, path, schemas.RAW)
+    return landed.select(F.get_json_object("raw_json", "$.SigUF").alias("SigUF"), "ingested_at")
+
+
+@query
+def sink_load(spark, sf_dir):
+    path = session.scratch_path(spark, "load-table")
+    records = inputs.load_official(spark, sf_dir)
+    tagged = records.withColumn("_area", F.when(F.col("area") != "N", F.col("area")).otherwise(""))
+    writers.append_load(tagged.drop("area"), path, "2024-02-01 00:00:00")
+    return readers.stored(spark, path, schemas.STORED_LOAD).select("area", "tipo", "ts", "val", "dia")
+
+
+@query
+def sink_plants(spark, sf_dir):
+    path, later = session.scratch_path(spark, "plants"), session.scratch_path(spark, "plants")
+    first = plants.normalise(inputs.plant_records(spark, sf_dir).withColumn("versao", F.lit(0)), "versao")
+    writers.write_plants(None, first, path, ["versao"])
+    updates = plants.normalise(inputs.plant_updates(spark, sf_dir), "versao")
+    writers.write_plants(spark.read.parquet(path), updates, later, ["versao"])
+    return spark.read.parquet(later)
+
+
+@query
+def sink_fact(spark, sf_dir):
+    path = session.scratch_path(spark, "fact-table")
+    rows = fact(spark, sf_dir)
+    writers.write_fact(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@query
+def sink_treemap(spark, sf_dir):
+    path = session.scratch_path(spark, "treemap")
+    writers.write_treemap(classified(spark, sf_dir), path, "2026-01-01T00:00:00")
+    leaf = "array<struct<name:string,value:double,qtd:bigint>>"
+    tree = spark.read.schema(f"root string, unit string, name string, value double, qtd bigint, children {leaf}").json(path)
+    return tree.select("root", "unit", F.col("name").alias("uf"), F.inline("children")).select(
+        "root", "unit", "uf", F.col("name").alias("fonte"), F.col("value").alias("mw"), "qtd"
+    )
+
+
+@query
+def sink_geojson(spark, sf_dir):
+    path = session.scratch_path(spark, "geojson")
+    writers.write_geojson(inputs.plants(spark, sf_dir), path)
+    feature = (
+        "geometry struct<coordinates:array<double>>,"
+        " properties struct<nome_empreendimento:string,uf:string,tipo_geracao:string,potencia_outorgada_kw:double>"
+    )
+    rows = spark.read.schema(feature).json(path)
+    at = F.col("geometry.coordinates")
+    return rows.select(at[0].alias("lon"), at[1].alias("lat"), "properties.*")
+
+
+@query
+def sink_report(spark, sf_dir):
+    path = session.scratch_path(spark, "report")
+    writers.write_report(_report(spark, sf_dir), path, "2026-01-01T00:00:00")
+    kept = spark.read.schema(schemas.FINDING).json(f"{path}/divergencias")
+    return kept.select("tipo", "chave", "severidade")

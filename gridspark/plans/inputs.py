@@ -102,6 +102,9 @@ def plants(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s_acctbal") * 100).alias("potencia_outorgada_kw"),
         F.when(key % 10 == 0, 0.0).otherwise((key % 30 - 30).cast("double")).alias("lat"),
         F.when(key % 11 != 0, (key % 35 - 70).cast("double")).alias("lon"),
+        F.when(key % 9 == 0, "")
+        .otherwise(_text(F.date_add(F.lit("1993-01-01").cast("date"), (key * 13 % 4000).cast("int"))))
+        .alias("data_entrada_operacao"),
     )
 
 
@@ -168,6 +171,11 @@ def load_official(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_official_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An official extract that came without area N."""
+    return load_official(spark, sf_dir).filter(F.col("area") != "N")
+
+
 def dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dispatch balance."""
     q = F.col("l_quantity")

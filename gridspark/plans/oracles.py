@@ -31,7 +31,9 @@ TABLES = {
     CASE s_suppkey % 4 WHEN 0 THEN 'UHE' WHEN 1 THEN 'UTE' WHEN 2 THEN 'EOL' ELSE 'UFV' END AS tipo_geracao,
     s_acctbal * 100 AS potencia_outorgada_kw,
     CAST(CASE WHEN s_suppkey % 10 = 0 THEN 0 ELSE -30 + s_suppkey % 30 END AS DOUBLE) AS lat,
-    CAST(CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE -70 + s_suppkey % 35 END AS DOUBLE) AS lon
+    CAST(CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE -70 + s_suppkey % 35 END AS DOUBLE) AS lon,
+    CASE WHEN s_suppkey % 9 = 0 THEN '' ELSE CAST(DATE '1993-01-01' + CAST(s_suppkey * 13 % 4000 AS INTEGER) AS VARCHAR)
+      END AS data_entrada_operacao
   FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "fx_load": """
   SELECT event_id AS id, 'verificada' AS tipo,
@@ -243,10 +245,31 @@ TABLES["gaps"] = """
     'municipio', 'uf']) AS campo)
   WHERE campo NOT IN (SELECT DISTINCT CASE k WHEN 'siguf' THEN 'uf' WHEN 'dscfontegeracao' THEN 'fonte' ELSE k END
     FROM (SELECT UNNEST(json_keys(to_json(f))) AS k FROM fact f))"""
+TABLES["absent_area"] = """
+  SELECT 'fetch_vazio' AS tipo, area AS chave, 'atencao' AS severidade
+  FROM (SELECT UNNEST(['S', 'N', 'NE', 'SIN']) AS area)
+  WHERE area NOT IN (SELECT area FROM fx_official WHERE area <> 'N')"""
 TABLES["findings"] = """
-  SELECT tipo, severidade FROM drift UNION ALL SELECT tipo, severidade FROM no_area
-  UNION ALL SELECT tipo, severidade FROM stale UNION ALL SELECT tipo, severidade FROM incomplete
-  UNION ALL SELECT tipo, severidade FROM gaps"""
+  SELECT tipo, chave, severidade, CAST(valor_local AS DOUBLE) AS valor_local,
+    CAST(valor_oficial AS DOUBLE) AS valor_oficial, CAST(delta_pct AS DOUBLE) AS delta_pct FROM drift
+  UNION ALL SELECT tipo, chave, severidade, NULL, NULL, NULL FROM absent_area
+  UNION ALL SELECT tipo, chave, severidade, NULL, NULL, NULL FROM stale
+  UNION ALL SELECT tipo, chave, severidade, CAST(valor_local AS DOUBLE), CAST(valor_oficial AS DOUBLE),
+    CAST(delta_pct AS DOUBLE) FROM incomplete
+  UNION ALL SELECT tipo, chave, severidade, NULL, NULL, NULL FROM gaps"""
+TABLES["growth_rows"] = """
+  SELECT d.data, (SELECT COUNT(*) FROM wide WHERE TRY_CAST(data_conexao AS DATE) <= d.data) AS mmgd_ativos,
+    (SELECT COALESCE(SUM(potencia_instalada_kw), 0) FROM wide WHERE TRY_CAST(data_conexao AS DATE) <= d.data)
+      AS mmgd_potencia_kw,
+    (SELECT COUNT(*) FROM fx_plants WHERE COALESCE(TRY_CAST(data_entrada_operacao AS DATE), DATE '0001-01-01') <= d.data)
+      AS siga_ativos,
+    (SELECT COALESCE(SUM(potencia_outorgada_kw), 0) FROM fx_plants
+      WHERE COALESCE(TRY_CAST(data_entrada_operacao AS DATE), DATE '0001-01-01') <= d.data) AS siga_potencia_kw,
+    (SELECT AVG(carga) FROM fx_load WHERE CAST(rts AS DATE) <= d.data) AS ons_carga_media_mw,
+    mmgd_ativos + siga_ativos + (SELECT COUNT(*) FROM fx_load WHERE CAST(rts AS DATE) <= d.data) AS total_registros
+  FROM (SELECT UNNEST([DATE '1992-12-31', DATE '1993-12-31', DATE '1994-12-31', DATE '1995-12-31', DATE '1996-12-31',
+    DATE '1997-12-31', DATE '1998-12-31', DATE '1999-12-31', DATE '2000-12-31', DATE '2001-12-31', DATE '2024-01-10',
+    DATE '2024-01-20']) AS data) d"""
 
 _WORD = re.compile(r"[a-z_]+")
 
@@ -355,7 +378,7 @@ WHERE siguf = 'NATION_3' AND dscfontegeracao ILIKE '%gás%' ORDER BY id LIMIT 50
 SELECT cod_ceg, nome_empreendimento, uf, tipo_geracao, potencia_outorgada_kw FROM fx_plants
 WHERE tipo_geracao = 'UFV' ORDER BY potencia_outorgada_kw DESC, cod_ceg LIMIT 20""",
     "plants_geo": """
-SELECT *, ROUND(GREATEST(3, LEAST(14, SQRT(GREATEST(potencia_outorgada_kw, 0) / 5000))), 6) AS raio FROM fx_plants
+SELECT * EXCLUDE (data_entrada_operacao), ROUND(GREATEST(3, LEAST(14, SQRT(GREATEST(potencia_outorgada_kw, 0) / 5000))), 6) AS raio FROM fx_plants
 WHERE lat <> 0 AND lon <> 0 ORDER BY potencia_outorgada_kw DESC, cod_ceg""",
     "treemap_uf_plants": """
 SELECT uf, nome_empreendimento AS name, potencia_outorgada_kw AS value, tipo_geracao AS fonte FROM fx_plants
@@ -407,17 +430,26 @@ SELECT id, rts AS data, carga FROM fx_load
 WHERE area = 'S' AND rts >= TIMESTAMP '2024-01-01' AND rts < TIMESTAMP '2024-02-01'""",
     "load_drift": "SELECT * FROM drift",
     "load_drift_recent": _DRIFT.format(points="recent_stored"),
-    "missing_areas": "SELECT * FROM no_area",
+    "missing_areas": "SELECT * FROM absent_area",
+    "missing_area_hours": "SELECT * FROM no_area",
     "staleness": "SELECT * FROM stale",
     "completeness": "SELECT * FROM incomplete",
     "schema_gap": "SELECT * FROM gaps",
     "quality_report": """
+SELECT CAST(CASE severidade WHEN 'critico' THEN 0 WHEN 'atencao' THEN 1 ELSE 2 END AS INTEGER) AS ordem,
+  tipo, chave, severidade, ROUND(valor_local, 3) AS valor_local, ROUND(valor_oficial, 3) AS valor_oficial,
+  ROUND(delta_pct, 3) AS delta_pct FROM findings""",
+    "quality_breakdown": """
 SELECT CAST(CASE severidade WHEN 'critico' THEN 0 WHEN 'atencao' THEN 1 ELSE 2 END AS INTEGER) AS ordem,
   severidade, tipo, COUNT(*) AS total FROM findings GROUP BY 1, 2, 3""",
     "quality_summary": """
 SELECT COUNT(*) AS total_divergencias, COUNT(*) FILTER (severidade = 'critico') AS criticos,
   COUNT(*) FILTER (severidade = 'atencao') AS atencoes,
-  CAST(CASE WHEN COUNT(*) FILTER (severidade = 'critico') > 0 THEN 1 ELSE 0 END AS INTEGER) AS falhou FROM findings""",
+  CAST(CASE WHEN COUNT(*) FILTER (severidade = 'critico') > 0 THEN 1 ELSE 0 END AS INTEGER) AS falhou,
+  (SELECT COUNT(*) FROM fx_raw) AS registros_mmgd_raw, (SELECT COUNT(*) FROM fact) AS registros_mmgd_fato,
+  (SELECT COUNT(*) FROM fx_load) AS registros_ons_carga, (SELECT COUNT(*) FROM fx_dispatch) AS registros_dessem_detalhe,
+  (SELECT COUNT(*) FROM fx_plants) AS registros_siga_fato
+FROM findings""",
     "iot_adapted": """
 SELECT user_id AS cliente_id, ts, value AS geracao_kw,
   CAST(CASE WHEN event_id % 3 = 0 THEN 2.5 ELSE 0 END AS DOUBLE) AS consumo_kw,
@@ -482,18 +514,55 @@ WHERE status = 'venda_realizada'""",
     "credits_available": """
 SELECT * FROM fx_credits WHERE saldo_kwh > 0 AND data_vencimento > DATE '2003-01-01'""",
     "growth_snapshot": """
-SELECT DATE '2001-12-31' AS data, u.n AS mmgd_ativos, ROUND(u.kw, 2) AS mmgd_potencia_kw, p.n AS siga_ativos,
-  ROUND(p.kw, 2) AS siga_potencia_kw, ROUND(l.media, 2) AS ons_carga_media_mw, u.n + p.n + l.n AS total_registros
-FROM (SELECT COUNT(*) AS n, SUM(potencia_instalada_kw) AS kw FROM wide WHERE data_conexao <= '2001-12-31') u,
-  (SELECT COUNT(*) AS n, SUM(potencia_outorgada_kw) AS kw FROM fx_plants) p,
-  (SELECT COUNT(*) AS n, AVG(carga) AS media FROM fx_load WHERE CAST(rts AS DATE) <= DATE '2001-12-31') l""",
+SELECT data, mmgd_ativos, ROUND(mmgd_potencia_kw, 2) AS mmgd_potencia_kw, siga_ativos,
+  ROUND(siga_potencia_kw, 2) AS siga_potencia_kw, ROUND(ons_carga_media_mw, 2) AS ons_carga_media_mw, total_registros
+FROM growth_rows WHERE data = DATE '2001-12-31'""",
     "growth_delta": """
+SELECT data, mmgd_ativos, ROUND(mmgd_potencia_kw, 2) AS mmgd_potencia_kw, siga_ativos,
+  ROUND(siga_potencia_kw, 2) AS siga_potencia_kw, ROUND(ons_carga_media_mw, 2) AS ons_carga_media_mw, total_registros,
+  mmgd_ativos - LAG(mmgd_ativos) OVER w AS delta_mmgd_ativos,
+  ROUND(mmgd_potencia_kw - LAG(mmgd_potencia_kw) OVER w, 2) AS delta_mmgd_potencia_kw,
+  siga_ativos - LAG(siga_ativos) OVER w AS delta_siga_ativos,
+  ROUND(siga_potencia_kw - LAG(siga_potencia_kw) OVER w, 2) AS delta_siga_potencia_kw,
+  ROUND(ons_carga_media_mw - LAG(ons_carga_media_mw) OVER w, 2) AS delta_ons_carga_media_mw
+FROM growth_rows WINDOW w AS (ORDER BY data)""",
+    "growth_log": """
+SELECT data, mmgd_ativos, ROUND(mmgd_potencia_kw, 2) AS mmgd_potencia_kw, siga_ativos,
+  ROUND(siga_potencia_kw, 2) AS siga_potencia_kw, ROUND(ons_carga_media_mw, 2) AS ons_carga_media_mw, total_registros
+FROM growth_rows ORDER BY data DESC LIMIT 30""",
+    "growth_history": """
 SELECT data, mmgd_ativos, ROUND(mmgd_potencia_kw, 2) AS mmgd_potencia_kw,
   mmgd_ativos - LAG(mmgd_ativos) OVER (ORDER BY data) AS delta_mmgd_ativos,
   ROUND(mmgd_potencia_kw - LAG(mmgd_potencia_kw) OVER (ORDER BY data), 2) AS delta_mmgd_potencia_kw
 FROM running""",
-    "growth_log": """
-SELECT data, mmgd_ativos, ROUND(mmgd_potencia_kw, 2) AS mmgd_potencia_kw FROM running ORDER BY data DESC LIMIT 30""",
+    "source_registry_csv": """
+SELECT cod_empreendimento AS "CodEmpreendimento", NULLIF(siguf, '') AS "SigUF",
+  NULLIF(dscfontegeracao, '') AS "DscFonteGeracao" FROM fact""",
+    "source_load_records": """
+SELECT area AS _area, 'verificada' AS _fonte, val FROM fx_official
+WHERE area IN ('S', 'NE') AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'""",
+    "source_recent_load": """
+SELECT area AS _area, COUNT(*) AS n FROM fx_official
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-20' GROUP BY 1""",
+    "source_dispatch_files": """
+SELECT dia AS din_programacaodia, patamar AS num_patamar, sub AS cod_subsistema, demanda AS val_demanda,
+  hidraulica AS val_ger_hidraulica, pch AS val_ger_pch, termica AS val_ger_termica,
+  CASE WHEN patamar <= 3 THEN pct END AS val_ger_pct, eolica AS val_ger_eolica, solar AS val_ger_fotovoltaica,
+  mmgd AS val_ger_mmgd, CAST(NULL AS DOUBLE) AS val_cons_elevatoria FROM fx_dispatch""",
+    "sink_dispatch": """
+SELECT dia, patamar AS num_patamar, sub AS cod_subsistema, demanda AS val_demanda,
+  CASE WHEN patamar <= 3 THEN pct END AS val_ger_pct FROM (SELECT DISTINCT * FROM fx_dispatch)""",
+    "sink_registry": """
+SELECT DISTINCT json_extract_string(raw_json, '$.SigUF') AS "SigUF", TIMESTAMP '2026-01-01' AS ingested_at
+FROM fx_raw""",
+    "sink_load": """
+SELECT CASE WHEN area = 'N' THEN '' ELSE area END AS area, 'verificada' AS tipo, ts, val, CAST(ts AS DATE) AS dia
+FROM fx_official""",
+    "sink_fact": "SELECT * FROM fact",
+    "sink_geojson": """
+SELECT lon, lat, nome_empreendimento, uf, tipo_geracao, potencia_outorgada_kw FROM fx_plants
+WHERE lat <> 0 AND lon <> 0""",
+    "sink_report": "SELECT tipo, chave, severidade FROM findings",
     "forecast_load": """
 , seasonal AS (SELECT area, ISODOW(rts) - 1 AS wd, HOUR(rts) * 2 + MINUTE(rts) // 30 AS slot, AVG(carga) AS media
   FROM fx_load WHERE CAST(rts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-30' GROUP BY 1, 2, 3)
@@ -511,6 +580,18 @@ SELECT siguf, printf('%04d-%02d', 1970 + (last + k) // 12, (last + k) % 12 + 1)
 FROM line, (SELECT UNNEST(generate_series(1, 12)) AS k)""",
 }
 
+_BODIES["sink_plants"] = _BODIES["plants_upsert"]
+_BODIES["sink_treemap"] = f"""
+SELECT 'Brasil' AS root, 'MW' AS unit, uf, fonte, mw, qtd FROM ({_BODIES["export_tree"]})"""
+_BODIES["source_plant_pages"] = """
+SELECT CASE WHEN TRUE THEN 'CEG' || CAST(s_suppkey AS VARCHAR) END AS "CodCEG", s_name AS "NomEmpreendimento",
+  n_name AS "SigUFPrincipal",
+  CASE s_suppkey % 4 WHEN 0 THEN 'UHE' WHEN 1 THEN 'UTE' WHEN 2 THEN 'EOL' ELSE 'UFV' END AS "SigTipoGeracao",
+  CASE WHEN s_suppkey % 13 = 0 THEN '' WHEN s_suppkey % 17 = 0 THEN '1.' || num ELSE num END AS "MdaPotenciaOutorgadaKw",
+  CAST(s_suppkey % 30 - 30 AS VARCHAR) || ',5' AS "NumCoordNEmpreendimento"
+FROM (SELECT *, REPLACE(CAST(CAST(s_acctbal AS DECIMAL(18, 2)) AS VARCHAR), '.', ',') AS num FROM supplier)
+JOIN nation ON s_nationkey = n_nationkey"""
+
 _MIX = """
 SELECT '{name}' AS subsistema, dia AS din_programacaodia, patamar AS num_patamar, ROUND(d, 2) AS demanda_mw,
   h AS hidraulica_mw, t AS termica_mw, e AS eolica_mw, s AS solar_mw, m AS mmgd_mw,

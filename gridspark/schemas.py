@@ -78,6 +78,27 @@ CATALOGUE = ddl(
     result="struct<metadata_modified:string,"
     "resources:array<struct<id:string,name:string,format:string,url:string>>>",
 )
+STORED_LOAD = ddl(
+    id="bigint",
+    tipo="string",
+    area="string",
+    created_at="timestamp_ntz",
+    data_json="string",
+    ts="timestamp_ntz",
+    carga_global="double",
+    val="double",
+    dia="date",
+)
+STORED_DISPATCH = DISPATCH_FILE + ", " + ddl(hash="string", fonte_arquivo="string", dia="date")
+GROWTH_LOG = ddl(
+    mmgd_ativos="bigint",
+    mmgd_potencia_kw="double",
+    siga_ativos="bigint",
+    siga_potencia_kw="double",
+    ons_carga_media_mw="double",
+    total_registros="bigint",
+    data="date",
+)
 FINDING = ddl(
     tipo="string",
     chave="string",

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Newest or largest rows per key are cut in the map task up to this many a key.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Recording a Python call site for every Column costs more than planning.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,16 +77,18 @@ def load_records(
     """Landed load records of some areas whose reference date lies in [start, end].
 
     Files hold a JSON array each, or one record per line when ``lines``. An
-    answer that is no list of records gives no rows. Rows are tagged with
-    ``_fonte`` and ``_area``.
+    answer that is no list of records gives no rows. The area asked for is the
+    folder a file was landed in (``S`` or ``area=S``), else the record's own. Rows
+    are tagged with ``_fonte`` and ``_area``.
     """
     wanted = check_areas(areas or AREAS)
     records = spark.read.schema(schemas.LOAD_RECORD).json(path, multiLine=not lines)
     day = reference_time().cast("date")
     inside = day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    return records.filter(F.col("cod_areacarga").isin(wanted) & inside).withColumns(
-        {"_fonte": F.lit(kind), "_area": F.col("cod_areacarga")}
-    )
+    folder = F.regexp_extract("_metadata.file_path", rf"/(?:area=)?({'|'.join(AREAS)})/[^/]+$", 1)
+    area = F.when(folder != "", folder).otherwise(F.col("cod_areacarga"))
+    tagged = records.withColumns({"_fonte": F.lit(kind), "_area": area})
+    return tagged.filter(F.col("_area").isin(wanted) & inside).drop("area")
 
 
 def recent_load(
@@ -95,23 +99,48 @@ def recent_load(
     return load_records(spark, path, str(bounds[0]), today, lines=lines)
 
 
+def _header(spark: SparkSession, file: str) -> str:
+    """First line of a file; nothing else of it is read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    opened = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(opened, "UTF-8"))
+        return lines.readLine() or ""
+    finally:
+        opened.close()
+
+
 def dispatch_files(spark: SparkSession, path: str) -> DataFrame:
-    """Dispatch CSVs of a folder in one scan, columns taken by name.
+    """Dispatch CSVs of a folder, columns taken by name from each file's own header.
 
-    Files must share a header. Adds the file name and the row hash.
+    The driver reads the header lines; files with the same header are one scan. Adds
+    the file name and the row hash over all columns of the file.
     """
-    text = spark.read.csv(path, sep=";", header=True, inferSchema=False, enforceSchema=False)
+    listed = spark.read.format("binaryFile").load(path).select("path").collect()
+    groups: dict[str, list[str]] = {}
+    for file in sorted(row["path"] for row in listed):
+        header = _header(spark, file)
+        if header:
+            groups.setdefault(header, []).append(file)
     fields = [part.split("` ") for part in schemas.DISPATCH_FILE.split(", ")]
 
-    def typed(name: str, kind: str) -> Column:
-        value = F.col(name) if name in text.columns else F.lit(None)
-        return value.try_cast(kind).alias(name)
+    def one(files: list[str]) -> DataFrame:
+        text = spark.read.csv(files, sep=";", header=True, inferSchema=False, enforceSchema=False)
 
-    return text.select(
-        *[typed(name.strip("`"), kind) for name, kind in fields],
-        row_hash(text).alias("hash"),
-        F.col("_metadata.file_name").alias("fonte_arquivo"),
-    )
+        def typed(name: str, kind: str) -> Column:
+            value = F.col(name) if name in text.columns else F.lit(None)
+            return value.try_cast(kind).alias(name)
+
+        return text.select(
+            *[typed(name.strip("`"), kind) for name, kind in fields],
+            row_hash(text).alias("hash"),
+            F.col("_metadata.file_name").alias("fonte_arquivo"),
+        )
+
+    if not groups:
+        return spark.createDataFrame([], f"{schemas.DISPATCH_FILE}, hash string, fonte_arquivo string")
+    return reduce(DataFrame.unionByName, [one(files) for files in groups.values()])
 
 
 def catalogue(spark: SparkSession, path: str) -> DataFrame:

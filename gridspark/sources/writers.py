@@ -7,17 +7,14 @@ from pyspark.sql import functions as F
 
 from gridspark import schemas
 from gridspark.functions.parsing import row_hash
-from gridspark.operators import capacity, plants, quality
+from gridspark.operators import capacity, load, plants, quality
 from gridspark.operators.rowsets import new_rows
 from gridspark.session import materialise
 from gridspark.sources.readers import VERIFIED, stored
 
 REGISTRY_RESOURCE = "aneel_mmgd"
-STORED_LOAD = schemas.ddl(
-    id="bigint", tipo="string", area="string", data_json="string", created_at="timestamp_ntz"
-)
-# A treemap document is one value; more regions than this point to broken data.
-DOCUMENT_REGIONS = 10_000
+# Folder of rows without a UF: a partition column cannot hold the empty text.
+NO_UF = "-"
 
 
 def _after_last(table: DataFrame, column: str):
@@ -49,8 +46,8 @@ def land_registry(
 
 
 def append_load(records: DataFrame, path: str, created_at: str) -> None:
-    """Append load records as JSON rows, partitioned by area; repeats stay."""
-    target = stored(records.sparkSession, path, STORED_LOAD)
+    """Append load records, typed and as JSON, partitioned by day; repeats stay."""
+    target = stored(records.sparkSession, path, schemas.STORED_LOAD)
 
     def tag(name: str, default: str):
         return F.coalesce(name, F.lit(default)) if name in records.columns else F.lit(default)
@@ -62,25 +59,43 @@ def append_load(records: DataFrame, path: str, created_at: str) -> None:
         F.to_json(F.struct("*")).alias("data_json"),
         F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
     )
-    rows.write.mode("append").partitionBy("area").parquet(path)
+    typed = load.load_points(rows, "data_json").withColumn("dia", F.col("ts").cast("date"))
+    typed.write.mode("append").partitionBy("dia").parquet(path)
+
+
+def append_dispatch(rows: DataFrame, path: str) -> None:
+    """Add the dispatch rows whose ``hash`` is not stored yet, partitioned by day.
+
+    A row's hash covers its day, so only the stored folders of the days that come in are compared.
+    """
+    fresh = materialise(rows.withColumn("dia", F.col("din_programacaodia")), "dispatch")
+    target = stored(rows.sparkSession, path, schemas.STORED_DISPATCH)
+    days = fresh.select("dia").distinct()
+    same_days = target.join(days, target["dia"].eqNullSafe(days["dia"]), "left_semi")
+    # Equal hashes are equal rows but for the file, so the first file by name stays.
+    added = new_rows(same_days, fresh, "hash", ["fonte_arquivo"])
+    materialise(added, "dispatch-new").write.mode("append").partitionBy("dia").parquet(path)
+
+
+def write_plants(stored_plants: DataFrame | None, incoming: DataFrame, path: str, order: list[str]) -> None:
+    """A new plant snapshot: ``stored_plants`` with the incoming ones replacing theirs.
+
+    ``order`` names the bookkeeping columns of ``incoming`` that rank versions; they are not stored.
+    """
+    base = incoming.limit(0) if stored_plants is None else stored_plants
+    plants.upsert_plants(base, incoming, order).drop(*order).write.mode("overwrite").parquet(path)
 
 
 def write_treemap(classified: DataFrame, path: str, generated_at: str) -> None:
-    """The Brasil, UF, source tree as one JSON document, UFs by name."""
-    regions = materialise(capacity.export_tree(classified), "treemap")
-    if regions.count() > DOCUMENT_REGIONS:
-        raise ValueError(f"more than {DOCUMENT_REGIONS} regions for one document")
-    document = regions.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("children")).select(
-        F.to_json(
-            F.struct(
-                F.lit("Brasil").alias("name"),
-                F.lit(generated_at).alias("generated_at"),
-                F.lit("MW").alias("unit"),
-                "children",
-            )
-        ).alias("value")
+    """The Brasil, UF, source tree as JSON, one line per UF, each naming its root."""
+    line = F.struct(
+        F.lit("Brasil").alias("root"),
+        F.lit(generated_at).alias("generated_at"),
+        F.lit("MW").alias("unit"),
+        "*",
     )
-    document.write.mode("overwrite").text(path)
+    tree = capacity.export_tree(classified).select(F.to_json(line).alias("value"))
+    tree.write.mode("overwrite").text(path)
 
 
 def write_geojson(plant_table: DataFrame, path: str, limit: int | None = None) -> None:
@@ -89,11 +104,13 @@ def write_geojson(plant_table: DataFrame, path: str, limit: int | None = None) -
     plants.geojson_features(rows).write.mode("overwrite").text(path)
 
 
-def write_report(report_rows: DataFrame, path: str, timestamp: str) -> bool:
+def write_report(
+    report_rows: DataFrame, path: str, timestamp: str, counts: DataFrame | None = None
+) -> bool:
     """Findings and their one-row summary as JSON; True when any is critical."""
     kept = materialise(report_rows, "report")
     kept.drop("ordem").write.mode("overwrite").json(f"{path}/divergencias")
-    resumo = quality.summary(kept).withColumn("timestamp", F.lit(timestamp))
+    resumo = quality.summary(kept, counts).withColumn("timestamp", F.lit(timestamp))
     resumo.write.mode("overwrite").json(f"{path}/resumo")
     return resumo.first()["falhou"] == 1
 
@@ -104,10 +121,14 @@ def write_cells(fact: DataFrame, path: str) -> None:
 
 
 def write_fact(fact: DataFrame, path: str) -> None:
-    """The fact as a new snapshot by UF, so UF filters skip the other folders."""
-    fact.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "siguf"
-    ).parquet(path)
+    """The fact as a new snapshot by UF: filter on ``uf_pasta`` to skip the other folders.
+
+    ``siguf`` itself is stored as it is, the empty text included.
+    """
+    folder = F.when(F.coalesce("siguf", F.lit("")) == "", NO_UF).otherwise(F.col("siguf"))
+    fact.withColumn("uf_pasta", folder).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy("uf_pasta").parquet(path)
 
 
 def write_snapshot_row(snapshot: DataFrame, path: str) -> None:

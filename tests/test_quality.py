@@ -77,8 +77,7 @@ def test_drift_finds_what_was_seeded(spark, sf_dir):
 def test_recent_points_bound(spark):
     stored = points(spark, *[("S", "{}")] * 5, *[("N", "{}")] * 2)
     assert sorted(r["id"] for r in quality.recent_points(stored, 2).collect()) == [3, 4, 5, 6]
-    with pytest.raises(ValueError):
-        quality.recent_points(stored, 1001)
+    assert quality.recent_points(stored, 100_000).count() == 7
 
 
 def test_missing_areas(spark):

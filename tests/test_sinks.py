@@ -36,8 +36,12 @@ def test_load_append_repeats(spark, tmp_path):
     out = str(tmp_path / "load")
     for day in (1, 2):
         writers.append_load(records, out, f"2026-07-1{day} 00:00:00")
-    stored = readers.stored(spark, out, writers.STORED_LOAD)
-    points = load.load_points(stored).collect()
+    stored = readers.stored(spark, out, schemas.STORED_LOAD)
+    points = stored.collect()
+    assert points[0]["carga_global"] == 5.5 and json.loads(points[0]["data_json"])["cod_areacarga"] == "S"
+    day = load.load_series(stored, "S", "2026-07-10", "2026-07-11")
+    assert "PartitionFilters: [isnotnull(dia" in day._jdf.queryExecution().executedPlan().toString()
+    assert day.count() == 2
     assert len(points) == 2 and len({p["id"] for p in points}) == 2
     assert {(p["area"], p["tipo"], str(p["ts"]), p["val"]) for p in points} == {("S", "verificada", "2026-07-10 00:30:00", 5.5)}
 
@@ -50,11 +54,10 @@ def test_treemap_document(spark, tmp_path):
     df = spark.createDataFrame(rows, "uf string, fonte_norm string, potencia_kw double, is_outlier int")
     out = str(tmp_path / "tree")
     writers.write_treemap(df, out, "2026-07-14T00:00:00")
-    tree = json.loads(text_of(out))
-    assert tree["name"] == "Brasil" and tree["unit"] == "MW"
-    assert [c["name"] for c in tree["children"]] == ["SP"]
-    assert tree["children"][0]["value"] == 5.0 and tree["children"][0]["qtd"] == 3
-    assert [(c["name"], c["value"]) for c in tree["children"][0]["children"]] == [("EOL", 3.0), ("UFV", 2.0)]
+    region = json.loads(text_of(out))
+    assert (region["root"], region["unit"], region["name"]) == ("Brasil", "MW", "SP")
+    assert region["value"] == 5.0 and region["qtd"] == 3
+    assert [(c["name"], c["value"]) for c in region["children"]] == [("EOL", 3.0), ("UFV", 2.0)]
 
 
 def test_geojson_lines(spark, sf_dir, tmp_path):
@@ -92,10 +95,12 @@ def test_fact_snapshot_prunes_by_uf(spark, sf_dir, tmp_path):
     out = str(tmp_path / "fact")
     fact = registry.lean_fact(inputs.raw(spark, sf_dir))
     writers.write_fact(fact, out)
-    stored = spark.read.parquet(out).filter(F.col("siguf") == "NATION_3")
+    stored = spark.read.parquet(out).filter(F.col("uf_pasta") == "NATION_3")
     plan = stored._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(siguf" in plan
+    assert "PartitionFilters: [isnotnull(uf_pasta" in plan
     assert stored.count() == fact.filter(F.col("siguf") == "NATION_3").count()
+    unnamed = fact.filter("siguf = ''").count()
+    assert unnamed > 0 and spark.read.parquet(out).filter("siguf = ''").count() == unnamed
 
 
 def test_cells_serve_every_level(spark, sf_dir, tmp_path):

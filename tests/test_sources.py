@@ -9,12 +9,12 @@ HEADER = "CodEmpreendimento;MdaPotenciaInstaladaKW;SigUF;DscFonteGeracao"
 
 
 def test_registry_snapshot_is_latin1_text(spark, tmp_path):
-    lines = [HEADER, 'GD.AC.001;"32,50";AC;Radiação solar', "GD.AC.002;2,00;AC;Radiação solar"]
+    lines = [HEADER, 'U-1;"407,25";GO;Biogás', "U-2;9,90;PA;Cinética do vento (eólica)"]
     (tmp_path / "a.csv").write_bytes("\n".join(lines).encode("latin-1"))
     df = readers.registry_snapshot(spark, str(tmp_path))
     rows = df.orderBy("CodEmpreendimento").collect()
-    assert [r["MdaPotenciaInstaladaKW"] for r in rows] == ["32,50", "2,00"]
-    assert rows[0]["DscFonteGeracao"] == "Radiação solar"
+    assert [r["MdaPotenciaInstaladaKW"] for r in rows] == ["407,25", "9,90"]
+    assert rows[0]["DscFonteGeracao"] == "Biogás"
     assert readers.field_list(df)[0] == {"id": "CodEmpreendimento", "type": "text"}
     assert readers.registry_snapshot(spark, str(tmp_path), 1).count() == 1
 
@@ -49,16 +49,34 @@ def load_file(folder, area, *points):
 
 def test_load_records(spark, tmp_path):
     for area in readers.AREAS:
-        load_file(tmp_path, area, ("2026-07-10", 12238.3), ("2026-07-11", 11751.4))
+        load_file(tmp_path, area, ("2031-02-27", 640.5), ("2031-02-28", 702.25))
     (tmp_path / "bad.json").write_text(json.dumps({"error": "no data"}))
-    both = readers.recent_load(spark, str(tmp_path), "2026-07-11", 1)
+    both = readers.recent_load(spark, str(tmp_path), "2031-02-28", 1)
     assert both.count() == 8
     assert {(r["_fonte"], r["_area"]) for r in both.collect()} == {("verificada", a) for a in readers.AREAS}
-    assert readers.load_records(spark, str(tmp_path), "2026-07-11", "2026-07-11", ["S"]).count() == 1
-    planned = readers.load_records(spark, str(tmp_path), "2026-07-10", "2026-07-11", ["N"], readers.PLANNED)
+    assert readers.load_records(spark, str(tmp_path), "2031-02-28", "2031-02-28", ["S"]).count() == 1
+    planned = readers.load_records(spark, str(tmp_path), "2031-02-27", "2031-02-28", ["N"], readers.PLANNED)
     assert planned.first()["_fonte"] == "programada"
     with pytest.raises(ValueError):
-        readers.load_records(spark, "/nowhere", "2026-07-10", "2026-07-11", ["XX"])
+        readers.load_records(spark, "/nowhere", "2031-02-27", "2031-02-28", ["XX"])
+
+
+def test_load_area_comes_from_the_folder(spark, tmp_path):
+    for folder, record in (("NE", {"val_carga": 1.5}), ("S", {"cod_areacarga": "N", "val_carga": 2.5})):
+        (tmp_path / folder).mkdir()
+        record["din_referenciautc"] = "2031-02-27T01:00:00Z"
+        (tmp_path / folder / "a.json").write_text(json.dumps([record]))
+    rows = readers.recent_load(spark, f"{tmp_path}/*", "2031-02-28")
+    assert {(r["_area"], r["val_carga"]) for r in rows.collect()} == {("NE", "1.5"), ("S", "2.5")}
+
+
+def test_dispatch_headers_differ(spark, tmp_path):
+    assert readers.dispatch_files(spark, str(tmp_path)).count() == 0
+    (tmp_path / "a.csv").write_text("din_programacaodia;num_patamar;val_demanda\n2025-05-01;1;10\n")
+    (tmp_path / "b.csv").write_text("val_demanda;cod_subsistema;din_programacaodia\n20;S;2025-05-02\n")
+    (tmp_path / "empty.csv").write_text("")
+    rows = readers.dispatch_files(spark, str(tmp_path)).orderBy("fonte_arquivo").collect()
+    assert [(r["num_patamar"], r["cod_subsistema"], r["val_demanda"]) for r in rows] == [(1, None, 10.0), (None, "S", 20.0)]
 
 
 def test_dispatch_files(spark, tmp_path):
