@@ -124,9 +124,49 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
 FROM named
 """
 
+
+
+def _centroid_steps(rounds: int) -> str:
+    """One step that assigns and one that moves the centroids, for each round."""
+    nearest = """near{k} AS MATERIALIZED (
+  SELECT rid, arg_min({{'c': cluster, 'd': d}}, {{'d': d, 'c': cluster}}) AS best FROM (
+    SELECT rid, cluster, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+    FROM kept, centres{k}) GROUP BY rid
+)"""
+    moved = """totals{k} AS (
+  SELECT best.c AS cluster, place, sum(x) AS s, count(*) AS n
+  FROM (SELECT best, unnest(v) AS x, unnest(range(64)) AS place FROM kept JOIN near{k} USING (rid)) GROUP BY ALL
+), centres{next} AS MATERIALIZED (
+  SELECT cluster, coalesce(m, c) AS c FROM centres{k} LEFT JOIN (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY place) AS m
+    FROM totals{k} GROUP BY cluster) USING (cluster)
+)"""
+    steps = [f"{nearest.format(k=k)}, {moved.format(k=k, next=k + 1)}" for k in range(rounds)]
+    return ", ".join([*steps, nearest.format(k=rounds)])
+
+
+CENTROIDS = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(1024.0 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = 64
+), centres0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS cluster, v AS c
+  FROM kept ORDER BY cluster LIMIT 8
+), {_centroid_steps(10)}, finals AS (
+  SELECT vec_id, best.c AS cluster, CAST(best.d AS BIGINT) AS distance FROM kept JOIN near10 USING (rid)
+)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM finals JOIN centres10 USING (cluster)
+"""
+
 ORACLES = {
     "op1_url_filters": URL_FILTERS,
     "op3_exact_dedup": EXACT_DEDUP,
     "op8_source_mix": SOURCE_MIX,
     "op10_warc": WARC,
+    "op12_centroids": CENTROIDS,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import chat, exact_dedup, fingerprints, mixing, near_dedup, packing, quality, token_files, url_filters, warc
+from gridspark.llm import centroids, chat, exact_dedup, fingerprints, mixing, near_dedup, packing, quality, token_files, url_filters, warc
 from gridspark.session import scratch_path
 
 PACK_END, FILE_END = 1, 2
@@ -14,6 +14,7 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "labels": "doc_id bigint, quality int, toxic int",
     "pages": "page_id bigint, url string, html string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
@@ -128,6 +129,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_chat_windows": op2_chat_windows,
@@ -139,4 +144,5 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_near_dedup": op9_near_dedup,
     "op10_warc": op10_warc,
+    "op12_centroids": op12_centroids,
 }
