@@ -163,10 +163,107 @@ SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
 FROM finals JOIN centres10 USING (cluster)
 """
 
+
+# Kinds in their order, with pattern and what a match must meet.
+PRIVATE = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    (
+        "ip",
+        r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+        "len(list_filter(string_split(value, '.'), lambda x: coalesce(TRY_CAST(x AS HUGEINT), 256) > 255)) = 0",
+    ),
+    (
+        "card",
+        r"[0-9](?:[\x20-]?[0-9])+",
+        """len(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, len(digits) + 1), lambda j:
+          CASE WHEN (len(digits) - j) % 2 = 0 THEN CAST(digits[j] AS INTEGER)
+            WHEN CAST(digits[j] AS INTEGER) > 4 THEN 2 * CAST(digits[j] AS INTEGER) - 9
+            ELSE 2 * CAST(digits[j] AS INTEGER) END)) % 10 = 0""",
+    ),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "len(digits) BETWEEN 10 AND 15"),
+]
+
+
+def _private(k: int, kind: str, pattern: str, valid: str) -> str:
+    """Valid matches of a kind with their places and the texts beside them."""
+    entity = {"email": "lower(value)", "ip": "value"}.get(kind, "digits")
+    places = "list_sum(list_transform({0}, lambda x: len(x)))"
+    return f"""
+  SELECT rid, {k} AS k, '{kind}' AS kind, '{kind}:' || {entity} AS entity, before, after, place AS start_, place + len(value) AS end_
+  FROM (SELECT rid, found[i] AS value, regexp_replace(found[i], '[^0-9]', '', 'g') AS digits, gaps[i] AS before,
+      gaps[i + 1] AS after, {places.format("gaps[1:i]")} + coalesce({places.format("found[1:i - 1]")}, 0) AS place
+    FROM (SELECT rid, gaps, found, unnest(range(1, len(found) + 1)) AS i FROM (
+      SELECT rid, string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS found FROM docs)))
+  WHERE {valid}"""
+
+
+def _beside(gap: str, cut: str, edge: str) -> str:
+    whole = f"CASE WHEN len({gap}) > 100 THEN regexp_replace({cut}({gap}, 100), '{edge}', '') ELSE {gap} END"
+    return f"regexp_replace({whole}, '{PRIVATE[0][1]}', ' ', 'g')"
+
+
+def _power(n: int) -> str:
+    return " * ".join(["odds"] * n)
+
+
+NEAR = _beside("before", "right", r"^[^\x20\x09-\x0D]+") + " || ' ' || " + _beside("after", "left", r"[^\x20\x09-\x0D]+$")
+SANITISE = rf"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
+), base AS MATERIALIZED ({" UNION ALL ".join(_private(k, *kind) for k, kind in enumerate(PRIVATE))}
+), near AS (
+  SELECT DISTINCT rid, entity, lower(w) AS term FROM (SELECT rid, entity, unnest(regexp_extract_all(
+    {NEAR}, '[\p{{L}}\p{{M}}]+')) AS w FROM base) WHERE len(w) >= 3
+), pairs AS (
+  SELECT entity, term, count(*) AS n_both FROM near GROUP BY ALL HAVING count(*) >= 2
+), entities AS (
+  SELECT entity, count(DISTINCT rid) AS n_entity FROM base GROUP BY entity
+), words AS (
+  SELECT rid, unnest(found) AS w, unnest(list_transform(gaps[1:len(found)], lambda x: len(x))) AS gap,
+    unnest(range(1, len(found) + 1)) AS i
+  FROM (
+    SELECT rid, string_split_regex(text, '[\p{{L}}\p{{M}}]+') AS gaps, regexp_extract_all(text, '[\p{{L}}\p{{M}}]+') AS found
+    FROM docs)
+), terms AS (
+  SELECT term, count(*) AS n_term FROM (SELECT DISTINCT rid, lower(w) AS term FROM words WHERE len(w) >= 3) GROUP BY term
+), weighed AS (
+  SELECT entity, term, CAST((SELECT count(*) FROM docs) AS DOUBLE) / n_entity AS rare,
+    CAST(greatest(n_term, n_both) AS DOUBLE) / n_both AS odds
+  FROM pairs JOIN entities USING (entity) JOIN terms USING (term)
+), telling AS (
+  SELECT entity, term, CASE WHEN {_power(20)} <= rare THEN 2 ELSE 1 END AS level
+  FROM weighed WHERE rare > 1 AND {_power(5)} <= rare
+), levels AS (
+  SELECT rid, term, max(level) AS level FROM (SELECT DISTINCT rid, entity FROM base) JOIN telling USING (entity) GROUP BY ALL
+), placed AS MATERIALIZED (
+  SELECT rid, lower(w) AS term, sum(gap + len(w)) OVER (PARTITION BY rid ORDER BY i) AS end_, len(w) AS chars
+  FROM words WHERE rid IN (SELECT rid FROM base)
+), told AS (
+  SELECT rid, 3 + level AS k, CASE level WHEN 1 THEN 'generalised' ELSE 'removed' END AS kind,
+    end_ - chars AS start_, end_
+  FROM placed p JOIN levels USING (rid, term)
+  WHERE NOT EXISTS (FROM base b WHERE b.rid = p.rid AND b.start_ < p.end_ AND p.end_ - chars < b.end_)
+), every AS (
+  SELECT rid, k, kind, start_, end_ FROM base UNION ALL SELECT * FROM told
+), listed AS (
+  SELECT rid, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+    count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+    string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, k) FILTER (k < 4) AS base_spans,
+    string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, k) AS spans,
+    count(*) FILTER (k = 4) AS n_generalised, count(*) FILTER (k = 5) AS n_removed
+  FROM every GROUP BY rid
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_generalised, 0) AS n_generalised, coalesce(n_removed, 0) AS n_removed
+FROM docs LEFT JOIN listed USING (rid)
+"""
+
 ORACLES = {
     "op1_url_filters": URL_FILTERS,
     "op3_exact_dedup": EXACT_DEDUP,
     "op8_source_mix": SOURCE_MIX,
     "op10_warc": WARC,
     "op12_centroids": CENTROIDS,
+    "op13_sanitise": SANITISE,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import centroids, chat, exact_dedup, fingerprints, mixing, near_dedup, packing, quality, token_files, url_filters, warc
+from gridspark.llm import centroids, chat, exact_dedup, fingerprints, mixing, near_dedup, packing, quality, sanitise, token_files, url_filters, warc
 from gridspark.session import scratch_path
 
 PACK_END, FILE_END = 1, 2
@@ -133,6 +133,10 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op13_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_chat_windows": op2_chat_windows,
@@ -145,4 +149,5 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_warc": op10_warc,
     "op12_centroids": op12_centroids,
+    "op13_sanitise": op13_sanitise,
 }
