@@ -259,11 +259,47 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM docs LEFT JOIN listed USING (rid)
 """
 
+PHRASES = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS pid, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), lists AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY lang
+), counts AS MATERIALIZED (
+  SELECT lang, words, len(words) AS m, count(*) AS f
+  FROM (SELECT lang, w[i:i + k - 1] AS words, k, i, len(w) AS size FROM (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists), (SELECT unnest(range(1, 6)) AS k))
+  WHERE i + k - 1 <= size GROUP BY ALL HAVING count(*) >= 100
+), candidates AS (
+  SELECT lang, words, m, f AS a, unnest(range(1, m)) AS k FROM counts WHERE m >= 2
+), contained AS (
+  SELECT DISTINCT lang, unnest([words[1:m - 1], words[2:m]]) AS words, f FROM counts WHERE m >= 3
+), cuts AS (
+  SELECT c.lang, c.words, a, k, l.f AS l, r.f AS r, n,
+    CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM candidates c JOIN totals USING (lang)
+  JOIN counts l ON l.lang = c.lang AND l.words = c.words[1:k]
+  JOIN counts r ON r.lang = c.lang AND r.words = c.words[k + 1:c.m]
+), scored AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, arg_min({'l': l, 'r': r}, {'score': score, 'k': k}) AS parts,
+    n, min(score) AS score
+  FROM cuts WHERE NOT EXISTS (FROM contained o WHERE o.lang = cuts.lang AND o.words = cuts.words AND o.f = cuts.a)
+  GROUP BY lang, words, a, n
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a,
+  parts.l AS l, parts.r AS r, n, score
+FROM scored QUALIFY rank <= 2000
+"""
+
 ORACLES = {
     "op1_url_filters": URL_FILTERS,
     "op3_exact_dedup": EXACT_DEDUP,
     "op8_source_mix": SOURCE_MIX,
     "op10_warc": WARC,
+    "op11_phrases": PHRASES,
     "op12_centroids": CENTROIDS,
     "op13_sanitise": SANITISE,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm import centroids, chat, exact_dedup, fingerprints, mixing, near_dedup, packing, quality, sanitise, token_files, url_filters, warc
+from gridspark.llm import centroids, chat, exact_dedup, fingerprints, mixing, near_dedup, packing, phrases, quality, sanitise, token_files, url_filters, warc
 from gridspark.session import scratch_path
 
 PACK_END, FILE_END = 1, 2
@@ -129,6 +129,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -148,6 +152,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_near_dedup": op9_near_dedup,
     "op10_warc": op10_warc,
+    "op11_phrases": op11_phrases,
     "op12_centroids": op12_centroids,
     "op13_sanitise": op13_sanitise,
 }
