@@ -676,7 +676,7 @@ def sink_load(spark, sf_dir):
     records = inputs.load_official(spark, sf_dir)
     tagged = records.withColumn("_area", F.when(F.col("area") != "N", F.col("area")).otherwise(""))
     writers.append_load(tagged.drop("area"), path, "2024-02-01 00:00:00")
-    return readers.stored(spark, path, schemas.STORED_LOAD).select("area", "tipo", "ts", "val", "dia")
+    return readers.stored(spark, path, schemas.STORED_LOAD).select("area", "tipo", "ts", "val", "carga_global", "dia")
 
 
 @query
@@ -694,7 +694,7 @@ def sink_fact(spark, sf_dir):
     path = session.scratch_path(spark, "fact-table")
     rows = fact(spark, sf_dir)
     writers.write_fact(rows, path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return readers.stored_fact(spark, path, rows.schema)
 
 
 @query

@@ -257,7 +257,7 @@ TABLES["findings"] = """
   UNION ALL SELECT tipo, chave, severidade, CAST(valor_local AS DOUBLE), CAST(valor_oficial AS DOUBLE),
     CAST(delta_pct AS DOUBLE) FROM incomplete
   UNION ALL SELECT tipo, chave, severidade, NULL, NULL, NULL FROM gaps"""
-TABLES["growth_rows"] = """
+TABLES["growth_days"] = """
   SELECT d.data, (SELECT COUNT(*) FROM wide WHERE TRY_CAST(data_conexao AS DATE) <= d.data) AS mmgd_ativos,
     (SELECT COALESCE(SUM(potencia_instalada_kw), 0) FROM wide WHERE TRY_CAST(data_conexao AS DATE) <= d.data)
       AS mmgd_potencia_kw,
@@ -266,10 +266,12 @@ TABLES["growth_rows"] = """
     (SELECT COALESCE(SUM(potencia_outorgada_kw), 0) FROM fx_plants
       WHERE COALESCE(TRY_CAST(data_entrada_operacao AS DATE), DATE '0001-01-01') <= d.data) AS siga_potencia_kw,
     (SELECT AVG(carga) FROM fx_load WHERE CAST(rts AS DATE) <= d.data) AS ons_carga_media_mw,
-    mmgd_ativos + siga_ativos + (SELECT COUNT(*) FROM fx_load WHERE CAST(rts AS DATE) <= d.data) AS total_registros
+    (SELECT COUNT(*) FROM fx_load WHERE CAST(rts AS DATE) <= d.data) AS linhas_carga
   FROM (SELECT UNNEST([DATE '1992-12-31', DATE '1993-12-31', DATE '1994-12-31', DATE '1995-12-31', DATE '1996-12-31',
     DATE '1997-12-31', DATE '1998-12-31', DATE '1999-12-31', DATE '2000-12-31', DATE '2001-12-31', DATE '2024-01-10',
     DATE '2024-01-20']) AS data) d"""
+TABLES["growth_rows"] = """
+  SELECT * EXCLUDE (linhas_carga), mmgd_ativos + siga_ativos + linhas_carga AS total_registros FROM growth_days"""
 
 _WORD = re.compile(r"[a-z_]+")
 
@@ -556,8 +558,8 @@ SELECT dia, patamar AS num_patamar, sub AS cod_subsistema, demanda AS val_demand
 SELECT DISTINCT json_extract_string(raw_json, '$.SigUF') AS "SigUF", TIMESTAMP '2026-01-01' AS ingested_at
 FROM fx_raw""",
     "sink_load": """
-SELECT CASE WHEN area = 'N' THEN '' ELSE area END AS area, 'verificada' AS tipo, ts, val, CAST(ts AS DATE) AS dia
-FROM fx_official""",
+SELECT CASE WHEN area = 'N' THEN '' ELSE area END AS area, 'verificada' AS tipo, ts, NULLIF(val, 0) AS val, val AS carga_global,
+  CAST(ts AS DATE) AS dia FROM fx_official""",
     "sink_fact": "SELECT * FROM fact",
     "sink_geojson": """
 SELECT lon, lat, nome_empreendimento, uf, tipo_geracao, potencia_outorgada_kw FROM fx_plants

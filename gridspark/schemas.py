@@ -8,6 +8,8 @@ def ddl(**fields: str) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
 
 
+# Folder of rows without a UF: a partition column cannot hold the empty text.
+NO_UF = "-"
 # Fields read from one registry record.
 REGISTRY_JSON = ddl(
     CodEmpreendimento="string",

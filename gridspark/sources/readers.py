@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridspark import schemas
 from gridspark.functions.parsing import row_hash
@@ -184,3 +185,14 @@ def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def stored_fact(spark: SparkSession, path: str, schema: StructType, ufs: list[str] | None = None) -> DataFrame:
+    """A stored fact table without its folder column; with ``ufs`` only their folders are read.
+
+    The empty text among ``ufs`` stands for units without a UF.
+    """
+    rows = spark.read.schema(schema).parquet(path)
+    if ufs is not None:
+        rows = rows.filter(F.col("uf_pasta").isin([uf or schemas.NO_UF for uf in ufs]))
+    return rows.select(schema.fieldNames())

@@ -13,8 +13,6 @@ from gridspark.session import materialise
 from gridspark.sources.readers import VERIFIED, stored
 
 REGISTRY_RESOURCE = "aneel_mmgd"
-# Folder of rows without a UF: a partition column cannot hold the empty text.
-NO_UF = "-"
 
 
 def _after_last(table: DataFrame, column: str):
@@ -125,7 +123,7 @@ def write_fact(fact: DataFrame, path: str) -> None:
 
     ``siguf`` itself is stored as it is, the empty text included.
     """
-    folder = F.when(F.coalesce("siguf", F.lit("")) == "", NO_UF).otherwise(F.col("siguf"))
+    folder = F.when(F.coalesce("siguf", F.lit("")) == "", schemas.NO_UF).otherwise(F.col("siguf"))
     fact.withColumn("uf_pasta", folder).write.mode("overwrite").option(
         "partitionOverwriteMode", "static"
     ).partitionBy("uf_pasta").parquet(path)
