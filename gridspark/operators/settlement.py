@@ -5,16 +5,17 @@ takes nothing, so every decision depends on the ones before it. Two exact ways
 share the work:
 
 * A credit with few requests is folded: its requests, sorted, in one array.
-* A credit with many requests is settled in passes over range-partitioned rows.
-  A pass first folds the next ``SLICE_ROWS`` requests exactly, so it always
-  gets on, refunds or not. From the balance R left there, while the balance
-  stays within half and twice R, every request below R/2 is certain to fit;
-  only larger ones need the running balance, and the first of them that fits
-  ends the pass, as does leaving the range. That part is one distributed
-  running sum. Without refunds each pass halves the balance; with refunds the
-  number of passes is at most requests / ``SLICE_ROWS``. A pass writes the
-  outcome of the rows it settled, and later ones read only what is left. No
-  task or group ever holds such a credit whole.
+* A credit with many requests is cut into slices that are folded side by side,
+  each from a guessed balance. A fold also yields the interval of start balances
+  under which none of its outcomes changes, and the net amount it takes. Chaining
+  the slices of a credit gives the balance each one really starts with: where it
+  lies in the interval the fold holds, with the end moved along; else the slice is
+  folded again from there, and the chain goes on meanwhile from the end that the
+  guess led to. A slice far into an exhausted credit mostly ends alike whatever
+  the start, and one of a rich credit accepts all, so few passes suffice; a pass
+  settles at least the first slice that was wrong. A chain has one step for a slice
+  of ``SLICE_ROWS`` or more requests, at most ``MOST_SLICES`` a credit; no task or
+  group holds such a credit whole, and a fold streams over blocks of requests.
 
 Quantities are decimals with six places, so sums do not depend on their order.
 """
@@ -22,12 +23,17 @@ Quantities are decimals with six places, so sums do not depend on their order.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from decimal import Decimal, localcontext
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.operators.credits import TOKEN_SHARE
-from gridspark.session import materialise, scratch_path
+from gridspark.session import materialise
 
 # Result names.
 SOLD = "venda_realizada"
@@ -38,7 +44,10 @@ KIND = "venda"
 
 ORDER = ["data_transacao", "seq", "tie", "tie2"]
 FOLD_LIMIT = 1000
-SLICE_ROWS = 10_000
+# Requests of a slice at least, slices of a credit at most, requests of a block.
+SLICE_ROWS = 500_000
+MOST_SLICES = 100_000
+BLOCK_ROWS = 20_000
 CHUNK_ROWS = 1_000_000
 FOLD_BLOCK = 100
 QUANTITY = "decimal(28,6)"
@@ -111,81 +120,6 @@ def _folded(requests: DataFrame, credits: DataFrame, order: list[str]) -> DataFr
     )
 
 
-def _sliced(live: DataFrame, state: DataFrame, slice_rows: int) -> DataFrame:
-    """State after the exact fold of each credit's next slice."""
-    end = F.least(F.col("done") + slice_rows, F.col("last"))
-    ahead = (
-        live.join(state.select("credito_id", "done", "last"), "credito_id")
-        .filter((F.col("n") > F.col("done")) & (F.col("n") <= end))
-        .groupBy("credito_id")
-        .agg(F.array_sort(F.collect_list(F.struct("n", "q"))).alias("reqs"))
-    )
-    folded = ahead.join(state, "credito_id").withColumn("f", _fold(F.col("reqs"), F.col("left")))
-    return folded.select(
-        "credito_id", "done", "last", "f.flags", end.alias("after"), F.col("f.left").alias("start")
-    )
-
-
-def _round(live: DataFrame, state: DataFrame) -> DataFrame:
-    """The certain range behind each slice: where it ends and the balance there."""
-    live = (
-        live.join(state.select("credito_id", "start", "after"), "credito_id")
-        .filter(F.col("n") > F.col("after"))
-        # beyond the round's range: neither fits nor changes anything
-        .filter((F.col("start") < 0) | (F.col("q") <= F.col("start") * 2))
-        .withColumn("used", F.when(_certain(), F.col("q")).otherwise(F.lit(0).cast(QUANTITY)))
-    )
-    earlier = Window.partitionBy("credito_id").orderBy("chunk").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        live.groupBy("credito_id", "chunk")
-        .agg(F.sum("used").alias("s"))
-        .select("credito_id", "chunk", F.sum("s").over(earlier).alias("chunks_before"))
-    )
-    inside = Window.partitionBy("credito_id", "chunk").orderBy("n").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    zero = F.lit(0).cast(BALANCE)
-    left = (
-        F.col("start")
-        - F.coalesce(F.sum("used").over(inside).cast(BALANCE), zero)
-        - F.coalesce(F.col("chunks_before").cast(BALANCE), zero)
-    ).cast(BALANCE)
-    rest = (F.col("left") - F.col("q")).cast(BALANCE)
-    leaves = (rest * 2 < F.col("start")) | (rest > F.col("start") * 2)
-    ends = F.when(F.col("certain"), leaves).otherwise(F.col("left") >= F.col("q"))
-    found = (
-        live.withColumn("certain", _certain())
-        .join(offsets, ["credito_id", "chunk"])
-        .withColumn("left", left)
-        .filter(ends)
-        .groupBy("credito_id")
-        .agg(F.min(F.struct(F.col("n").alias("until"), rest.alias("next"))).alias("e"))
-    )
-    return state.join(found, "credito_id", "left").select(
-        state["*"], F.col("e.until").alias("until"), F.col("e.next").alias("next")
-    )
-
-
-def _certain() -> Column:
-    """Requests sure to fit while the balance range of the pass holds."""
-    q, start = F.col("q"), F.col("start")
-    return F.coalesce((start >= 0) & ((q * 2 < start) | (q <= 0)), F.lit(False))
-
-
-def _outcomes(live: DataFrame, passed: DataFrame) -> DataFrame:
-    """Outcome of the requests that a pass settled."""
-    settled = live.join(passed, "credito_id").filter(
-        (F.col("n") > F.col("done")) & (F.col("n") <= F.coalesce("until", "last"))
-    )
-    in_slice = F.substring("flags", (F.col("n") - F.col("done")).cast("int"), F.lit(1)) == "1"
-    in_range = F.coalesce(_certain() | (F.col("n") == F.col("until")), F.lit(False))
-    return settled.select(
-        "credito_id", "n", F.when(F.col("n") <= F.col("after"), in_slice).otherwise(in_range).alias("aceita")
-    )
-
-
 def _numbered(requests: DataFrame, rows: int, order: list[str]) -> DataFrame:
     """Requests with their place ``n`` (from 1) among those of their credit (eager)."""
     cores = requests.sparkSession.sparkContext.defaultParallelism
@@ -216,33 +150,184 @@ def _numbered(requests: DataFrame, rows: int, order: list[str]) -> DataFrame:
     )
 
 
+FOLDED = "credito_id bigint, slice bigint, start decimal(38,6), net decimal(38,6), low decimal(38,6), high decimal(38,6)"
+FLAGGED = "credito_id bigint, block bigint, flags array<boolean>"
+STARTS = "credito_id bigint, slice bigint, start decimal(38,6), again boolean"
+MONEY = pa.decimal128(38, 6)
+
+
+def _unscaled(values: pa.Array) -> list[int | None]:
+    """Decimals as whole millionths."""
+    pairs = np.frombuffer(values.buffers()[1], dtype="<i8")[2 * values.offset :][: 2 * len(values)].reshape(-1, 2)
+    low, high = pairs[:, 0], pairs[:, 1]
+    if (high == low >> 63).all():
+        whole = low.tolist()
+    else:
+        whole = [(h << 64) | (x & 0xFFFFFFFFFFFFFFFF) for x, h in zip(low.tolist(), high.tolist())]
+    if values.null_count:
+        return [v if there else None for v, there in zip(whole, values.is_valid().to_pylist())]
+    return whole
+
+
+def _money(values: list[int | None]) -> pa.Array:
+    def exact(v: int) -> Decimal:
+        return Decimal((int(v < 0), tuple(map(int, str(abs(v)))), -6))
+
+    return pa.array([None if v is None else exact(v) for v in values], MONEY)
+
+
+class _Slice:
+    """A fold under way: the balance, and how far the start could move either way."""
+
+    def __init__(self, start: int):
+        self.start = self.left = start
+        self.down: int | None = None
+        self.up: int | None = None
+
+    def take(self, quantities: list[int | None]) -> list[bool]:
+        """Outcomes of the next requests."""
+        left, down, up = self.left, self.down, self.up
+        flags = []
+        for q in quantities:
+            fits = q is not None and left >= q
+            flags.append(fits)
+            if fits:
+                left -= q
+                if down is None or left < down:
+                    down = left
+            elif q is not None and (up is None or q - left < up):
+                up = q - left
+        self.left, self.down, self.up = left, down, up
+        return flags
+
+    def bounds(self) -> tuple[int, int, int | None, int | None]:
+        """Start, net amount taken, and the starts from ``low`` to below ``high`` of equal outcomes."""
+        low = None if self.down is None else self.start - self.down
+        high = None if self.up is None else self.start + self.up
+        return self.start, self.start - self.left, low, high
+
+
+def _blocks_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(credit, slice, block, start, quantities) of sorted blocks."""
+    for batch in batches:
+        starts = _unscaled(batch.column("start"))
+        lists = batch.column("qs")
+        values, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy())
+        keys = zip(*(batch.column(c).to_pylist() for c in ("credito_id", "slice", "block")))
+        for k, key in enumerate(keys):
+            first = int(ends[k - 1]) if k else 0
+            yield *key, starts[k], _unscaled(values.slice(first, int(ends[k]) - first))
+
+
+def _fold_bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Net amount and interval of each slice."""
+    key, run, done = None, None, []
+
+    def batch_of(done: list) -> pa.RecordBatch:
+        credit, number, start, net, low, high = zip(*done)
+        arrays = [pa.array(credit, pa.int64()), pa.array(number, pa.int64()), *map(_money, (start, net, low, high))]
+        return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in FOLDED.split(", ")])
+
+    for credit, number, _, start, quantities in _blocks_in_order(batches):
+        if (credit, number) != key:
+            if run:
+                done.append((*key, *run.bounds()))
+            key, run = (credit, number), _Slice(start)
+        run.take(quantities)
+    if run:
+        done.append((*key, *run.bounds()))
+        yield batch_of(done)
+
+
+def _fold_flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Outcomes of each block, slices starting from their true balance."""
+    key, run = None, None
+    for credit, number, block, start, quantities in _blocks_in_order(batches):
+        if (credit, number) != key:
+            key, run = (credit, number), _Slice(start)
+        flags = pa.array([run.take(quantities)], pa.list_(pa.bool_()))
+        arrays = [pa.array([credit], pa.int64()), pa.array([block], pa.int64()), flags]
+        yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in FLAGGED.split(", ")])
+
+
+def _chain(folds: pd.DataFrame) -> pd.DataFrame:
+    """Where each slice of one credit starts, and whether its fold does not hold there."""
+    folds = folds.sort_values("slice")
+    out, x = [], None
+    with localcontext() as exact:
+        exact.prec = 80
+        for f in folds.itertuples(index=False):
+            x = f.start if x is None else x
+            holds = (pd.isna(f.low) or x >= f.low) and (pd.isna(f.high) or x < f.high)
+            out.append((f.credito_id, f.slice, x, not holds))
+            x = (x if holds else f.start) - f.net
+    return pd.DataFrame(out, columns=["credito_id", "slice", "start", "again"])
+
+
+def _fold_slices(blocks: DataFrame, starts: DataFrame, fold, schema: str) -> DataFrame:
+    """``fold`` over the blocks of the slices that ``starts`` names, each slice in one task and in order."""
+    return (
+        blocks.join(starts.select("credito_id", "slice", "start"), ["credito_id", "slice"])
+        .repartition("credito_id", "slice")
+        .sortWithinPartitions("credito_id", "slice", "block")
+        .select("credito_id", "slice", "block", "start", "qs")
+        .mapInArrow(fold, schema)
+    )
+
+
+def _guesses(blocks: DataFrame, opening: DataFrame) -> DataFrame:
+    """The balance each slice would start with if all before it were accepted, but no less than nothing."""
+    before = Window.partitionBy("credito_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    asked = F.coalesce(F.sum("asked").over(before), F.lit(0)).cast(BALANCE)
+    guess = F.when(F.col("slice") == 0, F.col("saldo")).otherwise(F.greatest(F.col("saldo") - asked, F.lit(0)))
+    return (
+        blocks.groupBy("credito_id", "slice")
+        .agg(F.sum("asked").alias("asked"))
+        .join(opening, "credito_id")
+        .select("credito_id", "slice", guess.cast(BALANCE).alias("start"))
+    )
+
+
 def _in_passes(
-    requests: DataFrame, credits: DataFrame, sizes: DataFrame, rows: int, order: list[str], slice_rows: int
+    requests: DataFrame,
+    credits: DataFrame,
+    sizes: DataFrame,
+    rows: int,
+    order: list[str],
+    slice_rows: int,
+    block_rows: int,
 ) -> DataFrame:
-    """Settlement of credits with many requests, over range-partitioned rows (eager)."""
-    spark = requests.sparkSession
+    """Settlement of credits with many requests, slice by slice (eager)."""
     opening = credits.select(F.col("id").alias("credito_id"), F.col("saldo_kwh").cast(BALANCE).alias("saldo"))
     numbered = _numbered(requests, rows, order)
-    live = materialise(numbered.select("credito_id", "chunk", "n", "q"), "settlement-live")
-    state = sizes.join(opening, "credito_id").select(
-        "credito_id", F.lit(0).cast("bigint").alias("done"), F.col("n").alias("last"), F.col("saldo").alias("left")
+    width = F.greatest(F.lit(slice_rows), F.ceil(F.col("rows") / MOST_SLICES))
+    # Whole blocks to a slice.
+    slices = sizes.withColumnRenamed("n", "rows").select("credito_id", F.ceil(width / block_rows).alias("width"))
+    block = F.expr(f"(n - 1) div {block_rows}")
+    blocks = materialise(
+        numbered.select("credito_id", "n", "q", block.alias("block"))
+        .groupBy("credito_id", "block")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "q"))).alias("listed"), F.sum("q").alias("asked"))
+        .join(slices, "credito_id")
+        .select("credito_id", F.expr("block div width").alias("slice"), "block", "asked", F.col("listed.q").alias("qs")),
+        "settlement-blocks",
     )
-    path, held, left, number = scratch_path(spark, "settlement-outcomes"), rows, rows, 0
-    while left:
-        if left * 2 <= held:  # most rows are settled: keep the others only
-            ahead = live.join(state.select("credito_id", "done"), "credito_id").filter(F.col("n") > F.col("done"))
-            live, held = materialise(ahead.drop("done"), "settlement-live"), left
-        sliced = materialise(_sliced(live, state, slice_rows), "settlement-slice")
-        passed = materialise(_round(live, sliced), "settlement-pass")
-        _outcomes(live, passed).write.parquet(f"{path}/pass={number}")
-        state = passed.filter(F.col("until") < F.col("last")).select(
-            "credito_id", F.col("until").alias("done"), "last", F.col("next").alias("left")
+    folds = materialise(_fold_slices(blocks, _guesses(blocks, opening), _fold_bounds, FOLDED), "settlement-folds")
+    while True:
+        starts = materialise(folds.groupBy("credito_id").applyInPandas(_chain, STARTS), "settlement-starts")
+        again = starts.filter("again")
+        if again.isEmpty():
+            break
+        held = folds.join(again.select("credito_id", "slice"), ["credito_id", "slice"], "left_anti")
+        folds = materialise(
+            held.unionByName(_fold_slices(blocks, again, _fold_bounds, FOLDED)), "settlement-folds"
         )
-        left = state.agg(F.coalesce(F.sum(F.col("last") - F.col("done")), F.lit(0))).first()[0]
-        number += 1
-    outcomes = spark.read.schema("credito_id bigint, n bigint, aceita boolean").parquet(f"{path}/pass=*")
+    outcomes = _fold_slices(blocks, starts, _fold_flags, FLAGGED).select(
+        "credito_id", "block", F.posexplode("flags").alias("place", "aceita")
+    )
+    n = F.col("block") * block_rows + F.col("place") + 1
     return (
-        numbered.join(outcomes, ["credito_id", "n"])
+        numbered.join(outcomes.select("credito_id", n.alias("n"), "aceita"), ["credito_id", "n"])
         .join(opening, "credito_id")
         .select(*requests.columns, "saldo", "aceita")
     )
@@ -254,6 +339,7 @@ def settle(
     order: list[str] = ORDER,
     fold_limit: int = FOLD_LIMIT,
     slice_rows: int = SLICE_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Every sale request with its outcome.
 
@@ -278,7 +364,7 @@ def settle(
             wanted.join(ids, "credito_id", "left_anti"), credits, order
         ).unionByName(
             _in_passes(
-                wanted.join(ids, "credito_id", "left_semi"), credits, ids, size[1], order, slice_rows
+                wanted.join(ids, "credito_id", "left_semi"), credits, ids, size[1], order, slice_rows, block_rows
             )
         )
     decided = decided.unionByName(refused, allowMissingColumns=True)

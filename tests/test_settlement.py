@@ -2,6 +2,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridspark.operators import settlement
 
@@ -50,13 +51,13 @@ def some_requests(rng, credits, n, quantity):
     ]
 
 
-@pytest.mark.parametrize("fold_limit, slice_rows", [(1000, 7), (3, 7), (3, 10_000)])
+@pytest.mark.parametrize("options", [{}, {"fold_limit": 3, "slice_rows": 6, "block_rows": 3}, {"fold_limit": 3}])
 @pytest.mark.parametrize("seed", range(2))
-def test_against_walk(spark, seed, fold_limit, slice_rows):
+def test_against_walk(spark, seed, options):
     rng = random.Random(seed)
     credits = {1: 100.0, 2: 0.0, 3: 57.25, 4: 1e6, 5: 12.5}
-    requests = some_requests(rng, [1, 1, 1, 2, 3, 4, 5, 99], 200, lambda r: round(r.expovariate(1 / 8), 2))
-    check(spark, credits, requests, fold_limit=fold_limit, slice_rows=slice_rows)
+    quantity = [lambda r: round(r.expovariate(1 / 8), 2), lambda r: round(r.gauss(2, 8), 6)][seed]
+    check(spark, credits, some_requests(rng, [1, 1, 1, 2, 3, 4, 5, 99], 200, quantity), **options)
 
 
 @pytest.mark.parametrize("fold_limit", [1000, 3])
@@ -68,23 +69,54 @@ def test_odd_quantities(spark, fold_limit):
     check(spark, credits, requests, fold_limit=fold_limit)
 
 
-def test_one_hot_credit_needs_few_passes(spark, monkeypatch):
-    rounds = []
-    real = settlement._round
-    monkeypatch.setattr(settlement, "_round", lambda *a: rounds.append(1) or real(*a))
-    rng = random.Random(3)
-    requests = some_requests(rng, [1], 5000, lambda r: float(r.randrange(1, 50)))
-    check(spark, {1: 3000.0}, requests, fold_limit=100, slice_rows=50)
-    assert len(rounds) <= 14
+@pytest.fixture
+def passes(monkeypatch):
+    """Folds of slices made, the last one for the outcomes left out."""
+    made = []
+    real = settlement._fold_slices
 
+    def counted(blocks, starts, fold, schema):
+        if fold is settlement._fold_bounds:
+            made.append(starts.count())
+        return real(blocks, starts, fold, schema)
 
-def test_refunds_take_few_passes(spark, monkeypatch):
-    rounds = []
-    real = settlement._round
-    monkeypatch.setattr(settlement, "_round", lambda *a: rounds.append(1) or real(*a))
-    requests = some_requests(random.Random(5), [1], 24, lambda r: r.choice([-3.0, 3.0, 2.0]))
-    check(spark, {1: 1.0}, requests, fold_limit=5)
-    assert len(rounds) <= 2
+    monkeypatch.setattr(settlement, "_fold_slices", counted)
+    return made
+
+
+@pytest.mark.parametrize("quantity", [
+    lambda r: float(r.randrange(1, 50)),
+    lambda r: r.randrange(1, 50) * (-1.0 if r.random() < 0.2 else 1.0),
+    lambda r: r.choice([-3.0, 3.0, 2.0]),
+])
+def test_one_hot_credit_needs_few_passes(spark, passes, quantity):
+    requests = some_requests(random.Random(3), [1], 20_000, quantity)
+    check(spark, {1: 3000.0}, requests, fold_limit=100, slice_rows=1000, block_rows=250)
+    assert passes[0] == 20 and len(passes) < 10 and sum(passes) < 60
+
+
+def test_two_million_refunded_requests(spark, passes):
+    """Outcomes are folded again here from the sorted requests."""
+    table = spark.createDataFrame([(1, 5000.0)], "id bigint, saldo_kwh double")
+    q = F.pmod(F.xxhash64("id"), F.lit(50)) + 1
+    asked = spark.range(2_000_000).select(
+        "id", F.lit(1).cast("bigint").alias("credito_id"), F.lit(1.0).alias("valor_rs"),
+        F.when(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5)) == 0, -q).otherwise(q).cast("double").alias("quantidade_kwh"),
+    )
+    settled = settlement.settle(table, asked, ["id"], slice_rows=50_000)
+    rows = settled.select("id", "quantidade_kwh", "status").orderBy("id").toPandas()
+    assert passes[0] == 34 and len(passes) < 10  # slices of whole blocks
+    left, want = 5000.0, []
+    for q in rows["quantidade_kwh"]:
+        want.append(left >= q)
+        left -= q if left >= q else 0
+    assert ((rows["status"] == settlement.SOLD) == want).all()
+
+
+def test_amounts_beyond_64_bits(spark):
+    wide = [9e18, -9e18, 3e18, 5.0, 1e20, -2e19, 1.5e19]
+    requests = some_requests(random.Random(9), [1, 2], 40, lambda r: r.choice(wide))
+    check(spark, {1: 2e19, 2: -1e19}, requests, fold_limit=3, slice_rows=4, block_rows=2)
 
 
 def test_long_fold_crosses_blocks(spark):
