@@ -121,7 +121,9 @@ def apply_surplus(credits: DataFrame, surplus: DataFrame, as_of: str) -> DataFra
 def client_balance(
     credits: DataFrame, measurements: DataFrame, as_of: str, client: int | None = None
 ) -> DataFrame:
-    """Balance of the earliest live credit and the last measurement per client."""
+    """Balance of the earliest live credit and the last measurement per client, with the battery's charge."""
+    if "bateria_soc" not in measurements.columns:
+        measurements = measurements.withColumn("bateria_soc", F.lit(None).cast("double"))
     if client is not None:
         credits = credits.filter(F.col("cliente_id") == client)
         measurements = measurements.filter(F.col("cliente_id") == client)
@@ -130,7 +132,7 @@ def client_balance(
     )
     tie = [c for c in ["dispositivo", "geracao_kw", "consumo_kw"] if c in measurements.columns]
     last = keep_last(measurements, ["cliente_id"], ["ts", *tie]).select(
-        "cliente_id", F.col("ts").alias("ultima_medicao"), "geracao_kw", "consumo_kw"
+        "cliente_id", F.col("ts").alias("ultima_medicao"), "geracao_kw", "consumo_kw", "bateria_soc"
     )
     return first.join(last, "cliente_id", "full").select(
         "cliente_id",
@@ -140,6 +142,7 @@ def client_balance(
         "ultima_medicao",
         "geracao_kw",
         "consumo_kw",
+        "bateria_soc",
     )
 
 

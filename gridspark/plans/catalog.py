@@ -26,6 +26,8 @@ from gridspark.operators import (
 )
 from gridspark.plans import inputs
 from gridspark.sources import readers, writers
+from gridspark.streaming import measurements as measurement_stream
+from gridspark.streaming import registry as registry_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,6 +109,19 @@ def registry_incremental(spark, sf_dir):
     return stored.withColumn("novo", F.lit(0)).unionByName(added.withColumn("novo", F.lit(1)))
 
 
+@query
+def registry_stream_fact(spark, sf_dir):
+    """The fact that three runs of the stream make, each after a third of the rows has landed."""
+    landing, fact_path, check = (session.scratch_path(spark, n) for n in ("landed", "streamed", "fact-stream"))
+    raw = inputs.raw(spark, sf_dir)
+    last = inputs.table(spark, sf_dir, "orders").agg(F.max("o_orderkey") + 1).scalar()
+    for third in range(3):
+        part = raw.filter((F.col("row_id") > last * third / 3) & (F.col("row_id") <= last * (third + 1) / 3))
+        part.write.mode("append").parquet(landing)
+        registry_stream.start_fact_stream(spark, landing, fact_path, check, None).awaitTermination()
+    return registry_stream.read_fact(spark, fact_path)
+
+
 @query
 def registry_load_counts(spark, sf_dir):
     raw, stored = _interrupted(spark, sf_dir)
@@ -468,6 +483,18 @@ def iot_crediting(spark, sf_dir):
     )
 
 
+@query
+def iot_running_balance(spark, sf_dir):
+    """Balances that a stream keeps over two landings, the second of which repeats the first."""
+    landing, path, check = (session.scratch_path(spark, n) for n in ("measured", "balance", "balance-stream"))
+    for repeated in (False, True):
+        rows = inputs.iot(spark, sf_dir, repeated)
+        rows.write.mode("append").parquet(landing)
+        source = spark.readStream.schema(rows.schema).parquet(landing)
+        measurement_stream.start_balance(source, path, check).awaitTermination()
+    return rounded(measurement_stream.balances(spark, path), 4, "excedente_kwh")
+
+
 @query
 def iot_balance(spark, sf_dir):
     return credits.client_balance(inputs.credits(spark, sf_dir), inputs.iot(spark, sf_dir), AS_OF)

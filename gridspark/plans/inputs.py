@@ -208,6 +208,7 @@ def iot(spark: SparkSession, sf_dir: str, repeated: bool = False) -> DataFrame:
         F.col("value").alias("geracao_kw"),
         (level.cast("double") / 4).alias("consumo_kw"),
         F.when(key % 5 == 0, (key % 7).cast("double") - 3).alias("bateria_potencia_kw"),
+        F.when(key % 3 != 0, (key % 101).cast("double")).alias("bateria_soc"),
         F.col("event_type").alias("dispositivo"),
     )
 

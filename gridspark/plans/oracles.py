@@ -57,6 +57,7 @@ TABLES = {
   SELECT event_id, user_id AS cliente_id, ts, value AS geracao_kw,
     CAST(REPLACE(REPLACE(props, '{"k": ', ''), '}', '') AS DOUBLE) / 4 AS consumo_kw,
     CASE WHEN event_id % 5 = 0 THEN CAST(event_id % 7 AS DOUBLE) - 3 ELSE NULL END AS bateria_potencia_kw,
+    CASE WHEN event_id % 3 <> 0 THEN CAST(event_id % 101 AS DOUBLE) END AS bateria_soc,
     event_type AS dispositivo
   FROM events""",
     "iot_once": """
@@ -295,6 +296,7 @@ _BODIES = {
 SELECT cod_empreendimento, sha256('{"cod_empreendimento":"' || cod_empreendimento || '","dscfontegeracao":"'
   || dscfontegeracao || '","modalidade":"' || modalidade || '","siguf":"' || siguf || '"}') AS hash FROM lean""",
     "registry_dedup_first": "SELECT * FROM fact",
+    "registry_stream_fact": "SELECT * FROM fact",
     "registry_dedup_last": "SELECT MAX(row_id) AS row_id, hash FROM fx_raw GROUP BY hash",
     "registry_incremental": """
 SELECT *, CAST(CASE WHEN id <= (SELECT MAX(o_orderkey) / 2 FROM orders) THEN 0 ELSE 1 END AS INTEGER) AS novo
@@ -466,6 +468,8 @@ SELECT cliente_id, time_bucket(INTERVAL 1 HOUR, ts) AS inicio, time_bucket(INTER
   COUNT(*) AS medicoes, ROUND(SUM(geracao_kw), 4) AS geracao, ROUND(SUM(consumo_kw), 4) AS consumo,
   ROUND(SUM(excedente_kwh), 4) AS excedente
 FROM iot_extra GROUP BY 1, 2, 3""",
+    "iot_running_balance": """
+SELECT cliente_id, ROUND(SUM(excedente_kwh), 4) AS excedente_kwh, COUNT(*) AS medicoes FROM iot_extra GROUP BY 1""",
     "iot_crediting": """
 , earned AS (SELECT cliente_id, SUM(excedente_kwh) AS kwh FROM iot_extra GROUP BY 1 HAVING SUM(excedente_kwh) > 0)
 SELECT c.id, c.cliente_id, ROUND(c.saldo_kwh + COALESCE(e.kwh, 0), 4) AS saldo_kwh, c.valor_unitario_rs,
@@ -478,7 +482,7 @@ SELECT (SELECT MAX(id) FROM fx_credits) + ROW_NUMBER() OVER (ORDER BY cliente_id
 FROM earned ANTI JOIN first_credit USING (cliente_id)""",
     "iot_balance": """
 SELECT COALESCE(c.cliente_id, m.cliente_id) AS cliente_id, COALESCE(c.saldo_kwh, 0) AS saldo_kwh,
-  c.valor_unitario_rs, c.data_vencimento, m.ts AS ultima_medicao, m.geracao_kw, m.consumo_kw
+  c.valor_unitario_rs, c.data_vencimento, m.ts AS ultima_medicao, m.geracao_kw, m.consumo_kw, m.bateria_soc
 FROM first_credit c FULL JOIN
   (SELECT * FROM fx_iot QUALIFY ROW_NUMBER() OVER (PARTITION BY cliente_id ORDER BY ts DESC) = 1) m
   ON m.cliente_id = c.cliente_id""",

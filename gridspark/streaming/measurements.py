@@ -12,16 +12,20 @@ from gridspark.operators.measurements import (
     adapt_generic,
     adapt_vendor,
     distinct_measurements,
+    measurement_hash,
     usage_windows,
     with_surplus,
 )
 from gridspark.sources.readers import stored
-from gridspark.streaming import ledger
+from gridspark.streaming import ledger, state
 
 EARNED = schemas.ddl(cliente_id="bigint", excedente_kwh="double", medicoes="bigint")
 ACCEPTED = schemas.ddl(
     cliente_id="bigint", excedente_kwh="double", hash="string", batch_id="bigint", dia="date"
 )
+BALANCE = schemas.ddl(cliente_id="bigint", excedente_kwh="double", medicoes="bigint")
+# Batches of balance updates between two snapshots of all balances.
+SNAPSHOT_EVERY = 50
 # Day under which measurements without a time are kept.
 NO_DAY = "1900-01-01"
 
@@ -111,3 +115,58 @@ def credited(table: DataFrame, path: str, as_of: str) -> DataFrame:
     """The credit table with all surplus written so far."""
     earned = running_balance(table.sparkSession, path).filter(F.col("excedente_kwh") > 0)
     return credits.apply_surplus(table, earned.drop("medicoes"), as_of)
+
+
+def balance_stream(measurements: DataFrame) -> DataFrame:
+    """Σ surplus and number of measurements per client, as state that grows with the stream.
+
+    A measurement counts once, whenever it is repeated; of messages that differ
+    beyond the identity of a measurement the one met first counts.
+    """
+    once = measurements.withColumn("hash", measurement_hash()).dropDuplicates(["hash"])
+    return with_surplus(once).groupBy("cliente_id").agg(
+        F.sum("excedente_kwh").alias("excedente_kwh"), F.count("*").alias("medicoes")
+    )
+
+
+def start_balance(
+    measurements: DataFrame, path: str, checkpoint: str, snapshot_every: int = SNAPSHOT_EVERY
+) -> StreamingQuery:
+    """Keep the balance of every client by a running sum; only clients of a batch are written.
+
+    A batch overwrites the folder of its own id with the balances it changed, so a
+    repeated batch gives the same table. Every ``snapshot_every`` batches all balances
+    are written together, and readers start from the newest of these.
+    """
+    spark = measurements.sparkSession
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        ledger.write_batch(batch, f"{path}/updates", batch_id)
+        if batch_id % snapshot_every == snapshot_every - 1:
+            ledger.write_batch(balances(batch.sparkSession, path, batch_id), f"{path}/snapshots", batch_id)
+
+    with state.on_disk(spark):
+        return (
+            balance_stream(measurements)
+            .writeStream.foreachBatch(update)
+            .outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+
+
+def balances(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """Balance of every client after the batch ``upto``, the last one by default (eager: finds the snapshot)."""
+    schema = f"{BALANCE}, `{ledger.BATCH}` bigint"
+    snapshots, updates = (stored(spark, f"{path}/{part}", schema) for part in ("snapshots", "updates"))
+    batch = F.col(ledger.BATCH)
+    if upto is not None:
+        # A snapshot of the batch itself is what a repeated batch is about to write.
+        snapshots, updates = snapshots.filter(batch < upto), updates.filter(batch <= upto)
+    newest = snapshots.agg(F.max(batch)).first()[0]
+    since = updates if newest is None else updates.filter(batch > newest)
+    rows = since if newest is None else since.unionByName(snapshots.filter(batch == newest))
+    return rows.groupBy("cliente_id").agg(F.max_by(F.struct("excedente_kwh", "medicoes"), batch).alias("b")).select(
+        "cliente_id", "b.*"
+    )

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridspark import schemas
 from gridspark.operators.registry import lean_fact
-from gridspark.operators.rowsets import new_rows
-from gridspark.streaming import ledger
+from gridspark.streaming import ledger, state
 
 FACT = schemas.ddl(
     id="bigint",
@@ -22,31 +22,48 @@ FACT = schemas.ddl(
 )
 
 
+def first_arrivals(rows: DataFrame) -> DataFrame:
+    """Of a stream's rows those whose hash comes for the first time, of one batch the least id.
+
+    The state holds the first row of each hash, so what was written before is never
+    read. A row is new when all its hash has brought so far carries the time of
+    the current batch, which a repeated batch keeps. NULL hashes never collide.
+    """
+    now = F.current_timestamp()
+    rest = [c for c in rows.columns if c != "id"]
+    return (
+        rows.withColumns({"seen": now, "alone": F.when(F.col("hash").isNull(), F.col("id"))})
+        .groupBy(F.col("hash").alias("key"), "alone")
+        .agg(F.min(F.struct("seen", "id", *rest)).alias("first"), F.max("seen").alias("last"))
+        .filter((F.col("first.seen") == now) & (F.col("last") == now))
+        .select(*[F.col(f"first.{c}").alias(c) for c in rows.columns])
+    )
+
+
 def start_fact_stream(
-    spark: SparkSession, landing: str, fact_path: str, checkpoint: str, files_per_batch: int = 1000
+    spark: SparkSession, landing: str, fact_path: str, checkpoint: str, files_per_batch: int | None = 1000
 ) -> StreamingQuery:
     """Process all landing files not seen yet, then stop.
 
-    The checkpoint remembers the files, so no high-water mark is needed; hashes
-    already in the fact are ignored.
+    The checkpoint remembers the files and, in RocksDB, the hashes met: a batch
+    reads its own files only and writes one folder of its own.
     """
+    source = spark.readStream.schema(schemas.RAW)
+    if files_per_batch is not None:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        known = ledger.read_before(session, fact_path, FACT, batch_id)
-        ledger.write_batch(
-            new_rows(known, lean_fact(batch), "hash", ["id"]), fact_path, batch_id
-        )
+        ledger.write_batch(batch, fact_path, batch_id)
 
-    return (
-        spark.readStream.schema(schemas.RAW)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(landing)
-        .writeStream.foreachBatch(append)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with state.on_disk(spark):
+        return (
+            first_arrivals(lean_fact(source.parquet(landing)))
+            .writeStream.foreachBatch(append)
+            .outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def read_fact(spark: SparkSession, fact_path: str) -> DataFrame:

@@ -144,6 +144,84 @@ def test_fact_stream_equals_batch(spark, sf_dir, tmp_path):
     assert registry_stream.read_fact(spark, fact).count() == want.count()
 
 
+def spoil(folder):
+    """Make every data file of a folder unreadable."""
+    files = [p for p in folder.rglob("*.parquet")]
+    assert files
+    for file in files:
+        file.write_bytes(b"spoilt")
+    for checksum in folder.rglob(".*.crc"):
+        checksum.write_bytes(b"")
+
+
+def landing_part(spark, path, first, last):
+    rows = spark.range(first, last).select(
+        F.col("id").alias("row_id"), F.lit("r").alias("source_resource_id"), F.lit(None).cast("timestamp_ntz").alias("ingested_at"),
+        F.lit('{"SigUF": "SP", "MdaPotenciaInstaladaKW": "3"}').alias("raw_json"),
+        F.when(F.col("id") % 10 != 9, F.concat(F.lit("h"), F.col("id") % 7)).alias("hash"),
+    )
+    rows.repartition(3).write.mode("append").parquet(path)
+
+
+def test_fact_batches_read_no_earlier_folder(spark, tmp_path):
+    landing, fact, check = str(tmp_path / "raw"), tmp_path / "fact", str(tmp_path / "c")
+    landing_part(spark, landing, 0, 4)
+    drain(registry_stream.start_fact_stream(spark, landing, str(fact), check))
+    spoil(fact / "batch_id=0")
+    landing_part(spark, landing, 4, 40)
+    drain(registry_stream.start_fact_stream(spark, landing, str(fact), check))
+    later = spark.read.schema(registry_stream.FACT).parquet(str(fact / "batch_id=1"))
+    # hashes h0 to h3 came before; the least id of a batch stays; NULL hashes all stay
+    got = sorted(((r["hash"] or "", r["id"]) for r in later.collect()))
+    assert got == [("", 9), ("", 19), ("", 29), ("", 39), ("h4", 4), ("h5", 5), ("h6", 6)]
+
+
+def test_a_failed_fact_batch_is_repeated(spark, tmp_path, monkeypatch):
+    landing, fact, check = str(tmp_path / "raw"), str(tmp_path / "fact"), str(tmp_path / "c")
+    landing_part(spark, landing, 0, 5)
+    drain(registry_stream.start_fact_stream(spark, landing, fact, check))
+    landing_part(spark, landing, 2, 30)
+    real = registry_stream.ledger.write_batch
+
+    def failing(*args):
+        real(*args)
+        raise OSError("lost after writing")
+
+    monkeypatch.setattr(registry_stream.ledger, "write_batch", failing)
+    query = registry_stream.start_fact_stream(spark, landing, fact, check)
+    with pytest.raises(Exception, match="lost after writing"):
+        query.awaitTermination()
+    monkeypatch.setattr(registry_stream.ledger, "write_batch", real)
+    drain(registry_stream.start_fact_stream(spark, landing, fact, check))
+    rows = registry_stream.read_fact(spark, fact).collect()
+    assert sorted(r["id"] for r in rows if r["hash"]) == [0, 1, 2, 3, 4, 5, 6]
+    assert sorted(r["id"] for r in rows if not r["hash"]) == [9, 19, 29]
+
+
+def test_stateful_balance_equals_batch(spark, tmp_path):
+    folder, out, check = tmp_path / "in", str(tmp_path / "balance"), str(tmp_path / "c")
+    for batch in range(7):
+        messages(
+            folder, f"{batch}.json",
+            *[message(c, f"2026-01-0{1 + (batch * c) % 5} 00:{m:02d}:00", float(m + batch % 2), 1.0) for c in (1, 2, 3) for m in range(batch, batch + 4)],
+        )
+    source = stream.measurement_stream(spark, str(folder), files_per_batch=1)
+    drain(stream.start_balance(source, out, check, snapshot_every=3))
+
+    def want():
+        every = measurements.distinct_measurements(measurements.adapt_generic(spark.read.text(str(folder))))
+        return sorted(measurements.with_surplus(every).groupBy("cliente_id").agg(F.sum("excedente_kwh"), F.count("*")).collect())
+
+    assert sorted(stream.balances(spark, out).collect()) == want()
+    assert spark.read.parquet(f"{out}/snapshots").select("batch_id").distinct().count() == 2
+    # earlier folders are not needed any more, and a client without news is not written
+    spoil(tmp_path / "balance" / "updates" / "batch_id=0")
+    messages(folder, "8.json", message(2, "2026-02-01 00:00:00", 9.0, 1.0))
+    drain(stream.start_balance(source, out, check, snapshot_every=3))
+    assert sorted(stream.balances(spark, out).collect()) == want()
+    assert spark.read.parquet(f"{out}/updates/batch_id=7").count() == 1
+
+
 def test_settlement_stream_equals_batch(spark, tmp_path):
     credits = spark.createDataFrame([(i, 1, 10.0 * i) for i in range(1, 6)], "id bigint, cliente_id bigint, saldo_kwh double")
     folder, out = tmp_path / "in", str(tmp_path / "out")
