@@ -693,7 +693,7 @@ def sink_registry(spark, sf_dir):
     records = inputs.raw(spark, sf_dir).select(F.get_json_object("raw_json", "$.SigUF").alias("SigUF"))
     for day in ("2026-01-01", "2026-01-02"):
         writers.land_registry(records, path, f"{day} 00:00:00")
-    landed = readers.stored(spark, path, schemas.RAW)
+    landed = readers.landed(spark, path)
     return landed.select(F.get_json_object("raw_json", "$.SigUF").alias("SigUF"), "ingested_at")
 
 
@@ -708,12 +708,12 @@ def sink_load(spark, sf_dir):
 
 @query
 def sink_plants(spark, sf_dir):
-    path, later = session.scratch_path(spark, "plants"), session.scratch_path(spark, "plants")
+    path = session.scratch_path(spark, "plants")
     first = plants.normalise(inputs.plant_records(spark, sf_dir).withColumn("versao", F.lit(0)), "versao")
-    writers.write_plants(None, first, path, ["versao"])
+    writers.write_plants(first, path, ["versao"])
     updates = plants.normalise(inputs.plant_updates(spark, sf_dir), "versao")
-    writers.write_plants(spark.read.parquet(path), updates, later, ["versao"])
-    return spark.read.parquet(later)
+    writers.write_plants(updates, path, ["versao"])
+    return readers.stored(spark, path, first.drop("versao").schema).drop(writers.BUCKET)
 
 
 @query

@@ -35,6 +35,15 @@ RAW = ddl(
     raw_json="string",
     hash="string",
 )
+# Log of the loads of a table.
+LOADS = ddl(
+    carga="string",
+    recurso="string",
+    ingested_at="timestamp_ntz",
+    tentados="bigint",
+    inseridos="bigint",
+    ultimo_id="bigint",
+)
 PLANT_RECORD = ddl(
     CodCEG="string",
     NomEmpreendimento="string",

@@ -177,7 +177,7 @@ def zip_by_format(answer: DataFrame) -> DataFrame:
     )
 
 
-def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def stored(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """A stored parquet table, empty when nothing was written yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -187,6 +187,12 @@ def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def landed(spark: SparkSession, path: str) -> DataFrame:
+    """The landing table of the registry without its folder column."""
+    table = stored(spark, path, schemas.RAW)
+    return table.select(*[name.strip("`") for name, _ in (part.split("` ") for part in schemas.RAW.split(", "))])
+
+
 def stored_fact(spark: SparkSession, path: str, schema: StructType, ufs: list[str] | None = None) -> DataFrame:
     """A stored fact table without its folder column; with ``ufs`` only their folders are read.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridspark import schemas
@@ -10,78 +10,124 @@ from gridspark.functions.parsing import row_hash
 from gridspark.operators import capacity, load, plants, quality
 from gridspark.operators.rowsets import new_rows
 from gridspark.session import materialise
+from gridspark.sources import layout
 from gridspark.sources.readers import VERIFIED, stored
 
 REGISTRY_RESOURCE = "aneel_mmgd"
+# Folder column of landed rows, hash characters in it, folder of rows without a hash.
+PREFIX, PREFIX_CHARS, NO_HASH = "prefixo", 2, "-"
+# A lookup of few hashes skips row groups that lack them.
+BLOOM = {"parquet.bloom.filter.enabled#hash": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+# Folder column of plants and the number of folders.
+BUCKET, PLANT_BUCKETS = "balde", 64
 
 
-def _after_last(table: DataFrame, column: str):
-    return F.lit(table.agg(F.coalesce(F.max(column), F.lit(0))).first()[0]) + 1
+def _prefix(chars: int) -> Column:
+    """Folder of a row hash: its first characters."""
+    return F.when(F.coalesce("hash", F.lit("")) == "", NO_HASH).otherwise(F.substring("hash", 1, chars))
 
 
 def land_registry(
-    records: DataFrame, path: str, ingested_at: str, resource: str = REGISTRY_RESOURCE
+    records: DataFrame,
+    path: str,
+    ingested_at: str,
+    resource: str = REGISTRY_RESOURCE,
+    prefix_chars: int = PREFIX_CHARS,
 ) -> dict[str, int]:
     """Append records whose hash is not landed yet; returns rows attempted and inserted.
 
-    Row ids follow the snapshot order and continue after the stored ones.
+    Rows lie in folders by hash prefix: a batch is compared with the folders it
+    names only, 16^``prefix_chars`` at most. A table keeps the length it began with.
+    Row ids follow the snapshot order and continue after those given out; the log
+    of loads keeps them and the counts, so that neither needs the table.
     """
-    spark = records.sparkSession
-    target = stored(spark, path, schemas.RAW)
+    spark, load_id = records.sparkSession, layout.new_load()
+    last = layout.last_id(spark, path, schemas.RAW, "row_id")
+    tried, kept = Observation(), Observation()
     staged = materialise(
         records.select(
-            (_after_last(target, "row_id") + F.monotonically_increasing_id()).alias("row_id"),
+            (F.lit(last + 1) + F.monotonically_increasing_id()).alias("row_id"),
             F.lit(resource).alias("source_resource_id"),
             F.lit(ingested_at).cast("timestamp_ntz").alias("ingested_at"),
             F.to_json(F.struct("*")).alias("raw_json"),
             row_hash(records).alias("hash"),
-        ),
+        )
+        .withColumn(PREFIX, _prefix(prefix_chars))
+        .observe(tried, F.count("*").alias("n"), F.max("row_id").alias("last")),
         "landing",
     )
-    fresh = materialise(new_rows(target, staged, "hash", ["row_id"]), "landing-new")
-    fresh.write.mode("append").parquet(path)
-    return {"attempted": staged.count(), "inserted": fresh.count()}
+    counts = {"attempted": tried.get["n"], "inserted": 0}
+    if not counts["attempted"]:
+        return counts
+    note = (spark, path, load_id, resource, ingested_at, counts["attempted"], tried.get["last"])
+    layout.log_load(*note, None)
+    target = stored(spark, path, f"{schemas.RAW}, `{PREFIX}` string")
+    same = target.filter(layout.among(PREFIX, layout.folders(staged, PREFIX)))
+    fresh = layout.clustered(new_rows(same, staged, "hash", ["row_id"]), PREFIX)
+    # Counted in the writing tasks themselves: each row once, even if tasks run again.
+    fresh.observe(kept, F.count("*").alias("n")).write.mode("append").options(**BLOOM).partitionBy(PREFIX).parquet(path)
+    counts["inserted"] = kept.get["n"]
+    layout.log_load(*note, counts["inserted"])
+    return counts
 
 
 def append_load(records: DataFrame, path: str, created_at: str) -> None:
     """Append load records, typed and as JSON, partitioned by day; repeats stay."""
-    target = stored(records.sparkSession, path, schemas.STORED_LOAD)
+    spark = records.sparkSession
+    last = layout.last_id(spark, path, schemas.STORED_LOAD, "id")
 
     def tag(name: str, default: str):
         return F.coalesce(name, F.lit(default)) if name in records.columns else F.lit(default)
 
     rows = records.select(
-        (_after_last(target, "id") + F.monotonically_increasing_id()).alias("id"),
+        (F.lit(last + 1) + F.monotonically_increasing_id()).alias("id"),
         tag("_fonte", VERIFIED).alias("tipo"),
         tag("_area", "").alias("area"),
         F.to_json(F.struct("*")).alias("data_json"),
         F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
     )
-    typed = load.load_points(rows, "data_json").withColumn("dia", F.col("ts").cast("date"))
-    typed.write.mode("append").partitionBy("dia").parquet(path)
+    tried = Observation()
+    numbered = rows.observe(tried, F.count("*").alias("n"), F.max("id").alias("last"))
+    typed = materialise(
+        load.load_points(numbered, "data_json").withColumn("dia", F.col("ts").cast("date")), "load"
+    )
+    if tried.get["n"]:
+        note = (spark, path, layout.new_load(), VERIFIED, created_at, tried.get["n"], tried.get["last"])
+        layout.log_load(*note, None)
+        layout.clustered(typed, "dia").write.mode("append").partitionBy("dia").parquet(path)
+        layout.log_load(*note, tried.get["n"])
 
 
 def append_dispatch(rows: DataFrame, path: str) -> None:
     """Add the dispatch rows whose ``hash`` is not stored yet, partitioned by day.
 
-    A row's hash covers its day, so only the stored folders of the days that come in are compared.
+    A row's hash covers its day, so only the stored folders of the days that come in, calendar days, are compared.
     """
     fresh = materialise(rows.withColumn("dia", F.col("din_programacaodia")), "dispatch")
     target = stored(rows.sparkSession, path, schemas.STORED_DISPATCH)
-    days = fresh.select("dia").distinct()
-    same_days = target.join(days, target["dia"].eqNullSafe(days["dia"]), "left_semi")
+    same_days = target.filter(layout.among("dia", layout.folders(fresh, "dia")))
     # Equal hashes are equal rows but for the file, so the first file by name stays.
     added = new_rows(same_days, fresh, "hash", ["fonte_arquivo"])
-    materialise(added, "dispatch-new").write.mode("append").partitionBy("dia").parquet(path)
+    layout.clustered(added, "dia").write.mode("append").partitionBy("dia").parquet(path)
 
 
-def write_plants(stored_plants: DataFrame | None, incoming: DataFrame, path: str, order: list[str]) -> None:
-    """A new plant snapshot: ``stored_plants`` with the incoming ones replacing theirs.
+def write_plants(incoming: DataFrame, path: str, order: list[str], buckets: int = PLANT_BUCKETS) -> int:
+    """Replace stored plants by incoming ones of equal ``hash``; returns the folders rewritten.
 
+    Plants lie in folders by hash, and only the folders that the batch names are
+    read and written anew. A table keeps the number of ``buckets`` it began with.
     ``order`` names the bookkeeping columns of ``incoming`` that rank versions; they are not stored.
     """
-    base = incoming.limit(0) if stored_plants is None else stored_plants
-    plants.upsert_plants(base, incoming, order).drop(*order).write.mode("overwrite").parquet(path)
+    spark = incoming.sparkSession
+    bucket = F.pmod(F.xxhash64("hash"), F.lit(buckets)).cast("int")
+    batch = materialise(incoming.withColumn(BUCKET, bucket), "plants")
+    touched = layout.folders(batch, BUCKET)
+    if touched:
+        kept = stored(spark, path, batch.drop(*order).schema).filter(layout.among(BUCKET, touched))
+        merged = plants.upsert_plants(kept, batch, order).drop(*order)
+        # The scratch copy lets a job that is lost while it replaces folders run again.
+        layout.replace_folders(materialise(merged, "plants-merged"), path, BUCKET)
+    return len(touched)
 
 
 def write_treemap(classified: DataFrame, path: str, generated_at: str) -> None:
@@ -124,7 +170,7 @@ def write_fact(fact: DataFrame, path: str) -> None:
     ``siguf`` itself is stored as it is, the empty text included.
     """
     folder = F.when(F.coalesce("siguf", F.lit("")) == "", schemas.NO_UF).otherwise(F.col("siguf"))
-    fact.withColumn("uf_pasta", folder).write.mode("overwrite").option(
+    layout.clustered(fact.withColumn("uf_pasta", folder), "uf_pasta").write.mode("overwrite").option(
         "partitionOverwriteMode", "static"
     ).partitionBy("uf_pasta").parquet(path)
 

@@ -1,12 +1,14 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridspark import schemas
+from gridspark.functions import parsing
 from gridspark.operators import capacity, growth, load, quality, registry
 from gridspark.plans import catalog, inputs
-from gridspark.sources import readers, writers
+from gridspark.sources import layout, readers, writers
 
 
 def text_of(folder):
@@ -24,12 +26,145 @@ def test_landing_twice_inserts_once(spark, tmp_path):
     assert writers.land_registry(records, out, "2026-07-02 00:00:00") == {"attempted": 3, "inserted": 0}
     csv.write_bytes("SigUF;Nome\nSP;Água\nMG;c\n".encode("latin-1"))
     assert writers.land_registry(records, out, "2026-07-03 00:00:00") == {"attempted": 2, "inserted": 1}
-    table = readers.stored(spark, out, schemas.RAW).orderBy("row_id").collect()
+    table = readers.landed(spark, out).orderBy("row_id").collect()
     assert [json.loads(r["raw_json"])["SigUF"] for r in table] == ["SP", "RJ", "MG"]
     assert len({r["row_id"] for r in table}) == 3
     assert json.loads(table[0]["raw_json"])["Nome"] == "Água"
 
 
+def spoil(folder):
+    """Make every data file of a folder unreadable."""
+    for file in folder.rglob("*.parquet"):
+        file.write_bytes(b"spoilt")
+    for checksum in folder.rglob(".*.crc"):
+        checksum.write_bytes(b"")
+
+
+def spoil_but(folder, column, names):
+    """The same for all folders of ``column`` but some."""
+    others = [f for f in folder.glob(f"{column}=*") if f.name.split("=")[1] not in names]
+    for other in others:
+        spoil(other)
+    return len(others)
+
+
+def registry_rows(spark, first, last):
+    return spark.range(first, last).select(F.concat(F.lit("GD."), "id").alias("Cod"), F.lit("SP").alias("SigUF"))
+
+
+def test_a_small_landing_reads_the_prefixes_it_names(spark, tmp_path):
+    out = str(tmp_path / "raw")
+    assert writers.land_registry(registry_rows(spark, 0, 3000), out, "2026-07-01 00:00:00")["inserted"] == 3000
+    assert len(list((tmp_path / "raw").glob("prefixo=*"))) == 256
+    batch = registry_rows(spark, 2998, 3003)
+    prefixes = {r[0] for r in batch.select(F.substring(parsing.row_hash(batch), 1, 2)).collect()}
+    assert spoil_but(tmp_path / "raw", "prefixo", prefixes) > 200
+    assert writers.land_registry(batch, out, "2026-07-02 00:00:00") == {"attempted": 5, "inserted": 3}
+    log = layout.loads(spark, out).orderBy("ingested_at").collect()
+    assert [(r["tentados"], r["inseridos"]) for r in log] == [(3000, 3000), (5, 3)]
+    kept = spark.read.schema(schemas.RAW).parquet(out).filter(F.col("prefixo").isin(list(prefixes)))
+    ids = [r[0] for r in kept.filter(F.col("ingested_at") > F.lit("2026-07-01 12:00:00").cast("timestamp_ntz")).select("row_id").collect()]
+    assert len(ids) == 3 and min(ids) > log[0]["ultimo_id"]
+
+
+def test_a_landing_lost_after_its_rows_keeps_its_ids(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "raw")
+    real = layout.log_load
+
+    def lost(*args):
+        if args[-1] is not None:
+            raise OSError("lost")
+        real(*args)
+
+    monkeypatch.setattr(layout, "log_load", lost)
+    with pytest.raises(OSError, match="lost"):
+        writers.land_registry(registry_rows(spark, 0, 50), out, "2026-07-01 00:00:00")
+    monkeypatch.setattr(layout, "log_load", real)
+    assert writers.land_registry(registry_rows(spark, 40, 60), out, "2026-07-02 00:00:00")["inserted"] == 10
+    table = readers.landed(spark, out)
+    assert table.count() == table.select("row_id").distinct().count() == 60
+
+
+def test_landed_rows_are_found_by_hash(spark, tmp_path):
+    out = str(tmp_path / "raw")
+    writers.land_registry(registry_rows(spark, 0, 200), out, "2026-07-01 00:00:00", prefix_chars=1)
+    one = readers.landed(spark, out).first()
+    assert readers.landed(spark, out).filter(F.col("hash") == one["hash"]).collect() == [one]
+    assert writers.land_registry(registry_rows(spark, 0, 0), out, "2026-07-01 00:00:00") == {"attempted": 0, "inserted": 0}
+
+
+def test_an_upsert_rewrites_the_folders_it_names(spark, tmp_path):
+    out, path = str(tmp_path / "plants"), tmp_path / "plants"
+
+    def some(first, last, version, kw):
+        return spark.range(first, last).select(
+            F.concat(F.lit("CEG"), "id").alias("hash"), F.lit(kw).alias("kw"), F.lit(version).alias("versao")
+        )
+
+    writers.write_plants(some(0, 2000, 1, 1.0), out, ["versao"])
+    assert len(list(path.glob("balde=*"))) == 64
+    before = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    twice = some(1995, 2005, 2, 2.0).unionByName(some(2004, 2005, 3, 3.0))
+    assert writers.write_plants(twice, out, ["versao"]) <= 10
+    after = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    assert len([f for f in before if after.get(f) != before[f]]) <= 10
+    rows = {r["hash"]: r["kw"] for r in spark.read.parquet(out).collect()}
+    assert len(rows) == 2005 and rows["CEG2004"] == 3.0 and rows["CEG1995"] == 2.0 and rows["CEG1994"] == 1.0
+
+
+def dispatch_rows(spark, first, last, shift=0):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 40).cast("int"))
+    return spark.range(first, last, 1, 8).select(
+        F.when(F.col("id") % 41 != 40, day).alias("din_programacaodia"),
+        F.col("id").cast("int").alias("num_patamar"),
+        F.sha2((F.col("id") + shift).cast("string"), 256).alias("hash"),
+        F.lit("a.csv").alias("fonte_arquivo"),
+    )
+
+
+def test_dispatch_is_compared_by_day_and_written_in_few_files(spark, tmp_path):
+    out, path = str(tmp_path / "dispatch"), tmp_path / "dispatch"
+    writers.append_dispatch(dispatch_rows(spark, 0, 4000), out)
+    folders = list(path.glob("dia=*"))
+    assert len(folders) == 41 and len(list(path.rglob("*.parquet"))) == 41
+    days = dispatch_rows(spark, 0, 2).unionByName(dispatch_rows(spark, 0, 2, shift=10**6))
+    assert spoil_but(path, "dia", {"2024-01-01", "2024-01-02"}) == 39
+    writers.append_dispatch(days, out)
+    kept = spark.read.schema(schemas.STORED_DISPATCH).parquet(out).filter(F.col("dia") < F.lit("2024-01-03").cast("date"))
+    first_days = dispatch_rows(spark, 0, 4000).filter(F.col("din_programacaodia") < F.lit("2024-01-03").cast("date"))
+    assert kept.count() == first_days.count() + 2
+
+
+def test_rows_without_a_day_are_compared_too(spark, tmp_path):
+    out = str(tmp_path / "dispatch")
+    for _ in range(2):
+        writers.append_dispatch(dispatch_rows(spark, 40, 41).unionByName(dispatch_rows(spark, 1, 2)), out)
+    assert readers.stored(spark, out, schemas.STORED_DISPATCH).count() == 2
+
+
+def test_compaction_joins_small_files(spark, tmp_path):
+    out, path = str(tmp_path / "dispatch"), tmp_path / "dispatch"
+    for k in range(3):
+        writers.append_dispatch(dispatch_rows(spark, 100 * k, 100 * (k + 1) - 50 * k), out)
+    rows = readers.stored(spark, out, schemas.STORED_DISPATCH)
+    before = sorted(rows.select("num_patamar", "dia").collect(), key=str)
+    assert layout.compact(spark, out, schemas.STORED_DISPATCH, "dia") > 10
+    again = readers.stored(spark, out, schemas.STORED_DISPATCH)
+    assert sorted(again.select("num_patamar", "dia").collect(), key=str) == before
+    assert len(list(path.rglob("*.parquet"))) == len(list(path.glob("dia=*")))
+    assert layout.compact(spark, out, schemas.STORED_DISPATCH, "dia") == 0
+
+
+def test_stored_fact_reads_the_folders_asked_for(spark, sf_dir, tmp_path):
+    out = str(tmp_path / "fact")
+    fact = registry.lean_fact(inputs.raw(spark, sf_dir))
+    writers.write_fact(fact, out)
+    spoil_but(tmp_path / "fact", "uf_pasta", {"NATION_3", "-"})
+    some = readers.stored_fact(spark, out, fact.schema, ["NATION_3", ""])
+    assert some.columns == fact.columns
+    assert some.count() == fact.filter("siguf IN ('NATION_3', '')").count()
+
+
 def test_load_append_repeats(spark, tmp_path):
     (tmp_path / "S.json").write_text(json.dumps([{"cod_areacarga": "S", "din_referenciautc": "2026-07-10T00:30:00Z", "val_cargaglobal": 5.5}]))
     records = readers.recent_load(spark, str(tmp_path / "S.json"), "2026-07-10", 1)
