@@ -117,6 +117,10 @@ def missing_area_hours(official: DataFrame, areas: list[str]) -> DataFrame:
     )
 
 
+def _days_late(local: Column, official: Column) -> Column:
+    return F.floor(F.timestamp_diff("SECOND", local, official) / 86400)
+
+
 def staleness(raw: DataFrame, official_modified: str | None) -> DataFrame:
     """A finding when the official registry is days newer than the last landing.
 
@@ -134,9 +138,8 @@ def staleness(raw: DataFrame, official_modified: str | None) -> DataFrame:
     newest = raw.agg(F.max("ingested_at").alias("valor_local")).withColumn(
         "valor_oficial", F.lit(official_modified).try_cast("timestamp_ntz")
     )
-    late = F.floor(F.timestamp_diff("SECOND", F.col("valor_local"), F.col("valor_oficial")) / 86400)
     return (
-        newest.withColumn("dias", late)
+        newest.withColumn("dias", _days_late(F.col("valor_local"), F.col("valor_oficial")))
         .filter(F.col("dias") > 0)
         .select(
             F.lit("mmgd_desatualizado").alias("tipo"),
@@ -215,6 +218,71 @@ def as_findings(df: DataFrame) -> DataFrame:
     )
 
 
+def registry_profile(raw: DataFrame) -> DataFrame:
+    """One row: landing rows, rows of the fact they make, newest landing; one pass, nothing parsed."""
+    alone = F.when(F.col("hash").isNull(), F.col("row_id"))
+    per_hash = raw.groupBy("hash", alone.alias("alone")).agg(
+        F.count("*").alias("rows"), F.max("ingested_at").alias("newest")
+    )
+    return per_hash.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("mmgd_raw"),
+        F.count("*").alias("mmgd_fato"),
+        F.max("newest").alias("mais_recente"),
+    )
+
+
+def logged_profile(raw_loads: DataFrame, fact_loads: DataFrame) -> DataFrame:
+    """The same row from the logs of loads, which grow with the loads and not with the tables."""
+    inserted = F.coalesce(F.sum("inseridos"), F.lit(0))
+    landed = raw_loads.agg(
+        inserted.alias("mmgd_raw"), F.max(F.when(F.col("inseridos") > 0, F.col("ingested_at"))).alias("mais_recente")
+    )
+    made = fact_loads.agg(F.max_by("inseridos", "ingested_at").alias("mmgd_fato"))
+    both = landed.unionByName(made, allowMissingColumns=True)
+    return both.agg(
+        F.max("mmgd_raw").alias("mmgd_raw"),
+        F.coalesce(F.max("mmgd_fato"), F.lit(0)).alias("mmgd_fato"),
+        F.max("mais_recente").alias("mais_recente"),
+    )
+
+
+def registry_findings(profile: DataFrame, fact_columns: list[str], official_modified: str | None) -> DataFrame:
+    """``schema_gap``, ``staleness`` and ``completeness`` together, from a one-row profile read once."""
+
+    def finding(holds: Column, kind: str, key: str, local: Column, official: Column, delta: Column, severity: Column):
+        cells = {
+            "tipo": F.lit(kind), "chave": F.lit(key), "valor_local": local.cast("string"),
+            "valor_oficial": official.cast("string"), "delta_pct": delta.cast("double"), "severidade": severity,
+        }
+        return F.when(holds, F.struct(*[v.alias(n) for n, v in cells.items()]))
+
+    none, warning = F.lit(None), F.lit(WARNING)
+    raw_rows, fact_rows, newest = (F.col(c) for c in ("mmgd_raw", "mmgd_fato", "mais_recente"))
+    if official_modified is None:
+        late = finding(F.lit(True), "fetch_falhou", REGISTRY_PACKAGE, none, none, none, warning)
+    else:
+        official = F.lit(official_modified).try_cast("timestamp_ntz")
+        days = _days_late(newest, official)
+        severity = _severity(days > STALE_CRITICAL_DAYS)
+        late = finding(days > 0, "mmgd_desatualizado", REGISTRY_PACKAGE, newest, official, none, severity)
+    pct = F.when(raw_rows > 0, fact_rows / raw_rows * 100)
+    incomplete = finding(
+        pct < COMPLETE_WARNING_PCT, "etl_raw_para_fato_incompleto", "mmgd_raw->mmgd_fato", fact_rows, raw_rows,
+        F.round(100 - pct, 2), _severity(pct < COMPLETE_CRITICAL_PCT),
+    )
+    known = {FIELD_ALIASES.get(c, c) for c in fact_columns}
+    gaps = [
+        finding(
+            F.lit(True), "campo_ausente_no_schema", f"mmgd_fato.{field}", F.lit("ausente"),
+            F.lit("presente na fonte ANEEL"), none, warning,
+        )
+        for field in OFFICIAL_FIELDS
+        if field not in known
+    ]
+    found = F.filter(F.array(late, incomplete, *gaps), lambda f: f.isNotNull())
+    return profile.select(F.inline(found))
+
+
 def report(*findings: DataFrame) -> DataFrame:
     """All findings stacked, worst first through ``ordem``."""
     stacked = reduce(DataFrame.unionByName, [as_findings(f) for f in findings])

@@ -25,7 +25,7 @@ from gridspark.operators import (
     settlement,
 )
 from gridspark.plans import inputs
-from gridspark.sources import readers, writers
+from gridspark.sources import readers, rejects, writers
 from gridspark.streaming import measurements as measurement_stream
 from gridspark.streaming import registry as registry_stream
 
@@ -422,15 +422,24 @@ def schema_gap(spark, sf_dir):
 
 
 def _report(spark, sf_dir):
+    profile = quality.registry_profile(inputs.raw(spark, sf_dir))
     return quality.report(
-        schema_gap(spark, sf_dir),
-        staleness(spark, sf_dir),
-        completeness(spark, sf_dir),
+        quality.registry_findings(profile, fact(spark, sf_dir).columns, OFFICIAL_MODIFIED),
         load_drift(spark, sf_dir),
         missing_areas(spark, sf_dir),
     )
 
 
+def _counts(spark, sf_dir):
+    """Rows of the tables; those of the registry in one pass."""
+    others = {n: t for n, t in _tables(spark, sf_dir).items() if not n.startswith("mmgd_")}
+    registry_rows = quality.registry_profile(inputs.raw(spark, sf_dir)).select(
+        F.col("mmgd_raw").alias("registros_mmgd_raw"), F.col("mmgd_fato").alias("registros_mmgd_fato")
+    )
+    stacked = registry_rows.unionByName(quality.table_counts(others), allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 @query
 def quality_report(spark, sf_dir):
     rows = quality.ordered(_report(spark, sf_dir))
@@ -445,7 +454,7 @@ def quality_breakdown(spark, sf_dir):
 
 @query
 def quality_summary(spark, sf_dir):
-    return quality.summary(_report(spark, sf_dir), quality.table_counts(_tables(spark, sf_dir)))
+    return quality.summary(_report(spark, sf_dir), _counts(spark, sf_dir))
 
 
 # ---- measurements and credits --------------------------------------------
@@ -661,6 +670,114 @@ def source_recent_load(spark, sf_dir):
     return rows.groupBy("_area").agg(F.count("*").alias("n"))
 
 
+def _checked_load(spark, sf_dir):
+    """Good rows and rejects of landed load lines, some of which are broken."""
+    path = session.scratch_path(spark, "load-lines")
+    inputs.load_lines(spark, sf_dir).write.partitionBy("area").text(path)
+    checked = readers.load_records(spark, path, "2024-01-01", "2024-12-31", lines=True, checked=True)
+    return rejects.parted(checked, "carga")
+
+
+@query
+def source_load_checked(spark, sf_dir):
+    good, _ = _checked_load(spark, sf_dir)
+    return good.select("_area", F.col("din_referenciautc").alias("ts"), F.col("val_cargaglobal").alias("val"))
+
+
+def _checked_dispatch(spark, sf_dir):
+    """The same of dispatch files of which some lines lack their last field and others have one too many."""
+    path = session.scratch_path(spark, "dispatch-lines")
+    rows = inputs.dispatch(spark, sf_dir).select("din_programacaodia", "num_patamar", "cod_subsistema", "val_demanda")
+    number = F.col("num_patamar")
+    line = (
+        F.when(number == 7, F.concat_ws(";", "din_programacaodia", "num_patamar"))
+        .when(number == 6, F.concat_ws(";", *rows.columns, F.lit("9")))
+        .otherwise(F.concat_ws(";", *rows.columns))
+    )
+    # A header of its own for each file that a task writes.
+    part = rows.select(line.alias("linha")).withColumnRenamed("linha", ";".join(rows.columns))
+    part.write.option("quote", "").csv(path, sep="\t", header=True)
+    return rejects.parted(readers.dispatch_files(spark, path, checked=True), "dessem")
+
+
+@query
+def source_dispatch_checked(spark, sf_dir):
+    good, _ = _checked_dispatch(spark, sf_dir)
+    return good.select("din_programacaodia", "num_patamar", "cod_subsistema", "val_demanda")
+
+
+def _checked_pages(spark, sf_dir):
+    path = session.scratch_path(spark, "page-texts")
+    inputs.plant_page_texts(spark, sf_dir).repartition("n_regionkey").write.partitionBy("n_regionkey").text(path)
+    return rejects.parted(readers.plant_pages(spark, path, checked=True), "siga")
+
+
+@query
+def source_pages_checked(spark, sf_dir):
+    good, _ = _checked_pages(spark, sf_dir)
+    return readers.plant_records(good).select("CodCEG")
+
+
+def _checked_registry(spark, sf_dir):
+    """Registry lines of which every tenth lacks a field."""
+    path = session.scratch_path(spark, "registry-lines")
+    rows = fact(spark, sf_dir).select("id", "cod_empreendimento", "dscfontegeracao")
+    line = F.when(F.col("id") % 10 == 0, F.col("cod_empreendimento")).otherwise(
+        F.concat_ws(";", "cod_empreendimento", "dscfontegeracao", "id")
+    )
+    rows.select(line.alias("CodEmpreendimento;DscFonteGeracao;Id")).write.option("quote", "").csv(
+        path, sep="\t", header=True, encoding="ISO-8859-1"
+    )
+    return rejects.parted(readers.registry_snapshot(spark, path, checked=True), "mmgd")
+
+
+@query
+def source_registry_checked(spark, sf_dir):
+    good, _ = _checked_registry(spark, sf_dir)
+    return good.select("CodEmpreendimento", F.col("Id").cast("bigint").alias("id"))
+
+
+@query
+def source_rejects(spark, sf_dir):
+    """What the checked reads refuse, kept and read back."""
+    path = session.scratch_path(spark, "rejects")
+    for part in (_checked_load, _checked_dispatch, _checked_pages, _checked_registry):
+        rejects.write_rejects(part(spark, sf_dir)[1], path)
+    kept = spark.read.schema("arquivo string, registro string, fonte string, motivo string").parquet(path)
+    return rejects.counts(kept).drop("arquivos")
+
+
+@query
+def source_field_list(spark, sf_dir):
+    """The field list of a landed registry file, as rows."""
+    fields = readers.field_list(source_registry_csv(spark, sf_dir))
+    return spark.createDataFrame([(f["id"], f["type"]) for f in fields], "id string, type string")
+
+
+@query
+def source_catalogue(spark, sf_dir):
+    """Which resources of a landed catalogue answer the readers choose."""
+    path = session.scratch_path(spark, "catalogue")
+    inputs.catalogue_answer(spark, sf_dir).coalesce(1).write.text(path)
+    answer = readers.catalogue(spark, path)
+    chosen = {
+        "zip_por_nome": readers.zip_by_name(answer),
+        "zip_por_formato": readers.zip_by_format(answer),
+        "csv": readers.csv_resources(answer).select("url"),
+    }
+    parts = [rows.select(F.lit(name).alias("escolha"), "url") for name, rows in chosen.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def source_planned_load(spark, sf_dir):
+    """Programmed load of one area."""
+    rows = readers.load_records(
+        spark, _landed_load(spark, sf_dir), "2024-01-05", "2024-01-25", ["SIN"], readers.PLANNED, lines=True
+    )
+    return rows.select("_area", "_fonte", F.col("val_cargaglobal").try_cast("double").alias("val"))
+
+
 def _landed_dispatch(spark, sf_dir):
     """Dispatch files of two headers in one folder."""
     path = session.scratch_path(spark, "dispatch-csv")
@@ -751,6 +868,12 @@ def sink_geojson(spark, sf_dir):
 @query
 def sink_report(spark, sf_dir):
     path = session.scratch_path(spark, "report")
-    writers.write_report(_report(spark, sf_dir), path, "2026-01-01T00:00:00")
+    writers.write_report(_report(spark, sf_dir), path, "2026-01-01T00:00:00", _counts(spark, sf_dir))
     kept = spark.read.schema(schemas.FINDING).json(f"{path}/divergencias")
-    return kept.select("tipo", "chave", "severidade")
+    totals = spark.read.schema(schemas.SUMMARY).json(f"{path}/resumo")
+    rows = kept.select("tipo", "chave", "severidade", "valor_local", "valor_oficial", "delta_pct")
+    numbers = {n: F.round(F.col(n).try_cast("double"), 3) for n in ("valor_local", "valor_oficial", "delta_pct")}
+    # Every finding beside the totals of its report, which are one row.
+    summary = totals.drop("timestamp")
+    values = {c: F.lit(v).cast(kind) for (c, kind), v in zip(summary.dtypes, summary.first())}
+    return rows.withColumns(numbers | values)

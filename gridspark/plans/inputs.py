@@ -171,6 +171,48 @@ def load_official(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def catalogue_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue answer with a resource for each nation, CSV, ZIP by format, ZIP by name in turn."""
+    key = F.col("n_nationkey")
+    resource = F.struct(
+        _text(key).alias("id"),
+        F.concat(F.col("n_name"), _pick(key, 4, ".csv", "", ".ZIP", "")).alias("name"),
+        _pick(key, 4, "CSV", "zip", "file", "JSON").alias("format"),
+        F.when(key != 1, F.concat(F.lit("u"), _text(key))).otherwise("").alias("url"),
+    )
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), resource.alias("r")))), lambda x: x["r"])
+    answer = F.struct(F.lit(True).alias("success"), F.struct(listed.alias("resources")).alias("result"))
+    return table(spark, sf_dir, "nation").agg(F.to_json(answer).alias("value"))
+
+
+def load_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Official load as landed lines by area: some cut off, some without fields, some without a date."""
+    key = F.col("event_id")
+    point = F.struct(
+        F.when(key % 50 != 2, _text(_second(F.col("ts")))).alias("din_referenciautc"),
+        _text(F.floor(F.col("value") * 10).cast("double")).alias("val_cargaglobal"),
+    )
+    line = (
+        F.when(key % 50 == 0, F.substring(F.to_json(point), 1, 20))
+        .when(key % 50 == 1, '{"erro": "sem dados"}')
+        .otherwise(F.to_json(point))
+    )
+    return table(spark, sf_dir, "events").select(_area().alias("area"), line.alias("value"))
+
+
+def plant_page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plant registry pages, one for each region, as JSON; the pages of two regions are broken."""
+    records = table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    record = F.struct(F.concat(F.lit("CEG"), _text(F.col("s_suppkey"))).alias("CodCEG"))
+    page = F.struct(F.struct(F.count("*").alias("total"), F.collect_list(record).alias("records")).alias("result"))
+    region = F.col("n_regionkey")
+    text = F.when(region == 0, F.substring("page", 1, 30)).when(region == 1, '{"success": false}').otherwise(F.col("page"))
+    pages = records.groupBy("n_regionkey").agg(F.to_json(page).alias("page"))
+    return pages.select("n_regionkey", text.alias("value"))
+
+
 def load_official_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An official extract that came without area N."""
     return load_official(spark, sf_dir).filter(F.col("area") != "N")

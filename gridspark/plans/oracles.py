@@ -547,6 +547,32 @@ SELECT cod_empreendimento AS "CodEmpreendimento", NULLIF(siguf, '') AS "SigUF",
     "source_load_records": """
 SELECT area AS _area, 'verificada' AS _fonte, val FROM fx_official
 WHERE area IN ('S', 'NE') AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'""",
+    "source_planned_load": """
+SELECT area AS _area, 'programada' AS _fonte, val FROM fx_official
+WHERE area = 'SIN' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'""",
+    "source_load_checked": """
+SELECT area AS _area, CAST(o.ts AS VARCHAR) AS ts, CAST(CAST(FLOOR(e.value * 10) AS DOUBLE) AS VARCHAR) AS val
+FROM fx_official o JOIN events e USING (event_id) WHERE event_id % 50 > 2""",
+    "source_dispatch_checked": """
+SELECT dia AS din_programacaodia, patamar AS num_patamar, sub AS cod_subsistema, demanda AS val_demanda
+FROM fx_dispatch WHERE patamar < 6""",
+    "source_pages_checked": """
+SELECT 'CEG' || s_suppkey AS "CodCEG" FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey > 1""",
+    "source_registry_checked": """
+SELECT cod_empreendimento AS "CodEmpreendimento", id FROM fact WHERE id % 10 <> 0""",
+    "source_rejects": """
+SELECT 'carga' AS fonte, CASE event_id % 50 WHEN 0 THEN 'malformado' WHEN 1 THEN 'sem_campos' ELSE 'sem_data' END AS motivo,
+  COUNT(*) AS registros FROM events WHERE event_id % 50 < 3 GROUP BY ALL
+UNION ALL SELECT 'dessem', 'malformado', COUNT(*) FROM fx_dispatch WHERE patamar >= 6
+UNION ALL SELECT 'siga', CASE n_regionkey WHEN 0 THEN 'malformado' ELSE 'sem_registros' END, 1
+FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE n_regionkey < 2 GROUP BY n_regionkey
+UNION ALL SELECT 'mmgd', 'malformado', COUNT(*) FROM fact WHERE id % 10 = 0""",
+    "source_field_list": """
+SELECT UNNEST(['CodEmpreendimento', 'SigUF', 'DscFonteGeracao']) AS id, 'text' AS type""",
+    "source_catalogue": """
+SELECT 'zip_por_nome' AS escolha, 'u' || MIN(n_nationkey) AS url FROM nation WHERE n_nationkey % 4 = 2
+UNION ALL SELECT 'zip_por_formato', 'u' || MIN(n_nationkey) FROM nation WHERE n_nationkey % 4 = 1 AND n_nationkey <> 1
+UNION ALL SELECT 'csv', 'u' || n_nationkey FROM nation WHERE n_nationkey % 4 = 0""",
     "source_recent_load": """
 SELECT area AS _area, COUNT(*) AS n FROM fx_official
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-20' GROUP BY 1""",
@@ -568,7 +594,16 @@ SELECT CASE WHEN area = 'N' THEN '' ELSE area END AS area, 'verificada' AS tipo,
     "sink_geojson": """
 SELECT lon, lat, nome_empreendimento, uf, tipo_geracao, potencia_outorgada_kw FROM fx_plants
 WHERE lat <> 0 AND lon <> 0""",
-    "sink_report": "SELECT tipo, chave, severidade FROM findings",
+    "sink_report": """
+SELECT tipo, chave, severidade, ROUND(valor_local, 3) AS valor_local, ROUND(valor_oficial, 3) AS valor_oficial,
+  ROUND(delta_pct, 3) AS delta_pct, COUNT(*) OVER () AS total_divergencias,
+  COUNT(*) FILTER (severidade = 'critico') OVER () AS criticos,
+  COUNT(*) FILTER (severidade = 'atencao') OVER () AS atencoes,
+  CAST(CASE WHEN COUNT(*) FILTER (severidade = 'critico') OVER () > 0 THEN 1 ELSE 0 END AS INTEGER) AS falhou,
+  (SELECT COUNT(*) FROM fx_raw) AS registros_mmgd_raw, (SELECT COUNT(*) FROM fact) AS registros_mmgd_fato,
+  (SELECT COUNT(*) FROM fx_load) AS registros_ons_carga, (SELECT COUNT(*) FROM fx_dispatch) AS registros_dessem_detalhe,
+  (SELECT COUNT(*) FROM fx_plants) AS registros_siga_fato
+FROM findings""",
     "forecast_load": """
 , seasonal AS (SELECT area, ISODOW(rts) - 1 AS wd, HOUR(rts) * 2 + MINUTE(rts) // 30 AS slot, AVG(carga) AS media
   FROM fx_load WHERE CAST(rts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-30' GROUP BY 1, 2, 3)

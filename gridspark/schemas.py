@@ -118,6 +118,18 @@ FINDING = ddl(
     delta_pct="double",
     severidade="string",
 )
+SUMMARY = ddl(
+    total_divergencias="bigint",
+    criticos="bigint",
+    atencoes="bigint",
+    falhou="int",
+    registros_mmgd_raw="bigint",
+    registros_mmgd_fato="bigint",
+    registros_ons_carga="bigint",
+    registros_dessem_detalhe="bigint",
+    registros_siga_fato="bigint",
+    timestamp="string",
+)
 MEASUREMENT_JSON = ddl(
     cliente_id="bigint",
     timestamp="string",

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridspark import schemas
-from gridspark.functions.parsing import row_hash
 from gridspark.operators.load import reference_time
+from gridspark.session import materialise
+from gridspark.sources import rejects
 
 # Load areas and record tags.
 AREAS = ["S", "N", "NE", "SIN"]
@@ -20,13 +19,18 @@ PLANNED = "programada"
 
 
 def registry_snapshot(
-    spark: SparkSession, path: str, max_records: int | None = None
+    spark: SparkSession, path: str, max_records: int | None = None, checked: bool = False
 ) -> DataFrame:
     """Distributed-generation registry: ``;``-separated Latin-1 CSV, all text.
 
-    Land the extracted CSV: a ZIP cannot be split over tasks.
+    Land the extracted CSV: a ZIP cannot be split over tasks. A checked read
+    refuses lines with another number of fields than the header.
     """
-    rows = spark.read.csv(path, sep=";", header=True, encoding="ISO-8859-1", inferSchema=False)
+    form = {"sep": ";", "header": True, "encoding": "ISO-8859-1"}
+    rows = spark.read.csv(path, inferSchema=False, **form)
+    if checked:
+        schema = ", ".join(f"`{name}` string" for name in [*rows.columns, rejects.CORRUPT])
+        rows = rejects.marked(spark.read.schema(schema).options(**rejects.OPTIONS).csv(path, **form))
     return rows if max_records is None else rows.limit(max_records)
 
 
@@ -36,13 +40,19 @@ def field_list(df: DataFrame) -> list[dict[str, str]]:
     return [{"id": name, "type": names.get(kind, kind)} for name, kind in df.dtypes]
 
 
-def plant_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed result pages of the plant registry, one row per page."""
+def plant_pages(spark: SparkSession, path: str, checked: bool = False) -> DataFrame:
+    """Landed result pages of the plant registry, one row per page.
+
+    A checked read refuses pages that are no JSON or hold no list of records.
+    """
     page = (
         f"result struct<total: bigint, records: array<struct<"
         f"{schemas.PLANT_RECORD.replace('` ', '`: ')}>>>"
     )
-    return spark.read.schema(page).json(path, multiLine=True)
+    if not checked:
+        return spark.read.schema(page).json(path, multiLine=True)
+    pages = spark.read.schema(f"{page}, `{rejects.CORRUPT}` string").options(**rejects.OPTIONS).json(path, multiLine=True)
+    return rejects.marked(pages, **{rejects.NO_RECORDS: F.col("result.records").isNull()})
 
 
 def plant_records(pages: DataFrame) -> DataFrame:
@@ -74,20 +84,32 @@ def load_records(
     areas: list[str] | None = None,
     kind: str = VERIFIED,
     lines: bool = False,
+    checked: bool = False,
 ) -> DataFrame:
     """Landed load records of some areas whose reference date lies in [start, end].
 
     Files hold a JSON array each, or one record per line when ``lines``. An
     answer that is no list of records gives no rows. The area asked for is the
     folder a file was landed in (``S`` or ``area=S``), else the record's own. Rows
-    are tagged with ``_fonte`` and ``_area``.
+    are tagged with ``_fonte`` and ``_area``. A checked read also returns, whatever
+    the area and dates, records that are no JSON, have none of the fields or no date.
     """
     wanted = check_areas(areas or AREAS)
-    records = spark.read.schema(schemas.LOAD_RECORD).json(path, multiLine=not lines)
+    schema = f"{schemas.LOAD_RECORD}, `{rejects.CORRUPT}` string" if checked else schemas.LOAD_RECORD
+    records = spark.read.schema(schema).options(**rejects.OPTIONS if checked else {}).json(path, multiLine=not lines)
     day = reference_time().cast("date")
     inside = day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     folder = F.regexp_extract("_metadata.file_path", rf"/(?:area=)?({'|'.join(AREAS)})/[^/]+$", 1)
     area = F.when(folder != "", folder).otherwise(F.col("cod_areacarga"))
+    if checked:
+        fields = [part.split("`")[1] for part in schemas.LOAD_RECORD.split(", ")]
+        reasons = {
+            rejects.NO_FIELDS: F.coalesce(*fields).isNull(),
+            rejects.NO_DATE: reference_time().isNull(),
+        }
+        tagged = rejects.marked(records, **reasons).withColumns({"_fonte": F.lit(kind), "_area": area})
+        good = F.col("_area").isin(wanted) & inside
+        return tagged.filter(F.col(rejects.REASON).isNotNull() | good).drop("area")
     tagged = records.withColumns({"_fonte": F.lit(kind), "_area": area})
     return tagged.filter(F.col("_area").isin(wanted) & inside).drop("area")
 
@@ -100,48 +122,70 @@ def recent_load(
     return load_records(spark, path, str(bounds[0]), today, lines=lines)
 
 
-def _header(spark: SparkSession, file: str) -> str:
-    """First line of a file; nothing else of it is read."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(file)
-    opened = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
-    try:
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(opened, "UTF-8"))
-        return lines.readLine() or ""
-    finally:
-        opened.close()
+def _headers(lines: DataFrame) -> DataFrame:
+    """First line of each file, found where the files are read."""
+    at = F.struct("start", F.monotonically_increasing_id().alias("line"))
+    return (
+        lines.withColumn("at", at)
+        .groupBy("file")
+        .agg(F.min_by("value", "at").alias("header"))
+        .withColumn("header", F.regexp_replace("header", "^\ufeff", ""))
+    )
+
 
+def _by_header(header: str, fields: list[list[str]]) -> Column:
+    """A line of a file with this header: typed fields by name, row hash, and what does not parse."""
+    names = [name.strip().strip('"') for name in header.split(";")]
+    text = ", ".join(f"`{name}` string" for name in [*names, rejects.CORRUPT])
+    parsed = F.from_csv("value", F.lit(text), {"sep": ";", **rejects.OPTIONS})
 
-def dispatch_files(spark: SparkSession, path: str) -> DataFrame:
+    def typed(row: Column) -> Column:
+        body = F.to_json(F.struct(*[row[n].alias(n) for n in sorted(names)]), {"ignoreNullFields": "false"})
+        cells = [
+            (row[name] if name in names else F.lit(None)).try_cast(kind).alias(name) for name, kind in fields
+        ]
+        return F.struct(*cells, F.sha2(body, 256).alias("hash"), row[rejects.CORRUPT].alias(rejects.CORRUPT))
+
+    # As an array it is parsed once a line, however many fields are taken.
+    return F.transform(F.array(parsed), typed)[0]
+
+
+def dispatch_files(spark: SparkSession, path: str, checked: bool = False) -> DataFrame:
     """Dispatch CSVs of a folder, columns taken by name from each file's own header.
 
-    The driver reads the header lines; files with the same header are one scan. Adds
-    the file name and the row hash over all columns of the file.
+    The tasks find the header lines, and the driver sees the different ones only
+    (eager). Adds the file name and the row hash over all columns of the file. A
+    checked read refuses lines with another number of fields than their header.
     """
-    listed = spark.read.format("binaryFile").load(path).select("path").collect()
-    groups: dict[str, list[str]] = {}
-    for file in sorted(row["path"] for row in listed):
-        header = _header(spark, file)
-        if header:
-            groups.setdefault(header, []).append(file)
-    fields = [part.split("` ") for part in schemas.DISPATCH_FILE.split(", ")]
-
-    def one(files: list[str]) -> DataFrame:
-        text = spark.read.csv(files, sep=";", header=True, inferSchema=False, enforceSchema=False)
-
-        def typed(name: str, kind: str) -> Column:
-            value = F.col(name) if name in text.columns else F.lit(None)
-            return value.try_cast(kind).alias(name)
-
-        return text.select(
-            *[typed(name.strip("`"), kind) for name, kind in fields],
-            row_hash(text).alias("hash"),
-            F.col("_metadata.file_name").alias("fonte_arquivo"),
-        )
-
-    if not groups:
-        return spark.createDataFrame([], f"{schemas.DISPATCH_FILE}, hash string, fonte_arquivo string")
-    return reduce(DataFrame.unionByName, [one(files) for files in groups.values()])
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_name").alias("fonte_arquivo"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    fields = [part.strip("`").split("` ") for part in schemas.DISPATCH_FILE.split(", ")]
+    headers = materialise(_headers(lines), "headers")
+    kinds = [r["header"] for r in headers.select("header").distinct().collect() if r["header"]]
+    if not kinds:
+        none = f"{schemas.DISPATCH_FILE}, hash string, fonte_arquivo string"
+        if checked:
+            none += "".join(f", `{c}` string" for c in (rejects.REASON, rejects.FILE, rejects.RECORD))
+        return spark.createDataFrame([], none)
+    body = lines.join(headers, "file").filter(
+        (F.trim("value") != "") & (F.regexp_replace("value", "^\ufeff", "") != F.col("header"))
+    )
+    row = F.coalesce(*[F.when(F.col("header") == h, _by_header(h, fields)) for h in kinds])
+    parsed = body.select("value", "file", "fonte_arquivo", F.inline(F.array(row)))
+    rows = parsed.select(*[name for name, _ in fields], "hash", "fonte_arquivo")
+    if not checked:
+        return rows
+    bad = F.col(rejects.CORRUPT).isNotNull()
+    return parsed.select(
+        *rows.columns,
+        F.when(bad, rejects.MALFORMED).alias(rejects.REASON),
+        F.col("file").alias(rejects.FILE),
+        F.when(bad, F.col("value")).alias(rejects.RECORD),
+    )
 
 
 def catalogue(spark: SparkSession, path: str) -> DataFrame:

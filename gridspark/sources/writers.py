@@ -13,7 +13,7 @@ from gridspark.session import materialise
 from gridspark.sources import layout
 from gridspark.sources.readers import VERIFIED, stored
 
-REGISTRY_RESOURCE = "aneel_mmgd"
+REGISTRY_RESOURCE, FACT_RESOURCE = "aneel_mmgd", "mmgd_fato"
 # Folder column of landed rows, hash characters in it, folder of rows without a hash.
 PREFIX, PREFIX_CHARS, NO_HASH = "prefixo", 2, "-"
 # A lookup of few hashes skips row groups that lack them.
@@ -164,15 +164,21 @@ def write_cells(fact: DataFrame, path: str) -> None:
     capacity.capacity_cells(fact).write.mode("overwrite").parquet(path)
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
+def write_fact(fact: DataFrame, path: str, written_at: str | None = None) -> None:
     """The fact as a new snapshot by UF: filter on ``uf_pasta`` to skip the other folders.
 
-    ``siguf`` itself is stored as it is, the empty text included.
+    ``siguf`` itself is stored as it is, the empty text included. With a time the
+    load is noted in the log beside the table, for reports without a count of it.
     """
     folder = F.when(F.coalesce("siguf", F.lit("")) == "", schemas.NO_UF).otherwise(F.col("siguf"))
-    layout.clustered(fact.withColumn("uf_pasta", folder), "uf_pasta").write.mode("overwrite").option(
+    kept = Observation()
+    rows = layout.clustered(fact.withColumn("uf_pasta", folder), "uf_pasta")
+    rows.observe(kept, F.count("*").alias("n"), F.max("id").alias("last")).write.mode("overwrite").option(
         "partitionOverwriteMode", "static"
     ).partitionBy("uf_pasta").parquet(path)
+    if written_at is not None:
+        n, last = kept.get["n"], kept.get["last"]
+        layout.log_load(fact.sparkSession, path, layout.new_load(), FACT_RESOURCE, written_at, n, last, n)
 
 
 def write_snapshot_row(snapshot: DataFrame, path: str) -> None:

@@ -1,3 +1,4 @@
+import datetime
 import json
 import os
 
@@ -155,6 +156,27 @@ def test_compaction_joins_small_files(spark, tmp_path):
     assert layout.compact(spark, out, schemas.STORED_DISPATCH, "dia") == 0
 
 
+def test_reports_read_the_logs_of_loads(spark, tmp_path):
+    raw_path, fact_path = str(tmp_path / "raw"), str(tmp_path / "fact")
+    for day, first in ((1, 0), (2, 50)):
+        writers.land_registry(registry_rows(spark, first, first + 100), raw_path, f"2026-07-0{day} 00:00:00")
+    writers.land_registry(registry_rows(spark, 0, 100), raw_path, "2026-07-03 00:00:00")
+    raw = readers.landed(spark, raw_path)
+    fact = registry.lean_fact(raw.filter("row_id % 3 <> 0"))
+    writers.write_fact(fact, fact_path, "2026-07-04 00:00:00")
+    logged = quality.logged_profile(layout.loads(spark, raw_path), layout.loads(spark, fact_path))
+    assert logged.first().asDict() == {
+        "mmgd_raw": 150, "mmgd_fato": fact.count(), "mais_recente": datetime.datetime(2026, 7, 2),
+    }
+    found = quality.registry_findings(logged, fact.columns, "2026-08-20T00:00:00Z").collect()
+    alone = quality.report(
+        quality.schema_gap(fact), quality.staleness(raw, "2026-08-20T00:00:00Z"), quality.completeness(raw, fact)
+    )
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, alone.drop("ordem").collect()), key=str)
+    nothing = quality.logged_profile(layout.loads(spark, str(tmp_path / "none")), layout.loads(spark, str(tmp_path / "none")))
+    assert nothing.first().asDict() == {"mmgd_raw": 0, "mmgd_fato": 0, "mais_recente": None}
+
+
 def test_stored_fact_reads_the_folders_asked_for(spark, sf_dir, tmp_path):
     out = str(tmp_path / "fact")
     fact = registry.lean_fact(inputs.raw(spark, sf_dir))

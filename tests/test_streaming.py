@@ -9,6 +9,7 @@ from gridspark.operators import credits as credit_ops
 from gridspark.operators.registry import lean_fact
 from gridspark.operators.rowsets import keep_first
 from gridspark.plans import inputs
+from gridspark.sources import writers
 from gridspark.streaming import measurements as stream
 from gridspark.streaming import registry as registry_stream
 from gridspark.streaming import settlement as settlement_stream
@@ -176,6 +177,16 @@ def test_fact_batches_read_no_earlier_folder(spark, tmp_path):
     assert got == [("", 9), ("", 19), ("", 29), ("", 39), ("h4", 4), ("h5", 5), ("h6", 6)]
 
 
+def test_the_fact_stream_reads_landed_folders(spark, tmp_path):
+    landing, fact, check = str(tmp_path / "raw"), str(tmp_path / "fact"), str(tmp_path / "c")
+    for day in (1, 2):
+        records = spark.range(30 * day).select(F.concat(F.lit("GD."), "id").alias("CodEmpreendimento"), F.lit("SP").alias("SigUF"))
+        writers.land_registry(records, landing, f"2026-07-0{day} 00:00:00")
+        drain(registry_stream.start_fact_stream(spark, landing, fact, check))
+    rows = registry_stream.read_fact(spark, fact)
+    assert rows.count() == rows.select("hash").distinct().count() == 60
+
+
 def test_a_failed_fact_batch_is_repeated(spark, tmp_path, monkeypatch):
     landing, fact, check = str(tmp_path / "raw"), str(tmp_path / "fact"), str(tmp_path / "c")
     landing_part(spark, landing, 0, 5)
