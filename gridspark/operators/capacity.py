@@ -81,6 +81,42 @@ def capacity_cells(fact: DataFrame) -> DataFrame:
     )
 
 
+CELL_DELTAS = "siguf string, dscfontegeracao string, kw decimal(38,6), unidades bigint"
+_KW_EXACT = "decimal(28,6)"
+
+
+def summed_deltas(deltas: DataFrame) -> DataFrame:
+    """Signed changes of cells added up; cells without units and kW go."""
+    return (
+        deltas.groupBy("siguf", "dscfontegeracao")
+        .agg(F.sum("kw").cast("decimal(38,6)").alias("kw"), F.sum("unidades").alias("unidades"))
+        .filter((F.col("unidades") != 0) | (F.col("kw") != 0))
+    )
+
+
+def cell_deltas(added: DataFrame, removed: DataFrame | None = None) -> DataFrame:
+    """What rows put in and taken out change in the cells, exactly: kW are decimals of six places."""
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        kw = F.coalesce(F.col("potencia_instalada_kw").try_cast(_KW_EXACT), F.lit(0).cast(_KW_EXACT))
+        return rows.select(
+            "siguf", "dscfontegeracao", (kw * sign).cast(_KW_EXACT).alias("kw"), F.lit(sign).cast("bigint").alias("unidades")
+        )
+
+    both = signed(added, 1) if removed is None else signed(added, 1).unionByName(signed(removed, -1))
+    return summed_deltas(both)
+
+
+def cells_of(deltas: DataFrame) -> DataFrame:
+    """The cells that a series of changes adds up to, as ``capacity_cells`` gives them."""
+    return summed_deltas(deltas).filter(F.col("unidades") != 0).select(
+        "siguf",
+        "dscfontegeracao",
+        F.col("kw").cast("double").alias("potencia_total_kw"),
+        F.col("unidades").alias("empreendimentos"),
+    )
+
+
 def treemap_levels(cells: DataFrame) -> DataFrame:
     """The three treemap levels from the cells, in one roll-up.
 

@@ -25,7 +25,7 @@ from gridspark.operators import (
     settlement,
 )
 from gridspark.plans import inputs
-from gridspark.sources import readers, rejects, writers
+from gridspark.sources import layout, readers, rejects, writers
 from gridspark.streaming import measurements as measurement_stream
 from gridspark.streaming import registry as registry_stream
 
@@ -830,7 +830,22 @@ def sink_plants(spark, sf_dir):
     writers.write_plants(first, path, ["versao"])
     updates = plants.normalise(inputs.plant_updates(spark, sf_dir), "versao")
     writers.write_plants(updates, path, ["versao"])
-    return readers.stored(spark, path, first.drop("versao").schema).drop(writers.BUCKET)
+    return readers.stored(spark, path, first.drop("versao").schema).drop(layout.BUCKET)
+
+
+@query
+def cells_maintained(spark, sf_dir):
+    """Cells kept up over three loads: two halves of the units, then changed copies of every seventh."""
+    units, cells_path = session.scratch_path(spark, "units"), session.scratch_path(spark, "cells")
+    rows = fact(spark, sf_dir).withColumn("versao", F.lit(0))
+    changed = rows.filter("id % 7 = 0").withColumns(
+        {"potencia_instalada_kw": F.col("potencia_instalada_kw") * 2, "dscfontegeracao": F.lit("outra")}
+    )
+    for number, load_rows in enumerate((rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1"), changed)):
+        writers.write_units(load_rows, units, ["versao"], cells_path, number)
+        if number == 1:
+            writers.fold_cells(spark, cells_path)
+    return rounded(writers.maintained_cells(spark, cells_path), 2, "potencia_total_kw")
 
 
 @query

@@ -590,6 +590,11 @@ FROM fx_raw""",
     "sink_load": """
 SELECT CASE WHEN area = 'N' THEN '' ELSE area END AS area, 'verificada' AS tipo, ts, NULLIF(val, 0) AS val, val AS carga_global,
   CAST(ts AS DATE) AS dia FROM fx_official""",
+    "cells_maintained": """
+SELECT siguf, CASE WHEN id % 7 = 0 THEN 'outra' ELSE dscfontegeracao END AS dscfontegeracao,
+  ROUND(SUM(CASE WHEN id % 7 = 0 THEN 2 ELSE 1 END * potencia_instalada_kw), 2) AS potencia_total_kw,
+  COUNT(*) AS empreendimentos
+FROM fact GROUP BY 1, 2""",
     "sink_fact": "SELECT * FROM fact",
     "sink_geojson": """
 SELECT lon, lat, nome_empreendimento, uf, tipo_geracao, potencia_outorgada_kw FROM fx_plants

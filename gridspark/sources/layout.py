@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gridspark.operators.rowsets import keep_last
 from gridspark.schemas import LOADS
 from gridspark.session import materialise
 from gridspark.sources.readers import stored
 
 # Readers of a table skip folders whose name begins with a line.
 LOG = "_cargas"
+# Folder column of tables kept by key.
+BUCKET = "balde"
 # Files below this size are joined by ``compact``.
 SMALL_FILE = 32 << 20
 
@@ -43,6 +47,59 @@ def replace_folders(rows: DataFrame, path: str, column: str) -> None:
     ).parquet(path)
 
 
+@dataclass
+class Changes:
+    """What an upsert did: rows taken out, rows put in, folders written anew."""
+
+    removed: DataFrame
+    added: DataFrame
+    folders: int
+
+
+def upsert(incoming: DataFrame, path: str, key: str, order: list[str], buckets: int) -> Changes:
+    """Replace stored rows by incoming ones of equal ``key``, in folders by its hash (eager).
+
+    Only the folders that the batch names are read and written anew; a table keeps
+    the number of ``buckets`` it began with. ``order`` names the bookkeeping columns
+    of ``incoming`` that rank versions; they are not stored. Run again after a
+    loss, the same batch gives the same table.
+    """
+    spark = incoming.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    last = keep_last(incoming.withColumn(BUCKET, bucket), [key], order).drop(*order)
+    batch = materialise(last, "upsert-batch")
+    touched = folders(batch, BUCKET)
+    old = stored(spark, path, batch.schema)
+    if not touched:
+        return Changes(old.limit(0), batch, 0)
+    old = materialise(old.filter(among(BUCKET, touched)), "upsert-before")
+    keys = batch.select(F.col(key).alias("__key"))
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    kept = old.join(keys, same, "left_anti")
+    replace_folders(kept.unionByName(batch), path, BUCKET)
+    return Changes(old.join(keys, same, "left_semi"), batch, len(touched))
+
+
+def write_part(rows: DataFrame, path: str, number: int) -> None:
+    """Part ``number`` of a table that is the sum of its parts; writing it again replaces it."""
+    rows.write.mode("overwrite").parquet(f"{path}/partes/parte={number}")
+
+
+def write_snapshot(rows: DataFrame, path: str, number: int) -> None:
+    """All parts up to ``number`` in one."""
+    rows.write.mode("overwrite").parquet(f"{path}/somas/parte={number}")
+
+
+def parts(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The newest snapshot and the parts after it, with their number (eager: finds the snapshot)."""
+    schema = f"{schema}, `parte` bigint"
+    sums, later = stored(spark, f"{path}/somas", schema), stored(spark, f"{path}/partes", schema)
+    newest = sums.agg(F.max("parte")).first()[0]
+    if newest is None:
+        return later
+    return later.filter(F.col("parte") > newest).unionByName(sums.filter(F.col("parte") == newest))
+
+
 def compact(spark: SparkSession, path: str, schema: str | StructType, column: str, small: int = SMALL_FILE) -> int:
     """Join the files of folders that hold several small ones; returns the folders rewritten.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark import schemas
@@ -18,8 +18,8 @@ REGISTRY_RESOURCE, FACT_RESOURCE = "aneel_mmgd", "mmgd_fato"
 PREFIX, PREFIX_CHARS, NO_HASH = "prefixo", 2, "-"
 # A lookup of few hashes skips row groups that lack them.
 BLOOM = {"parquet.bloom.filter.enabled#hash": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
-# Folder column of plants and the number of folders.
-BUCKET, PLANT_BUCKETS = "balde", 64
+# Folders of plants and units, by hash.
+BUCKETS = 64
 
 
 def _prefix(chars: int) -> Column:
@@ -111,23 +111,40 @@ def append_dispatch(rows: DataFrame, path: str) -> None:
     layout.clustered(added, "dia").write.mode("append").partitionBy("dia").parquet(path)
 
 
-def write_plants(incoming: DataFrame, path: str, order: list[str], buckets: int = PLANT_BUCKETS) -> int:
-    """Replace stored plants by incoming ones of equal ``hash``; returns the folders rewritten.
+def write_plants(incoming: DataFrame, path: str, order: list[str], buckets: int = BUCKETS) -> layout.Changes:
+    """Replace stored plants by incoming ones of equal ``hash``; see ``layout.upsert``."""
+    return layout.upsert(incoming, path, "hash", order, buckets)
 
-    Plants lie in folders by hash, and only the folders that the batch names are
-    read and written anew. A table keeps the number of ``buckets`` it began with.
-    ``order`` names the bookkeeping columns of ``incoming`` that rank versions; they are not stored.
+
+def write_units(
+    incoming: DataFrame, path: str, order: list[str], cells_path: str, number: int, buckets: int = BUCKETS
+) -> layout.Changes:
+    """Replace stored units by incoming ones of equal ``hash`` and carry the change over to the cells.
+
+    Load ``number`` adds what it put in and takes off what it took out, both read
+    from the folders it rewrote; the rest of the table is not read. A repeated load
+    would find its own rows stored, so its part of the cells is written only once.
     """
-    spark = incoming.sparkSession
-    bucket = F.pmod(F.xxhash64("hash"), F.lit(buckets)).cast("int")
-    batch = materialise(incoming.withColumn(BUCKET, bucket), "plants")
-    touched = layout.folders(batch, BUCKET)
-    if touched:
-        kept = stored(spark, path, batch.drop(*order).schema).filter(layout.among(BUCKET, touched))
-        merged = plants.upsert_plants(kept, batch, order).drop(*order)
-        # The scratch copy lets a job that is lost while it replaces folders run again.
-        layout.replace_folders(materialise(merged, "plants-merged"), path, BUCKET)
-    return len(touched)
+    if not stored(incoming.sparkSession, f"{cells_path}/partes", capacity.CELL_DELTAS + ", `parte` bigint").filter(
+        F.col("parte") == number
+    ).isEmpty():
+        raise ValueError(f"load {number} is in the cells already")
+    changes = layout.upsert(incoming, path, "hash", order, buckets)
+    layout.write_part(capacity.cell_deltas(changes.added, changes.removed), cells_path, number)
+    return changes
+
+
+def maintained_cells(spark: SparkSession, path: str) -> DataFrame:
+    """The cells that ``write_units`` maintains: the sum of its parts."""
+    return capacity.cells_of(layout.parts(spark, path, capacity.CELL_DELTAS))
+
+
+def fold_cells(spark: SparkSession, path: str) -> None:
+    """Sum the parts of the cells up to now, so that readers start from one."""
+    parts = materialise(layout.parts(spark, path, capacity.CELL_DELTAS), "cells")
+    newest = parts.agg(F.max("parte")).first()[0]
+    if newest is not None:
+        layout.write_snapshot(capacity.summed_deltas(parts), path, newest)
 
 
 def write_treemap(classified: DataFrame, path: str, generated_at: str) -> None:

@@ -106,13 +106,56 @@ def test_an_upsert_rewrites_the_folders_it_names(spark, tmp_path):
     assert len(list(path.glob("balde=*"))) == 64
     before = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
     twice = some(1995, 2005, 2, 2.0).unionByName(some(2004, 2005, 3, 3.0))
-    assert writers.write_plants(twice, out, ["versao"]) <= 10
+    changes = writers.write_plants(twice, out, ["versao"])
+    assert changes.folders <= 10 and changes.removed.count() == 5 and changes.added.count() == 10
     after = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
     assert len([f for f in before if after.get(f) != before[f]]) <= 10
     rows = {r["hash"]: r["kw"] for r in spark.read.parquet(out).collect()}
     assert len(rows) == 2005 and rows["CEG2004"] == 3.0 and rows["CEG1995"] == 2.0 and rows["CEG1994"] == 1.0
 
 
+def units(spark, first, last, version, uf="SP", kw=1.25):
+    return spark.range(first, last).select(
+        "id", F.concat(F.lit("h"), "id").alias("hash"), F.lit(uf).alias("siguf"),
+        F.when(F.col("id") % 3 == 0, "eol").otherwise("ufv").alias("dscfontegeracao"),
+        (F.lit(kw) * F.col("id")).alias("potencia_instalada_kw"), F.lit(version).alias("versao"),
+    )
+
+
+def test_cells_follow_landings_and_replacements(spark, tmp_path):
+    out, cells, path = str(tmp_path / "units"), str(tmp_path / "cells"), tmp_path / "units"
+    loads = [
+        units(spark, 0, 500, 1),
+        units(spark, 400, 600, 2, kw=0.1),
+        units(spark, 3, 9, 3, "RJ").unionByName(units(spark, 5, 6, 4, None, None)),
+        units(spark, 0, 0, 5),
+    ]
+    for number, rows in enumerate(loads):
+        writers.write_units(rows, out, ["versao"], cells, number, buckets=16)
+        if number == 1:
+            writers.fold_cells(spark, cells)
+            spoil(tmp_path / "cells" / "partes")
+        whole = capacity.capacity_cells(spark.read.parquet(out)).collect()
+        got = writers.maintained_cells(spark, cells).collect()
+        assert sorted(((r["siguf"], r["dscfontegeracao"], r["empreendimentos"]) for r in got), key=str) == sorted(
+            ((r["siguf"], r["dscfontegeracao"], r["empreendimentos"]) for r in whole), key=str
+        )
+        assert sum(r["potencia_total_kw"] for r in got) == pytest.approx(sum(r["potencia_total_kw"] or 0 for r in whole))
+    with pytest.raises(ValueError, match="already"):
+        writers.write_units(loads[0], out, ["versao"], cells, 2)
+
+
+def test_cells_read_only_the_folders_of_a_load(spark, tmp_path):
+    out, cells = str(tmp_path / "units"), str(tmp_path / "cells")
+    writers.write_units(units(spark, 0, 1000, 1), out, ["versao"], cells, 0)
+    batch = units(spark, 0, 3, 2, "MG")
+    named = {str(r[0]) for r in batch.select(F.pmod(F.xxhash64("hash"), F.lit(64))).collect()}
+    spoil_but(tmp_path / "units", "balde", named)
+    writers.write_units(batch, out, ["versao"], cells, 1)
+    got = {(r["siguf"], r["dscfontegeracao"]): r["empreendimentos"] for r in writers.maintained_cells(spark, cells).collect()}
+    assert got == {("SP", "eol"): 333, ("SP", "ufv"): 664, ("MG", "eol"): 1, ("MG", "ufv"): 2}
+
+
 def dispatch_rows(spark, first, last, shift=0):
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 40).cast("int"))
     return spark.range(first, last, 1, 8).select(
