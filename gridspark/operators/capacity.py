@@ -284,54 +284,51 @@ def totals_views(classified: DataFrame) -> DataFrame:
 
 
 def totals_summary(classified: DataFrame) -> DataFrame:
-    """Grand total, per source and per UF; the grand total exists for no rows too."""
+    """Grand total, per source and per UF, in one pass; the grand total exists for no rows too."""
     cells = _audited_cells(classified)
-    grand = cells.agg(
-        F.lit("total").alias("nivel"),
-        F.lit(None).cast("string").alias("chave"),
-        F.coalesce(F.sum("qtd"), F.lit(0)).alias("qtd"),
-        F.coalesce(_mw(F.sum("kw")), F.lit(0.0)).alias("mw"),
+    # A cell of nothing: without rows there is still a grand total, and no other group counts it.
+    nothing = classified.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("uf"),
+        F.lit(None).cast("string").alias("fonte_norm"),
+        F.lit(0).cast("bigint").alias("qtd"),
+        F.lit(0).cast("decimal(28,6)").alias("kw"),
     )
-    rolled = cells.groupingSets([["uf"], ["fonte_norm"]], "uf", "fonte_norm").agg(
-        F.grouping_id().alias("g"), F.sum("qtd").alias("qtd"), _mw(F.sum("kw")).alias("mw")
+    rolled = cells.unionByName(nothing).groupingSets([["uf"], ["fonte_norm"], []], "uf", "fonte_norm").agg(
+        F.grouping_id().alias("g"), F.sum("qtd").alias("qtd"), F.coalesce(_mw(F.sum("kw")), F.lit(0.0)).alias("mw")
     )
-    by_uf = F.col("g") == 1
-    return grand.unionByName(
-        rolled.select(
-            F.when(by_uf, "uf").otherwise("fonte").alias("nivel"),
-            F.when(by_uf, F.col("uf")).otherwise(F.col("fonte_norm")).alias("chave"),
-            "qtd",
-            "mw",
-        )
+    g = F.col("g")
+    return rolled.filter((F.col("qtd") > 0) | (g == 3)).select(
+        F.when(g == 1, "uf").when(g == 2, "fonte").otherwise("total").alias("nivel"),
+        F.when(g == 1, F.col("uf")).when(g == 2, F.col("fonte_norm")).alias("chave"),
+        "qtd",
+        "mw",
     )
 
 
 def export_tree(classified: DataFrame) -> DataFrame:
-    """One row per UF for the MW treemap file.
+    """One row per UF for the MW treemap file, in one pass.
 
     Sources without positive MW are left out, and so are UFs left without any;
     the UF keeps all its MW.
     """
-    leaves = totals_uf_source_view(classified).filter(_filled("uf"))
-    positive = F.col("potencia_total_mw") > 0
+    mw = _mw(F.col("kw"))
     leaf = F.struct(
-        (-F.col("potencia_total_mw")).alias("order"),
-        F.col("fonte_norm").alias("name"),
-        F.col("potencia_total_mw").alias("value"),
-        F.col("qtd_empreendimentos").alias("qtd"),
-    )
-    nested = (
-        leaves.filter(positive)
-        .groupBy("uf")
-        .agg(F.sort_array(F.collect_list(leaf)).alias("leaves"))
+        (-mw).alias("order"), F.col("fonte_norm").alias("name"), mw.alias("value"), F.col("qtd").alias("qtd")
     )
+    cells = _audited_cells(classified).filter(_filled("uf"))
     return (
-        totals_uf_view(classified)
-        .join(nested, "uf")
+        cells.groupBy("uf")
+        .agg(
+            _mw(F.sum("kw")).alias("value"),
+            F.sum("qtd").alias("qtd"),
+            # One leaf for each source code: a handful.
+            F.sort_array(F.collect_list(F.when(mw > 0, leaf))).alias("leaves"),
+        )
+        .filter(F.size("leaves") > 0)
         .select(
             F.col("uf").alias("name"),
-            F.col("potencia_total_mw").alias("value"),
-            F.col("qtd_empreendimentos").alias("qtd"),
+            "value",
+            "qtd",
             F.transform(
                 "leaves",
                 lambda x: F.struct(

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.session import materialise
+
 _RANK = "__rank"
 
 
@@ -68,28 +70,26 @@ def upsert(target: DataFrame, incoming: DataFrame, key: Column, order: list[str]
     return kept.unionByName(last, allowMissingColumns=True)
 
 
-def dense_ids(
-    df: DataFrame, key: str, name: str = "id", start: int = 1, chunk: int = 1_000_000
-) -> DataFrame:
-    """Consecutive ids in the order of a unique integer ``key``.
+def dense_ids(df: DataFrame, key: str, name: str = "id", start: int = 1) -> DataFrame:
+    """Consecutive ids in the order of a unique integer ``key`` (eager: reads its input once).
 
-    Ranks inside fixed key ranges of at most ``chunk`` rows and adds the number
-    of rows in the ranges before, so no task ever sees the whole table. Same
-    input, same ids, whatever the partitioning.
+    Rows are dealt by ranges of the key and counted off inside each; the rows in the
+    ranges before are a running sum over one row per range, however sparse the
+    keys are. Same input, same ids, whatever the partitioning.
     """
-    bucket = F.expr(f"`{key}` div {chunk}")
+    dealt = materialise(df, "ids").repartitionByRange(key).sortWithinPartitions(key)
+    placed = materialise(dealt.withColumn("__at", F.monotonically_increasing_id()), "ids-placed")
+    # The upper bits of such an id number the range, the lower ones the row in it.
+    ranges = placed.withColumn("__range", F.shiftright("__at", 33))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.select(bucket.alias("__range"))
-        .groupBy("__range")
+        ranges.groupBy("__range")
         .agg(F.count("*").alias("__n"))
         .select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     )
-    inside = F.row_number().over(Window.partitionBy("__range").orderBy(key))
+    inside = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        df.withColumn("__range", bucket)
-        .withColumn("__inside", inside)
-        .join(offsets, "__range")
-        .withColumn(name, F.col("__before") + F.col("__inside") + F.lit(start - 1))
-        .drop("__range", "__inside", "__before")
+        ranges.join(F.broadcast(offsets), "__range")  # one row per range
+        .withColumn(name, F.col("__before") + inside + F.lit(start))
+        .drop("__range", "__at", "__before")
     )

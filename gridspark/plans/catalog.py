@@ -25,7 +25,7 @@ from gridspark.operators import (
     settlement,
 )
 from gridspark.plans import inputs
-from gridspark.sources import layout, readers, rejects, writers
+from gridspark.sources import layout, pages, readers, rejects, writers
 from gridspark.streaming import measurements as measurement_stream
 from gridspark.streaming import registry as registry_stream
 
@@ -294,6 +294,35 @@ def plants_page(spark, sf_dir):
     )
 
 
+def _third_page(spark, rows, key, limit, where=None):
+    """Store rows in display order and turn to the third page."""
+    path, after = session.scratch_path(spark, "pages"), None
+    pages.write_pages(rows, path, key, file_rows=1000)
+    for _ in range(3):
+        page = pages.read_page(spark, path, limit, after, where)
+        after = page.after
+    return page.rows
+
+
+@query
+def units_keyset(spark, sf_dir):
+    wanted = F.col("dscfontegeracao").ilike("%gás%") & (F.col("siguf") != "NATION_4")
+    rows = _third_page(spark, fact(spark, sf_dir), [F.col("id")], 50, wanted)
+    return rows.select("id", "cod_empreendimento", "siguf", "dscfontegeracao", "potencia_instalada_kw")
+
+
+@query
+def plants_keyset(spark, sf_dir):
+    key = [pages.falling(F.col("potencia_outorgada_kw")), F.col("cod_ceg")]
+    return _third_page(spark, inputs.plants(spark, sf_dir), key, 20).select("cod_ceg", "uf", "potencia_outorgada_kw")
+
+
+@query
+def load_keyset(spark, sf_dir):
+    key = [pages.falling(F.unix_micros(F.col("created_at").cast("timestamp"))), pages.falling(F.col("id"))]
+    return _third_page(spark, inputs.load(spark, sf_dir), key, 100, F.col("area") == "NE").select("id", "area", "tipo")
+
+
 @query
 def plants_geo(spark, sf_dir):
     return rounded(plants.plants_geo(inputs.plants(spark, sf_dir)), 6, "raio")

@@ -381,6 +381,14 @@ WHERE siguf = 'NATION_3' AND dscfontegeracao ILIKE '%gás%' ORDER BY id LIMIT 50
     "plants_page": """
 SELECT cod_ceg, nome_empreendimento, uf, tipo_geracao, potencia_outorgada_kw FROM fx_plants
 WHERE tipo_geracao = 'UFV' ORDER BY potencia_outorgada_kw DESC, cod_ceg LIMIT 20""",
+    "units_keyset": """
+SELECT id, cod_empreendimento, siguf, dscfontegeracao, potencia_instalada_kw FROM fact
+WHERE siguf <> 'NATION_4' AND dscfontegeracao ILIKE '%gás%' ORDER BY id LIMIT 50 OFFSET 100""",
+    "plants_keyset": """
+SELECT cod_ceg, uf, potencia_outorgada_kw FROM fx_plants
+ORDER BY potencia_outorgada_kw DESC NULLS LAST, cod_ceg LIMIT 20 OFFSET 40""",
+    "load_keyset": """
+SELECT id, area, tipo FROM fx_load WHERE area = 'NE' ORDER BY created_at DESC, id DESC LIMIT 100 OFFSET 200""",
     "plants_geo": """
 SELECT * EXCLUDE (data_entrada_operacao), ROUND(GREATEST(3, LEAST(14, SQRT(GREATEST(potencia_outorgada_kw, 0) / 5000))), 6) AS raio FROM fx_plants
 WHERE lat <> 0 AND lon <> 0 ORDER BY potencia_outorgada_kw DESC, cod_ceg""",

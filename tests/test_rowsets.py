@@ -50,10 +50,33 @@ def test_upsert_last_write_wins(spark):
     assert sorted(again.collect()) == sorted(result.collect())
 
 
+def test_dense_ids_of_sparse_keys(spark):
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            evaluated.add(batch.num_rows)
+            yield batch
+
+    keys = [(10**6 * k * (-1) ** k,) for k in range(3000)]
+    df = spark.createDataFrame(keys, "k bigint").repartition(5).mapInArrow(seen, "k bigint")
+    rows = rowsets.dense_ids(df, "k")
+    got = {r["k"]: r["id"] for r in rows.collect()}
+    assert [k for k, _ in sorted(got.items(), key=lambda x: x[1])] == sorted(k for k, in keys)
+    assert sorted(got.values()) == list(range(1, 3001))
+    assert evaluated.value == 3000
+    windows = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+    assert len(windows) == 1 and "__n" in windows[0]
+
+
+def test_dense_ids_of_nothing(spark):
+    assert rowsets.dense_ids(spark.createDataFrame([], "k bigint"), "k").collect() == []
+
+
 def test_dense_ids(spark):
     keys = random.Random(1).sample(range(-500, 5000), 700)
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    got = {r["k"]: r["id"] for r in rowsets.dense_ids(df, "k", start=10, chunk=64).collect()}
+    got = {r["k"]: r["id"] for r in rowsets.dense_ids(df, "k", start=10).collect()}
     assert got == {k: i + 10 for i, k in enumerate(sorted(keys))}
 
 
