@@ -830,7 +830,8 @@ def sink_dispatch(spark, sf_dir):
     for _ in range(2):
         writers.append_dispatch(landed, path)
     table = readers.stored(spark, path, schemas.STORED_DISPATCH)
-    return table.select("dia", "num_patamar", "cod_subsistema", "val_demanda", "val_ger_pct")
+    day = F.col("din_programacaodia").alias("dia")
+    return table.select(day, "num_patamar", "cod_subsistema", "val_demanda", "val_ger_pct")
 
 
 @query

@@ -100,7 +100,8 @@ STORED_LOAD = ddl(
     val="double",
     dia="date",
 )
-STORED_DISPATCH = DISPATCH_FILE + ", " + ddl(hash="string", fonte_arquivo="string", dia="date")
+# Dispatch lies in folders by month: a day has a few rows.
+STORED_DISPATCH = DISPATCH_FILE + ", " + ddl(hash="string", fonte_arquivo="string", mes="string")
 GROWTH_LOG = ddl(
     mmgd_ativos="bigint",
     mmgd_potencia_kw="double",

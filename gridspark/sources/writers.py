@@ -99,16 +99,17 @@ def append_load(records: DataFrame, path: str, created_at: str) -> None:
 
 
 def append_dispatch(rows: DataFrame, path: str) -> None:
-    """Add the dispatch rows whose ``hash`` is not stored yet, partitioned by day.
+    """Add the dispatch rows whose ``hash`` is not stored yet, partitioned by month.
 
-    A row's hash covers its day, so only the stored folders of the days that come in, calendar days, are compared.
+    A row's hash covers its day, so only the stored folders of the months that come in are compared.
     """
-    fresh = materialise(rows.withColumn("dia", F.col("din_programacaodia")), "dispatch")
+    month = F.date_format("din_programacaodia", "yyyy-MM")
+    fresh = materialise(rows.withColumn("mes", month), "dispatch")
     target = stored(rows.sparkSession, path, schemas.STORED_DISPATCH)
-    same_days = target.filter(layout.among("dia", layout.folders(fresh, "dia")))
+    same_months = target.filter(layout.among("mes", layout.folders(fresh, "mes")))
     # Equal hashes are equal rows but for the file, so the first file by name stays.
-    added = new_rows(same_days, fresh, "hash", ["fonte_arquivo"])
-    layout.clustered(added, "dia").write.mode("append").partitionBy("dia").parquet(path)
+    added = new_rows(same_months, fresh, "hash", ["fonte_arquivo"])
+    layout.clustered(added, "mes").write.mode("append").partitionBy("mes").parquet(path)
 
 
 def write_plants(incoming: DataFrame, path: str, order: list[str], buckets: int = BUCKETS) -> layout.Changes:
