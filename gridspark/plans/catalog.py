@@ -28,6 +28,7 @@ from gridspark.plans import inputs
 from gridspark.sources import layout, pages, readers, rejects, writers
 from gridspark.streaming import measurements as measurement_stream
 from gridspark.streaming import registry as registry_stream
+from gridspark.streaming import windows as window_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -513,6 +514,19 @@ def iot_windows(spark, sf_dir):
     )
 
 
+@query
+def iot_windows_late(spark, sf_dir):
+    """Windows kept by a stream to which every third minute's measurements come late."""
+    landing, path, check = (session.scratch_path(spark, n) for n in ("measured", "windows", "windows-stream"))
+    rows = inputs.iot(spark, sf_dir)
+    late = F.minute("ts") % 3 == 0
+    for part in (rows.filter(~late), rows.filter(late)):
+        part.write.mode("append").parquet(landing)
+        source = spark.readStream.schema(rows.schema).parquet(landing)
+        window_stream.start_windows(source, path, check).awaitTermination()
+    return rounded(window_stream.windows(spark, path, flush=True), 4, "geracao", "consumo", "excedente")
+
+
 @query
 def iot_crediting(spark, sf_dir):
     fresh = measurements.distinct_measurements(inputs.iot(spark, sf_dir, repeated=True))

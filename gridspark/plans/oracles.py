@@ -476,6 +476,14 @@ SELECT cliente_id, time_bucket(INTERVAL 1 HOUR, ts) AS inicio, time_bucket(INTER
   COUNT(*) AS medicoes, ROUND(SUM(geracao_kw), 4) AS geracao, ROUND(SUM(consumo_kw), 4) AS consumo,
   ROUND(SUM(excedente_kwh), 4) AS excedente
 FROM iot_extra GROUP BY 1, 2, 3""",
+    "iot_windows_late": """
+, marked AS (SELECT *, MINUTE(ts) % 3 = 0 AS late, time_bucket(INTERVAL 1 HOUR, ts) AS inicio,
+  MAX(ts) FILTER (MINUTE(ts) % 3 <> 0) OVER () AS marca FROM iot_extra)
+SELECT cliente_id, inicio, inicio + INTERVAL 1 HOUR AS fim, COUNT(*) AS medicoes, ROUND(SUM(geracao_kw), 4) AS geracao,
+  ROUND(SUM(consumo_kw), 4) AS consumo, ROUND(SUM(excedente_kwh), 4) AS excedente,
+  COUNT(*) FILTER (late AND inicio + INTERVAL 2 HOUR <= marca) AS tardias,
+  CAST(MAX(CASE WHEN late THEN 1 ELSE 0 END) AS BIGINT) AS versao
+FROM marked GROUP BY cliente_id, inicio""",
     "iot_running_balance": """
 SELECT cliente_id, ROUND(SUM(excedente_kwh), 4) AS excedente_kwh, COUNT(*) AS medicoes FROM iot_extra GROUP BY 1""",
     "iot_crediting": """

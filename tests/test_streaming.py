@@ -13,6 +13,7 @@ from gridspark.sources import writers
 from gridspark.streaming import measurements as stream
 from gridspark.streaming import registry as registry_stream
 from gridspark.streaming import settlement as settlement_stream
+from gridspark.streaming import windows as window_stream
 
 
 def drain(query):
@@ -145,6 +146,41 @@ def test_fact_stream_equals_batch(spark, sf_dir, tmp_path):
     assert registry_stream.read_fact(spark, fact).count() == want.count()
 
 
+def test_late_measurements_restate_windows(spark, tmp_path):
+    folder, out, check = tmp_path / "in", str(tmp_path / "windows"), str(tmp_path / "c")
+    hour = "2026-01-01 {:02d}:10:00".format
+    messages(folder, "1.json", message(1, hour(0), 5.0, 1.0), message(2, hour(0), 1.0), message(1, None, 9.0))
+    messages(folder, "2.json", message(1, hour(6), 1.0))
+    messages(folder, "3.json", message(1, hour(0), 2.0), message(1, hour(6), 4.0), message(2, hour(3), 1.5))
+    source = stream.measurement_stream(spark, str(folder), files_per_batch=1)
+    drain(window_stream.start_windows(source, out, check))
+
+    def found(rows):
+        return sorted((r["cliente_id"], r["inicio"].hour, r["medicoes"], r["geracao"], r["tardias"], r["versao"]) for r in rows.collect())
+
+    closed = [(1, 0, 2, 7.0, 1, 2), (2, 0, 1, 1.0, 0, 0), (2, 3, 1, 1.5, 1, 2)]
+    assert found(window_stream.windows(spark, out)) == closed
+    assert found(window_stream.windows(spark, out, flush=True)) == sorted([*closed, (1, 6, 2, 5.0, 0, 2)])
+    first = found(window_stream.versions(spark, out).filter("cliente_id = 1 AND hour(inicio) = 0"))
+    assert first == [(1, 0, 1, 5.0, 0, 0), (1, 0, 2, 7.0, 1, 2)]
+    kinds = "cliente_id bigint, ts timestamp_ntz, geracao_kw double"
+    aside = window_stream.set_aside(spark, out, kinds).collect()
+    assert sorted((r["cliente_id"], r["geracao_kw"], r["motivo"]) for r in aside) == [
+        (1, 2.0, "tardia"), (1, 9.0, "sem_hora"), (2, 1.5, "tardia"),
+    ]
+    # folded parts are read no more; the whole stream again gives the same windows
+    window_stream.fold(spark, out)
+    spoil(tmp_path / "windows" / "janelas" / "partes")
+    messages(folder, "4.json", message(2, hour(0), 3.0))
+    drain(window_stream.start_windows(source, out, check))
+    assert found(window_stream.windows(spark, out))[1] == (2, 0, 2, 4.0, 1, 3)
+    drain(window_stream.start_windows(source, str(tmp_path / "again"), str(tmp_path / "c2")))
+    drain(window_stream.start_windows(source, str(tmp_path / "again"), str(tmp_path / "c3")))
+    assert found(window_stream.windows(spark, str(tmp_path / "again"), flush=True)) == found(
+        window_stream.windows(spark, out, flush=True)
+    )
+
+
 def spoil(folder):
     """Make every data file of a folder unreadable."""
     files = [p for p in folder.rglob("*.parquet")]
