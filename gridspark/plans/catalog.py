@@ -185,7 +185,9 @@ def _tables(spark, sf_dir):
 
 @query
 def table_stats(spark, sf_dir):
-    return capacity.table_stats(spark, _tables(spark, sf_dir))
+    others = {n: t for n, t in _tables(spark, sf_dir).items() if not n.startswith("mmgd_")}
+    profile = quality.registry_profile(inputs.raw(spark, sf_dir)).unpivot([], ["mmgd_raw", "mmgd_fato"], "tabela", "linhas")
+    return capacity.table_stats(spark, others).unionByName(profile)
 
 
 @query

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,10 @@ DEFAULTS = {
 }
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+SCRATCH_NAME = re.compile(r"[a-z0-9-]+-[0-9a-f]{32}")
+
+
 def build(app: str = "gridspark", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the library defaults; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -46,9 +52,11 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    root = tempfile.mkdtemp(prefix="gridspark-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    # The setting cannot be changed in a running session, so the process remembers.
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="gridspark-")
+    return _LOCAL_ROOTS[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -68,6 +76,26 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession, older_than_hours: float) -> int:
+    """Delete scratch tables whose folder was last changed before so many hours; returns how many went.
+
+    Jobs keep their intermediate tables, as results read them lazily: choose a time
+    that no result outlives. Only folders that ``scratch_path`` named are looked at.
+    """
+    root = scratch_root(spark)
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(root)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    gone = 0
+    for entry in files.listStatus(place) if files.exists(place) else []:
+        ours = entry.isDirectory() and SCRATCH_NAME.fullmatch(entry.getPath().getName())
+        if ours and entry.getModificationTime() < limit:
+            files.delete(entry.getPath(), True)
+            gone += 1
+    return gone
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give an input that arrives in too few tasks to every core.
 

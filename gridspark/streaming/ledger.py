@@ -19,10 +19,10 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
-def read_before(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
-    """Rows of all batches before ``batch_id``."""
+def read_one(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """Rows of one batch."""
     table = stored(spark, path, f"{schema}, `{BATCH}` bigint")
-    return table.filter(F.col(BATCH) < batch_id).drop(BATCH)
+    return table.filter(F.col(BATCH) == batch_id).drop(BATCH)
 
 
 def read_all(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -8,8 +8,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridspark import schemas
 from gridspark.operators import settlement
+from gridspark.session import materialise
+from gridspark.sources import layout
 from gridspark.streaming import ledger
 
+BALANCE = schemas.ddl(id="bigint", saldo="double")
+# Batches between two snapshots of all balances.
+SNAPSHOT_EVERY = 50
+
 OUTCOME = schemas.ddl(
     credito_id="bigint",
     seq="int",
@@ -32,28 +38,40 @@ def sale_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -
     return reader.json(folder)
 
 
+def _left(credits: DataFrame, path: str, before: int | None) -> DataFrame:
+    """``credits`` with the balance that the batches before left them (eager: finds the snapshot)."""
+    parts = layout.parts(credits.sparkSession, f"{path}/saldos", BALANCE)
+    if before is not None:
+        parts = parts.filter(F.col("parte") < before)
+    newest = parts.groupBy("id").agg(F.max_by("saldo", "parte").alias("saldo"))
+    return credits.join(newest, "id", "left").withColumn("saldo_kwh", F.coalesce("saldo", "saldo_kwh")).drop("saldo")
+
+
 def start_settlement(
-    requests: DataFrame, credits: DataFrame, path: str, checkpoint: str
+    requests: DataFrame, credits: DataFrame, path: str, checkpoint: str, snapshot_every: int = SNAPSHOT_EVERY
 ) -> StreamingQuery:
     """Settle new requests against what earlier batches left of the credits.
 
-    ``credits`` is the balance before the first batch. Only the credits named in
-    a batch are read. Between runs the outcomes can be folded into a new balance
-    table (``settlement.balances``) and a new outcome folder started.
+    ``credits`` is the balance before the first batch. A batch writes its outcomes and
+    the balances of the credits it names; the next one reads balances only, from the
+    newest snapshot of all of them on, and never an outcome.
     """
 
     def settle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read several times below
         try:
             named = batch.select(F.col("credito_id").alias("id")).distinct()
-            touched = credits.join(named, "id", "left_semi")
-            earlier = ledger.read_before(batch.sparkSession, path, OUTCOME, batch_id).join(
-                named.withColumnRenamed("id", "credito_id"), "credito_id", "left_semi"
-            )
-            left = settlement.balances(touched, earlier)
-            ledger.write_batch(settlement.settle(left, batch), path, batch_id)
+            left = materialise(_left(credits.join(named, "id", "left_semi"), path, batch_id), "settlement-left")
+            ledger.write_batch(settlement.settle(left, batch), f"{path}/desfechos", batch_id)
         finally:
             batch.unpersist()
+        mine = ledger.read_one(left.sparkSession, f"{path}/desfechos", OUTCOME, batch_id)
+        after = settlement.balances(left, mine).select("id", F.col("saldo_kwh").alias("saldo"))
+        layout.write_part(after, f"{path}/saldos", batch_id)
+        if batch_id % snapshot_every == snapshot_every - 1:
+            parts = layout.parts(left.sparkSession, f"{path}/saldos", BALANCE).filter(F.col("parte") <= batch_id)
+            newest = parts.groupBy("id").agg(F.max_by("saldo", "parte").alias("saldo"))
+            layout.write_snapshot(materialise(newest, "settlement-balances"), f"{path}/saldos", batch_id)
 
     return (
         requests.writeStream.foreachBatch(settle)
@@ -63,6 +81,11 @@ def start_settlement(
     )
 
 
+def left_balances(credits: DataFrame, path: str) -> DataFrame:
+    """``credits`` with the balances after all batches so far."""
+    return _left(credits, path, None)
+
+
 def outcomes(spark: SparkSession, path: str) -> DataFrame:
     """All settled requests so far."""
-    return ledger.read_all(spark, path, OUTCOME)
+    return ledger.read_all(spark, f"{path}/desfechos", OUTCOME)

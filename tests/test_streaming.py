@@ -280,9 +280,15 @@ def test_settlement_stream_equals_batch(spark, tmp_path):
     messages(folder, "1.json", *requests[:20])
     messages(folder, "2.json", *requests[20:35])
     source = settlement_stream.sale_stream(spark, str(folder), files_per_batch=1)
-    drain(settlement_stream.start_settlement(source, credits, out, str(tmp_path / "c")))
+    drain(settlement_stream.start_settlement(source, credits, out, str(tmp_path / "c"), snapshot_every=2))
+    # neither outcomes nor balances from before the snapshot are read again
+    kept = {f: f.read_bytes() for f in (tmp_path / "out").rglob("*") if f.is_file()}
+    spoil(tmp_path / "out" / "desfechos")
+    spoil(tmp_path / "out" / "saldos" / "partes")
     messages(folder, "3.json", *requests[35:])
-    drain(settlement_stream.start_settlement(source, credits, out, str(tmp_path / "c")))
+    drain(settlement_stream.start_settlement(source, credits, out, str(tmp_path / "c"), snapshot_every=2))
+    for file, data in kept.items():
+        file.write_bytes(data)
     got = settlement_stream.outcomes(spark, out)
     whole = settlement.settle(credits, spark.read.schema(got.schema).json(str(folder)).drop("status", "sinal_suspeito", "tipo"))
     assert {r["seq"]: r["status"] for r in got.collect()} == {r["seq"]: r["status"] for r in whole.collect()}
@@ -290,5 +296,8 @@ def test_settlement_stream_equals_batch(spark, tmp_path):
     assert {r["id"]: r["saldo_kwh"] for r in left} == {
         r["id"]: r["saldo_kwh"] for r in settlement.balances(credits, whole).collect()
     }
+    assert {r["id"]: r["saldo_kwh"] for r in left} == {
+        r["id"]: r["saldo_kwh"] for r in settlement_stream.left_balances(credits, out).collect()
+    }
     owner = credit_ops.statement(settlement.sold(got), credits, 1)
     assert owner.count() == settlement.sold(got).count() > 0
