@@ -24,6 +24,7 @@ PAGES = [
     (12, "http://a.example/12", "é" * 500),
     (None, "http://a.example/13", BIG),
     (14, "http://a.example/14", "long " * 4_000),
+    (15, "http://a.example/" + "u" * 1_000_000, "<p>one</p>"),
 ]
 
 
@@ -42,16 +43,49 @@ def expected(pages):
     return collections.Counter(out)
 
 
-@pytest.mark.parametrize("range_bytes", [500, 8_000_000])
-def test_round_trip_rejects_magic_in_payloads(spark, range_bytes):
+@pytest.mark.parametrize("range_bytes, compress", [(60_000, False), (8_000_000, False), (300, True), (8_000_000, True)])
+def test_round_trip_rejects_magic_in_payloads(spark, range_bytes, compress):
     pages = spark.createDataFrame([(*p, "extra") for p in PAGES], "page_id bigint, url string, html string, payload string")
     folder = scratch_path(spark, "warc-test")
-    warc.write(pages.coalesce(2), folder)
+    warc.write(pages.coalesce(2), folder, compress=compress)
     found = warc.read(spark, folder, range_bytes)
     rows = found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
     assert collections.Counter(tuple(r) for r in rows) == expected(PAGES)
-    bodies = {r.page_id: bytes(r.payload) for r in found.filter("record_type = 'response'").collect()}
-    assert bodies[2] == (FAKE * 5).encode() and bodies[14] == ("long " * 4_000).encode()
+    responses = {r.page_id: r for r in found.filter("record_type = 'response'").collect()}
+    assert bytes(responses[2].payload) == (FAKE * 5).encode() and bytes(responses[14].payload) == ("long " * 4_000).encode()
+    assert responses[15].url == PAGES[-1][1]
+
+
+def other(lines, block):
+    """A record as other programs write it."""
+    return "\r\n".join([*lines, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+HTTP = b"HTTP/1.1 200 OK\r\ncontent-length: 3\r\nX: y\r\n\r\nabcdef"
+OTHERS = [
+    other(["WARC/1.0", "WARC-Type: warcinfo", "WARC-Record-ID: <urn:uuid:1>", "Content-Type: application/warc-fields"], b"software: x\r\n"),
+    other(["WARC/1.0", "WARC-Type: response", "WARC-Record-ID: <urn:uuid:2>", "Content-Type: application/http; msgtype=response",
+           "WARC-Target-URI: http://a.example/", "X-Long: " + "v" * 200_000, "\tfolded"], HTTP),
+    other(["WARC/1.1", "warc-type: resource", "WARC-Record-ID: <urn:uuid:3>", "WARC-Payload-Digest: sha256:abcd"], b"WARC/1.0\r\nContent-Length: 1\r\n\r\n"),
+    other(["WARC/0.17", "WARC-Type: metadata", "WARC-Payload-Digest: sha1:" + hashlib.sha1(b"m").hexdigest().upper()], b"m"),
+    other(["WARC/1.0", "WARC-Type: conversion"], b""),
+]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+@pytest.mark.parametrize("range_bytes", [2_000, 1_000_000])
+def test_archives_of_others(spark, tmp_path, range_bytes, packed):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    name = "x.warc.gz" if packed else "x.warc"
+    (folder / name).write_bytes(b"".join(warc.member(r) if packed else r for r in OTHERS * 2))
+    (folder / ("empty" + name[1:])).write_bytes(b"")
+    found = warc.read(spark, str(folder), range_bytes, files=warc.manifest(spark, str(folder))).orderBy("offset").collect()
+    assert [r["record_type"] for r in found] == ["warcinfo", "response", "resource", "metadata", "conversion"] * 2
+    assert [r["record_id"] for r in found][:5] == ["<urn:uuid:1>", "<urn:uuid:2>", "<urn:uuid:3>", None, None]
+    assert [bytes(r["payload"]) for r in found][:5] == [b"software: x\r\n", b"abcdef", b"WARC/1.0\r\nContent-Length: 1\r\n\r\n", b"m", b""]
+    assert all(r["payload_digest"] == hashlib.sha1(r["payload"]).hexdigest() for r in found)
+    assert {r["page_id"] for r in found} == {None}
 
 
 def test_empty_table(spark):
@@ -60,8 +94,13 @@ def test_empty_table(spark):
     assert warc.read(spark, folder).count() == 0
 
 
-def test_a_damaged_file_is_reported():
+def test_damaged_records_are_reported():
     raw = warc.record(1, None, b"abc", hashlib.sha1(b"abc").hexdigest(), None)
-    assert warc.parse_header(raw, 0)[0]["warc-type"] == "response"
-    assert warc.parse_header(raw[:40], 0) is None
-    assert warc.links(raw + raw, 0, 2 * len(raw)) == [(len(raw), 2 * len(raw)), (0, 2 * len(raw))]
+    assert warc.parse_header(warc.of_bytes(raw), 0)[0]["warc-type"] == "response"
+    assert warc.parse_header(warc.of_bytes(raw[:40]), 0) is None
+    assert warc.links(warc.of_bytes(raw + raw), 2 * len(raw)) == [(len(raw), 2 * len(raw)), (0, 2 * len(raw))]
+    assert warc.links(warc.of_bytes(warc.member(raw)[:-9]), 50, True) == []
+    for spoilt in (raw[:-2], raw[:-5] + b"x" + raw[-4:]):
+        with pytest.raises(ValueError):
+            for _, fields, block in warc._records(warc.of_bytes(spoilt), 0, len(spoilt), False):
+                warc._row(fields, block, True)
