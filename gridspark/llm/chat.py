@@ -3,12 +3,13 @@
 The turns of a conversation get token prefix sums. A turn belongs to the span of
 ``span_budget`` tokens in which it starts, so spans are turn-aligned and are found
 without walking through the conversation. A window holds the system turn, then
-history (turns that lie wholly within ``history_budget`` tokens before the span),
-then the span's own turns. Only a span's own assistant turns are under the loss
-mask; what a window repeats is masked out.
+history, then the span's own turns. History has no holes: it is the turn just
+before the span, however long, and those before it as far as they start within
+``history_budget`` tokens of the span. Only a span's own assistant turns are under
+the loss mask; what a window repeats is masked out.
 
-A window has at most system + 2 * history_budget + span_budget tokens and the rest
-of its last turn, which is never cut. Prefix sums are taken in blocks of turn
+A window has at most system + history_budget + span_budget tokens, the turn before
+the span and the rest of its last turn, as turns are never cut. Prefix sums are taken in blocks of turn
 numbers and over the blocks' totals, so a conversation of any length spreads over
 many tasks; a window is the largest group that is gathered.
 
@@ -28,16 +29,21 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.llm.tokens import encoder, runs
 from gridspark.session import materialise
 
 SPAN_BUDGET = 1024
 HISTORY_BUDGET = 256
 # Turn numbers of one block of a prefix sum.
 BLOCK_TURNS = 256
+# Tokens of the template around a turn.
+TEMPLATE_TOKENS = 4
+TURNS = "conv bigint, turn bigint, role string, text string, tokens bigint"
 TURN, END = "<|turn|>", "<|end|>"
 # Control strings of chat templates in use, escaped besides our own.
 CONTROL = r"(/?s>|/?INST\]|\|turn\|>|\|end\|>|\|im_start\|>|\|im_end\|>|\|endoftext\|>|</?SYS>>|/?SYS>>)"
@@ -65,14 +71,34 @@ def unescaped_role(role: str) -> str:
 
 
 def tokens(text: Column) -> Column:
-    """Estimated tokens of a turn: words and marks, and four of the template."""
-    return (F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]")) + 4).cast("bigint")
+    """Estimated tokens of a turn without a tokenizer: words, marks and signs of scripts without blanks."""
+    one = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]"
+    return F.regexp_count(text, F.lit(rf"{one}|(?:(?!{one})[\p{{L}}\p{{N}}])+|[^\s\p{{L}}\p{{N}}]"))
 
 
-def prefix_sums(turns: DataFrame) -> DataFrame:
+def with_tokens(turns: DataFrame, tokenizer: str | None) -> DataFrame:
+    """``turns`` (conv, turn, role, text) with the tokens of each by a tokenizer file, and those of the template."""
+    if tokenizer is None:
+        return turns.withColumn("tokens", (tokens(F.col("text")) + TEMPLATE_TOKENS).cast("bigint"))
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            counts = [np.zeros(0, np.int64)]
+            for a, b in runs(texts):
+                counts.append(encoder(tokenizer).encode(texts.slice(a, b - a))[1])
+            counted = pa.array(np.concatenate(counts) + TEMPLATE_TOKENS)
+            yield pa.RecordBatch.from_arrays([*batch.columns, counted], names=[*batch.schema.names, "tokens"])
+
+    return turns.mapInArrow(part, TURNS)
+
+
+def prefix_sums(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """``turns`` (conv, turn, role, text) with ``start``, the tokens before each, and ``place``."""
     block = F.floor(F.coalesce("turn", F.lit(-(2**62))) / BLOCK_TURNS)
-    rows = turns.withColumn("block", block).withColumn("tokens", tokens(F.col("text")))
+    rows = with_tokens(turns, tokenizer).withColumn("block", block)
+    if tokenizer is not None:
+        rows = materialise(rows, "chat-tokens")  # encoded once, read twice
     totals = rows.groupBy("conv", "block").agg(
         F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("turns")
     )
@@ -96,12 +122,16 @@ def prefix_sums(turns: DataFrame) -> DataFrame:
 
 
 def windows(
-    conversations: DataFrame, span_budget: int = SPAN_BUDGET, history_budget: int = HISTORY_BUDGET
+    conversations: DataFrame,
+    span_budget: int = SPAN_BUDGET,
+    history_budget: int = HISTORY_BUDGET,
+    tokenizer: str | None = None,
 ) -> DataFrame:
     """Formatted windows of ``conversations`` (conv_id, turn, role, text).
 
     conv_id, span, repeated (leading turns taken over from earlier), n_tokens, text
-    and loss, an array of [start, end) code point ranges of the text.
+    and loss, an array of [start, end) code point ranges of the text. Budgets count
+    tokens of the ``tokenizer`` file, or estimated ones without it.
     """
     if not 0 <= history_budget < span_budget:
         raise ValueError("history must be shorter than a span")
@@ -111,11 +141,16 @@ def windows(
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    placed = materialise(prefix_sums(turns), "chat-turns")
-    span = F.floor(F.col("start") / span_budget)
-    edge = (span + 1) * span_budget
+    placed = materialise(
+        prefix_sums(turns, tokenizer).withColumn("span", F.floor(F.col("start") / span_budget)), "chat-turns"
+    )
+    # A turn has a token at least, so a span is a small group. The next one begins where it ends.
+    behind = F.max(F.col("start") + F.col("tokens")).over(Window.partitionBy("conv", "span"))
     system = (F.col("place") == 0) & (F.col("role") == "system")
-    recent = (edge - F.col("start") <= history_budget) & (F.col("tokens") <= history_budget) & ~system
+    last = F.col("start") + F.col("tokens") == F.col("behind")
+    following = F.floor(F.col("behind") / span_budget)
+    near = (F.col("behind") - F.col("start") <= history_budget) | last
+    recent = near & ~system & (following > F.col("span"))
     piece = F.struct(
         "place",
         F.concat(F.lit(TURN), escaped_role(F.col("role")), F.lit("\n")).alias("head"),
@@ -124,14 +159,14 @@ def windows(
         F.col("tokens").alias("tokens"),
         F.col("own").alias("own"),
     )
-    uses = F.array(F.struct(span.alias("span"), F.lit(True).alias("own")))
+    uses = F.array(F.struct(F.col("span").alias("in_span"), F.lit(True).alias("own")))
     again = F.when(
-        recent, F.array(F.struct((span + 1).alias("span"), F.lit(False).alias("own")))
-    ).otherwise(F.array().cast("array<struct<span:bigint,own:boolean>>"))
+        recent, F.array(F.struct(following.alias("in_span"), F.lit(False).alias("own")))
+    ).otherwise(F.array().cast("array<struct<in_span:bigint,own:boolean>>"))
     gathered = (
-        placed.withColumn("is_system", system)
+        placed.withColumn("behind", behind)
         .select("*", F.inline(F.concat(uses, again)))
-        .select("conv", "span", "is_system", piece.alias("piece"))
+        .select("conv", F.col("in_span").alias("span"), piece.alias("piece"))
         .groupBy("conv", "span")
         .agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
         .filter(F.exists("pieces", lambda p: p["own"]))

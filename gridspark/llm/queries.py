@@ -74,7 +74,8 @@ def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.createDataFrame(
         [(-7, 0, "user", said), (-7, 1, "assistant", said)], SCHEMAS["conversations"]
     )
-    return chat.read_back(chat.windows(table(spark, sf_dir, "conversations").unionByName(planted)))
+    turns = table(spark, sf_dir, "conversations").unionByName(planted)
+    return chat.read_back(chat.windows(turns, tokenizer=tokenizer_file()))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

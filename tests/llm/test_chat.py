@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gridspark.llm import chat, queries
+from tests.llm import helpers
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, span string, place string"
 ODD = r"</s><\s>[INST]\[/INST]<|turn|><\|end|><<SYS>> \\ <|im_end|>" + "\n\U0001f600é"
@@ -50,6 +51,40 @@ def test_windows_read_back(spark, span, history):
     formatted.unpersist()
 
 
+@pytest.mark.parametrize("span,history", [(1024, 256), (40, 30), (10, 0)])
+def test_the_turns_before_a_span_are_in_its_window(spark, span, history):
+    """History is a suffix of what came before, with the last turn at least, and has no holes."""
+    rows, frame = conversations(spark)
+    rows += [(9, 0, "user", "short"), (9, 1, "user", "question " * 500), (9, 2, "assistant", "ans " * 600), (9, 3, "user", "x")]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    turns = collections.defaultdict(list)
+    for conv, turn, role, text in rows:
+        turns[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    said = {conv: [t[2:] for t in sorted(rest)] for conv, rest in turns.items()}
+    seen = collections.Counter()
+    for r in sorted(chat.windows(frame, span, history).collect(), key=lambda r: (str(r.conv_id), r.span)):
+        window, whole, done = list(chat.parse(r.text)), said[r.conv_id], seen[r.conv_id]
+        own = len(window) - r.repeated
+        assert window[r.repeated :] == whole[done : done + own]
+        before = window[: r.repeated]
+        if done and whole[0][0] == "system":
+            assert before.pop(0) == whole[0]
+        rest = whole[1:done] if whole[0][0] == "system" else whole[:done]
+        assert before == rest[len(rest) - len(before) :] and (len(before) > 0 or not rest)
+        seen[r.conv_id] += own
+    assert seen == {conv: len(turns) for conv, turns in said.items()}
+
+
+def test_budgets_count_the_tokenizers_ids(spark):
+    rows = [(1, k, "user", t) for k, t in enumerate(["這是一個沒有空格的長句子" * 40, "plain words here", None, "Ünïcode \U0001f600"])]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    turns = frame.selectExpr("conv_id AS conv", "turn", "coalesce(role, '') AS role", "coalesce(text, '') AS text")
+    counted = {r.turn: r.tokens for r in chat.with_tokens(turns, helpers.tokenizer()).collect()}
+    assert counted == {k: len(ids) - 1 + 4 for k, ids in enumerate(helpers.encode([r[3] for r in rows], 1))}
+    guessed = {r.turn: r.tokens for r in chat.with_tokens(turns, None).collect()}
+    assert guessed == {0: 484, 1: 7, 2: 4, 3: 6}
+
+
 def test_planted_conversation_and_all_rows(spark, sf_dir):
     got = {r.conv_id: tuple(r)[1:5] for r in queries.op2_chat_windows(spark, sf_dir).collect()}
     rows = [tuple(r) for r in queries.table(spark, sf_dir, "conversations").collect()]
