@@ -88,37 +88,28 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     id has their text.
     """
     found = materialise(decisions(docs, id_column, text_column), "exact-decisions")
+    # As one struct the columns of ``docs`` clash with no name used here.
+    rows = docs.select(F.struct("*").alias("row"))
+    own_id = F.col("row")[id_column]
     gone = found.filter(~F.col("kept"))
-    stays = docs.join(
-        gone.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")),
-        F.col(id_column) == F.col("_gone"),
-        "left_anti",
+    stays = rows.join(
+        gone.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("gone")), own_id == F.col("gone"), "left_anti"
     )
     repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    odd = repeated.select(F.col("doc_id").alias("_odd"))
+    odd = repeated.select(F.col("doc_id").alias("odd"))
     if not gone.filter("doc_id IS NULL").isEmpty() or not odd.isEmpty():
-        stays = _rows_with_doubtful_ids(docs, found, odd, id_column, text_column)
-    return stays
+        digest = F.sha2(normalised(F.col("row")[text_column]), 256)
+        stays = _rows_with_doubtful_ids(rows, found, odd, own_id, digest)
+    return stays.select("row.*")
 
 
 def _rows_with_doubtful_ids(
-    docs: DataFrame, found: DataFrame, odd: DataFrame, id_column: str, text_column: str
+    rows: DataFrame, found: DataFrame, odd: DataFrame, own_id: Column, digest: Column
 ) -> DataFrame:
     """``deduplicate`` where ids repeat or are missing: the text's digest tells rows apart."""
-    digest = F.sha2(normalised(F.col(text_column)), 256)
-    keys = (
-        found.filter("kept")
-        .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-        .distinct()
-    )
-    stays = docs.join(
-        keys, F.col(id_column).eqNullSafe(F.col("_id")) & (digest == F.col("_sha")), "left_semi"
-    )
-    single = stays.join(odd, F.col(id_column) == F.col("_odd"), "left_anti")
-    several = stays.join(odd, F.col(id_column) == F.col("_odd"), "left_semi")
-    one = (
-        several.withColumn("_sha", digest)
-        .dropDuplicates([id_column, "_sha"])
-        .drop("_sha")
-    )
-    return single.unionByName(one)
+    keys = found.filter("kept").select("doc_id", "text_sha256").distinct()
+    stays = rows.join(keys, own_id.eqNullSafe(F.col("doc_id")) & (digest == F.col("text_sha256")), "left_semi")
+    single = stays.join(odd, own_id == F.col("odd"), "left_anti")
+    several = stays.join(odd, own_id == F.col("odd"), "left_semi")
+    one = several.select("row", own_id.alias("id"), digest.alias("sha")).dropDuplicates(["id", "sha"])
+    return single.unionByName(one.select("row"))

@@ -151,7 +151,14 @@ def plan(docs: DataFrame, seed: int = 0, most: int = MOST_COPIES) -> DataFrame:
         )
     )
     cuts = materialise(cuts, "mix-cuts")
-    left_over = placed.join(cuts, "key").filter(~_before_cut() & (F.col("size") <= F.col("gap")))
+    # Repeated rows are taken together, so together they must fit.
+    left_over = (
+        placed.join(cuts, "key")
+        .filter(~_before_cut() & (F.col("size") <= F.col("gap")))
+        .groupBy("key", "place", "id", "gap")
+        .agg(F.sum("size").alias("size"))
+        .filter(F.col("size") <= F.col("gap"))
+    )
     closing = left_over.groupBy("key").agg(
         F.max(F.struct("size", (-F.col("place")).alias("back"), "id")).alias("closing")
     )

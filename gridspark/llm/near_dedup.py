@@ -44,9 +44,9 @@ WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 5
 COORDINATES = BANDS * ROWS
-# Pairs below this share of equal coordinates are not verified: more than three
-# standard deviations below SIMILAR.
-ESTIMATE = 0.68
+# Pairs below this share of equal coordinates are not verified: more than five
+# standard deviations below SIMILAR. None verifies every candidate.
+ESTIMATE = 0.6
 FIRST_SLAB, LARGEST_SLAB = 2.0**-6, 64.0
 TILE = 256
 RUN_BYTES = 2_000_000
@@ -208,8 +208,10 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(1, len(a) + len(b) - both)
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _estimated(pairs: DataFrame, nodes: DataFrame, estimate: float | None) -> DataFrame:
     """``pairs`` whose signatures agree often enough to be verified."""
+    if estimate is None:
+        return pairs
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,7 +219,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint8).reshape(-1, COORDINATES)
                 for n in ("left", "right")
             )
-            good = pa.array((left == right).mean(axis=1) >= ESTIMATE)
+            good = pa.array((left == right).mean(axis=1) >= estimate)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])
 
     left = nodes.select(F.col("digest").alias("a"), F.col("signature").alias("left"))
@@ -272,7 +274,7 @@ def _tiles(members: DataFrame) -> DataFrame:
     return asks.unionByName(answers).drop("asking", "size")
 
 
-def _compare_tile(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+def _compare_tile(rows: list[tuple], estimate: float | None = ESTIMATE) -> list[tuple[bytes, bytes]]:
     """Verified links of the asking nodes of one tile: at most one into what is joined already.
 
     ``rows``: (digest, asks, linked, signature, elements, leader).
@@ -293,7 +295,7 @@ def _compare_tile(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
     links = []
     for asking in (r for r in rows if r[1]):
         agreed = (table == np.frombuffer(asking[3], np.uint8)).mean(axis=1)
-        near = np.flatnonzero(agreed >= ESTIMATE)
+        near = np.flatnonzero(agreed >= (estimate or 0.0))
         own = np.frombuffer(asking[4], np.uint64)
         for k in near[np.argsort(-agreed[near], kind="stable")].tolist():
             other = answers[k]
@@ -305,7 +307,9 @@ def _compare_tile(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
     return links
 
 
-def _rest(buckets: DataFrame, links: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _rest(
+    buckets: DataFrame, links: DataFrame, docs: DataFrame, nodes: DataFrame, estimate: float | None
+) -> DataFrame:
     """Links that nodes not linked to their leader have inside their buckets."""
     pairs = links.select(F.col("a").alias("leader"), F.col("b").alias("digest"), F.lit(True).alias("found"))
     # A lone pair of nodes has been compared already.
@@ -332,12 +336,12 @@ def _rest(buckets: DataFrame, links: DataFrame, docs: DataFrame, nodes: DataFram
             keys = zip(*(batch.column(n).to_pylist() for n in ("band", "key", "row_tile", "column_tile")))
             for now, row in zip(keys, zip(*(batch.column(n).to_pylist() for n in names))):
                 if now != key and rows:
-                    yield _link_batch(_compare_tile(rows))
+                    yield _link_batch(_compare_tile(rows, estimate))
                     rows = []
                 key = now
                 rows.append(row)
         if rows:
-            yield _link_batch(_compare_tile(rows))
+            yield _link_batch(_compare_tile(rows, estimate))
 
     order = ["band", "key", "row_tile", "column_tile"]
     return tiles.repartition(*order).sortWithinPartitions(*order).mapInArrow(part, LINKS)
@@ -380,8 +384,11 @@ def components(links: DataFrame) -> DataFrame:
         labels = jumped.select("node", "root")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, class_id, class_size, kept."""
+def classes(docs: DataFrame, estimate: float | None = ESTIMATE) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, class_id, class_size, kept.
+
+    Candidates whose signatures agree in less than ``estimate`` are not verified.
+    """
     marks = materialise(signatures(docs), "near-signatures")
     nodes = materialise(
         marks.groupBy("digest").agg(
@@ -406,11 +413,11 @@ def classes(docs: DataFrame) -> DataFrame:
     )
     buckets = materialise(shared.join(leaders, ["band", "key"]), "near-buckets")
     pairs = buckets.filter("leader != digest").select(F.col("leader").alias("a"), F.col("digest").alias("b")).distinct()
-    likely = materialise(_estimated(pairs, nodes), "near-likely")
+    likely = materialise(_estimated(pairs, nodes, estimate), "near-likely")
     wanted = likely.select(F.col("a").alias("digest")).union(likely.select("b")).distinct()
     sets = materialise(_sets_of(docs, nodes, wanted), "near-sets")
     links = materialise(_verified(likely, sets), "near-links")
-    more = materialise(_rest(buckets, links, docs, nodes), "near-links")
+    more = materialise(_rest(buckets, links, docs, nodes, estimate), "near-links")
     roots = components(links.union(more))
     grouped = nodes.join(roots, nodes["digest"] == roots["node"], "left").select(
         "digest", "doc_id", "copies", F.coalesce("root", "digest").alias("root")
@@ -434,5 +441,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows without an id stay only in classes without any id; where an id names
     several texts of different classes, its rows stay if one of them does.
     """
-    gone = classes(docs).filter("NOT kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_gone")).distinct()
-    return docs.join(gone, F.coalesce(F.col("doc_id"), F.lit(NO_ID)) == F.col("_gone"), "left_anti")
+    gone = classes(docs).filter("NOT kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("gone")).distinct()
+    # As one struct the columns of ``docs`` clash with no name used here.
+    rows = docs.select(F.struct("*").alias("row"))
+    stays = rows.join(gone, F.coalesce(F.col("row")["doc_id"], F.lit(NO_ID)) == F.col("gone"), "left_anti")
+    return stays.select("row.*")
