@@ -42,6 +42,22 @@ def test_targets_are_shared_up_to_their_limits(spark):
     assert got == {"=a": 30.0, "=b": 1980 * 2 / 5, "=c": 1980 * 3 / 5, "": 0.0}
 
 
+def test_as_of_join_equals_intervals(spark):
+    """Against every pair of a question and an interval, on dense random dates."""
+    import random
+
+    rng = random.Random(8)
+    day = lambda: datetime.date(2024, 1, 1) + datetime.timedelta(days=rng.randrange(25))
+    names = ["k1", "k2", "k3", "k4"]
+    log = [(rng.choice(names), day(), rng.choice(["add", "remove", "add"]), rng.choice("xy")) for _ in range(60)]
+    entries = spark.createDataFrame(log, "key string, listed_on date, action string, category string")
+    asked = [(rng.choice([*names, "other", None]), rng.choice([day(), day(), None])) for _ in range(300)]
+    got = url_filters.as_of(spark.createDataFrame(asked, "key string, fetched_on date"), url_filters.intervals(entries))
+    spans = [tuple(r) for r in url_filters.intervals(entries).select("key", "valid_from", "valid_to", "category").collect()]
+    want = {(k, d, c, a) for k, d in asked for key, a, z, c in spans if k == key and d and a <= d < z}
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_url_list_over_time(spark):
     day = datetime.date
     entries = spark.createDataFrame(
@@ -49,6 +65,7 @@ def test_url_list_over_time(spark):
             ("bad.example", day(2024, 1, 10), "add", "spam"), ("bad.example", day(2024, 2, 1), "remove", "spam"),
             ("ok.bad.example", day(2024, 1, 15), "add", "allow"), ("bad.example/x", day(2024, 1, 20), "add", "adult"),
             ("bad.example/x", day(2024, 1, 20), "add", "adult"), (None, day(2024, 1, 1), "add", "spam"), ("bad.example", None, "add", "spam"),
+            ("[2001:db8::7]", day(2024, 1, 1), "add", "spam"), ("0.7", day(2024, 1, 1), "add", "spam"), ("10.0.0.8", day(2024, 1, 2), "add", "spam"),
         ],
         "key string, listed_on date, action string, category string",
     )
@@ -58,6 +75,8 @@ def test_url_list_over_time(spark):
         (5, "http://bad.example/x/y?q#f", day(2024, 2, 5), True), (6, "http://bad.example/xy", day(2024, 2, 5), False),
         (7, None, day(2024, 1, 11), False), (8, "no url", day(2024, 1, 11), False), (9, "http://bad.example/", None, False),
         (2, "http://www.bad.example./", day(2024, 1, 10), True), (None, "http://bad.example", day(2024, 1, 31), True),
+        (10, "http://[2001:db8::7]:8080/a", day(2024, 1, 2), True), (11, "http://u@10.0.0.7/", day(2024, 1, 2), False),
+        (12, "http://10.0.0.8:80/", day(2024, 1, 2), True), (13, "http://bad.example/" + "x/" * 2_000, day(2024, 2, 5), True),
     ]
     frame = spark.createDataFrame([(*c, "x") for c in captures], "page_id long, url string, fetched_on date, want boolean, key string")
     got = url_filters.evaluate(frame, entries).select("page_id", "blocked").collect()
