@@ -57,11 +57,16 @@ def totals_by_source(fact: DataFrame) -> DataFrame:
     )
 
 
+def connected_on(fact: DataFrame) -> Column:
+    """Connection date of a unit: the typed column of a stored fact, which prunes, or the text."""
+    return F.col("dia_conexao") if "dia_conexao" in fact.columns else F.col("data_conexao").try_cast("date")
+
+
 def capacity_series(
     fact: DataFrame, uf: str | None, start: str, end: str, source: str | None = None
 ) -> DataFrame:
     """kW connected per month within [start, end]; all UFs when ``uf`` is None."""
-    day = F.col("data_conexao").try_cast("date")
+    day = connected_on(fact)
     rows = fact.filter(day.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     if uf:
         rows = rows.filter(F.col("siguf") == uf)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridspark.operators.capacity import connected_on
 from gridspark.operators.rowsets import first_rows
 
 MEASURES = [
@@ -20,7 +21,7 @@ MEASURES = [
 
 def _dated_units(fact: DataFrame) -> DataFrame:
     return fact.select(
-        F.col("data_conexao").try_cast("date").alias("dia"), "potencia_instalada_kw"
+        connected_on(fact).alias("dia"), "potencia_instalada_kw"
     )
 
 

@@ -25,6 +25,10 @@ DETAIL_FIELDS = {
 }
 
 
+# The connection date as a date, for pruning and series; NULL where the text is none.
+CONNECTED = "dia_conexao"
+
+
 def _lean_band(kw: Column) -> Column:
     steps = [F.when(kw <= top, F.lit(label)) for top, label in LEAN_BANDS]
     return F.coalesce(*steps, F.lit(LEAN_BAND_ABOVE))
@@ -52,9 +56,14 @@ def _detail_columns() -> list[Column]:
             for name, source in DETAIL_FIELDS.items()
         ],
         receivers.alias("qtd_uc_recebe_credito"),
+        connection_day(F.col("DatConexao")).alias(CONNECTED),
     ]
 
 
+def connection_day(text: Column) -> Column:
+    return text.try_cast("date")
+
+
 def _parsed(raw: DataFrame, *schema: str) -> DataFrame:
     return raw.select("row_id", "hash", json_columns("raw_json", ", ".join(schema)))
 
@@ -126,8 +135,10 @@ def enrich(fact: DataFrame, raw: DataFrame) -> DataFrame:
     ``raw`` must hold one row per hash. Rows already filled or without a hash
     skip the join, so only the open part of the fact is shuffled.
     """
-    details = [*DETAIL_FIELDS, "qtd_uc_recebe_credito"]
-    if "municipio" not in fact.columns:
+    details = [*DETAIL_FIELDS, "qtd_uc_recebe_credito", CONNECTED]
+    if "municipio" in fact.columns:
+        details = [c for c in details if c in fact.columns]
+    else:
         return fact.join(registry_details(raw), "hash", "left").select(*fact.columns, *details)
     is_open = F.col("municipio").isNull() & F.col("hash").isNotNull()
     found = registry_details(raw).withColumnsRenamed({c: f"new_{c}" for c in details})

@@ -137,7 +137,8 @@ TABLES = {
   SELECT fact.*, json_extract_string(raw_json, '$.NomMunicipio') AS municipio,
     json_extract_string(raw_json, '$.SigAgente') AS distribuidora,
     json_extract_string(raw_json, '$.DatConexao') AS data_conexao, '' AS nome_titular, '' AS classe_producao,
-    '' AS subgrupo, '' AS tipo_unidade_produtora, CAST(0 AS INTEGER) AS qtd_uc_recebe_credito
+    '' AS subgrupo, '' AS tipo_unidade_produtora, CAST(0 AS INTEGER) AS qtd_uc_recebe_credito,
+    TRY_CAST(json_extract_string(raw_json, '$.DatConexao') AS DATE) AS dia_conexao
   FROM fact JOIN fx_raw ON row_id = id""",
     "text_rules": """
   SELECT id, lean.hash, siguf AS uf, dscfontegeracao AS f, modalidade AS m, json_extract_string(raw_json, '$.DscFonteGeracao') AS fonte_bruta,
