@@ -14,7 +14,8 @@ No bucket is expanded into all its pairs:
 1. each bucket has a leader, the node with most company over all bands, and every
    other node of it is compared with the leader;
 2. nodes that are not linked to their leader are compared with the rest of the
-   bucket in tiles of bounded size, until they are linked to it.
+   bucket in tiles of bounded size, until they are linked to it: by signatures first,
+   and the sets of those alone that have a like one in a tile go there.
 
 A link left out this way joins two nodes that other links already join, so the
 classes (connected components) are those of all candidate links.
@@ -89,7 +90,7 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     total = np.zeros(len(each), np.uint64)
     for k in range(WORDS):
         inside = place + k < end
-        total[inside] += _mix(each[place[inside] + k] + np.uint64(k + 1) * SECOND_FACTOR)
+        total[inside] += _mix(each[place[inside] + k] + _times(k + 1, SECOND_FACTOR))
     starts = np.cumsum(count) - count
     good = place + WORDS <= end
     good[starts[count > 0]] = True
@@ -98,6 +99,11 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return keys & np.uint64(2**48 - 1), n.astype(np.int64)
 
 
+def _times(n: int, factor: np.uint64) -> np.uint64:
+    """A product modulo 2^64."""
+    return np.uint64(n * int(factor) & 0xFFFFFFFFFFFFFFFF)
+
+
 def darts(
     elements: np.ndarray, n: np.ndarray, weights: np.ndarray | None = None, k: int = COORDINATES
 ) -> np.ndarray:
@@ -124,7 +130,7 @@ def darts(
         owner, elements, limit = owner[live], elements[live], limit[live]
         # Poisson many darts in each element's region of this slab, by inversion.
         law = np.cumsum(_poisson(height))
-        seed = _mix(elements + np.uint64(slab + 1) * FIRST_FACTOR)
+        seed = _mix(elements + _times(slab + 1, FIRST_FACTOR))
         number = np.searchsorted(law, _unit(_mix(seed)), side="right")
         hit = np.flatnonzero(number)
         number = number[hit]
@@ -251,7 +257,12 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     return shingle_sets(texts)
 
 
-TILE_ROWS = "band int, key bigint, leader binary, row_tile bigint, column_tile bigint, digest binary, asks boolean, linked boolean, signature binary, elements binary"
+TILE_ORDER = ["band", "key", "row_tile", "column_tile"]
+TILE_TYPES = [pa.int32(), *[pa.int64()] * 3, *[pa.binary()] * 2, *[pa.bool_()] * 2, pa.binary()]
+TILE_ROWS = (
+    "band int, key bigint, row_tile bigint, column_tile bigint, leader binary, digest binary, asks boolean,"
+    " linked boolean, signature binary"
+)
 
 
 def _tiles(members: DataFrame) -> DataFrame:
@@ -274,6 +285,46 @@ def _tiles(members: DataFrame) -> DataFrame:
     return asks.unionByName(answers).drop("asking", "size")
 
 
+def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """The rows of each tile, from batches in the order of tiles."""
+    key, rows = None, []
+    for batch in batches:
+        keys = zip(*(batch.column(n).to_pylist() for n in TILE_ORDER))
+        for now, row in zip(keys, zip(*(batch.column(n).to_pylist() for n in names))):
+            if now != key and rows:
+                yield key, rows
+                rows = []
+            key = now
+            rows.append(row)
+    if rows:
+        yield key, rows
+
+
+def _in_tiles(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*TILE_ORDER).sortWithinPartitions(*TILE_ORDER)
+
+
+def _likely_rows(rows: list[tuple], estimate: float | None) -> list[tuple]:
+    """Rows of a tile that the comparison by sets needs: nodes that ask, and what is like one of them.
+
+    ``rows``: (leader, digest, asks, linked, signature).
+    """
+    answers, asking = [r for r in rows if not r[2]], [r for r in rows if r[2]]
+    if estimate is None:
+        return rows
+    table = np.frombuffer(b"".join(r[4] for r in answers), np.uint8).reshape(-1, COORDINATES)
+    wanted, found = np.zeros(len(answers), bool), []
+    for r in asking:
+        near = (table == np.frombuffer(r[4], np.uint8)).mean(axis=1) >= estimate
+        for k in np.flatnonzero(near).tolist():
+            # Itself and the leader, which has been compared, are no news.
+            near[k] = answers[k][1] not in (r[1], r[0])
+        if near.any():
+            wanted |= near
+            found.append(r)
+    return found + [r for r, w in zip(answers, wanted) if w]
+
+
 def _compare_tile(rows: list[tuple], estimate: float | None = ESTIMATE) -> list[tuple[bytes, bytes]]:
     """Verified links of the asking nodes of one tile: at most one into what is joined already.
 
@@ -323,28 +374,23 @@ def _rest(
         marked.filter(~F.col("linked")).groupBy("band", "key").agg(F.count(F.lit(1)).alias("asking")), "near-asking"
     )
     members = marked.join(asking, ["band", "key"])
-    wanted = members.select("digest").distinct()
-    sets = materialise(_sets_of(docs, nodes, wanted), "near-sets")
-    full = members.join(nodes.select("digest", "signature"), "digest")
-    # Only nodes with a like one in their bucket need their sets; signatures say which.
-    tiles = _tiles(full.join(sets, "digest"))
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("digest", "asks", "linked", "signature", "elements", "leader")
-        key, rows = None, []
-        for batch in batches:
-            keys = zip(*(batch.column(n).to_pylist() for n in ("band", "key", "row_tile", "column_tile")))
-            for now, row in zip(keys, zip(*(batch.column(n).to_pylist() for n in names))):
-                if now != key and rows:
-                    yield _link_batch(_compare_tile(rows, estimate))
-                    rows = []
-                key = now
-                rows.append(row)
-        if rows:
+    tiles = _tiles(members.join(nodes.select("digest", "signature"), "digest"))
+    columns = [c.split()[0] for c in TILE_ROWS.split(", ")]
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows in _grouped(batches, columns[len(TILE_ORDER) :]):
+            kept = _likely_rows(rows, estimate)
+            if kept:
+                arrays = [pa.array(c, k) for c, k in zip(zip(*((*key, *r) for r in kept)), TILE_TYPES)]
+                yield pa.RecordBatch.from_arrays(arrays, names=columns)
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _grouped(batches, ["digest", "asks", "linked", "signature", "elements", "leader"]):
             yield _link_batch(_compare_tile(rows, estimate))
 
-    order = ["band", "key", "row_tile", "column_tile"]
-    return tiles.repartition(*order).sortWithinPartitions(*order).mapInArrow(part, LINKS)
+    some = materialise(_in_tiles(tiles.select(columns)).mapInArrow(likely, TILE_ROWS), "near-tiles")
+    sets = materialise(_sets_of(docs, nodes, some.select("digest").distinct()), "near-sets")
+    return _in_tiles(some.join(sets, "digest")).mapInArrow(linked, LINKS)
 
 
 def _link_batch(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
