@@ -14,12 +14,13 @@ def spark():
     built = session.build(
         "tests",
         "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__host="127.0.0.1",
         spark__driver__bindAddress="127.0.0.1",
         spark__driver__memory="6g",
         spark__sql__session__timeZone="UTC",
+        spark__ui__showConsoleProgress="false",
     )
     built.sparkContext.setLogLevel("ERROR")
     yield built
