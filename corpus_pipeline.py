@@ -2,6 +2,12 @@
 
 Each stage takes what the one before kept, as a table; all but the last return
 the columns of ``documents``. The mix repeats the rows it takes more than once.
+
+Defined results, in every stage: null and empty texts are texts without words and
+copies of each other; rows without an id go on as long as no row with an id has
+their text; of repeated rows one is kept by the second stage; ties go to the
+smallest id; an empty table stays empty; texts of any length are taken whole; more
+columns, whatever their names, are handed on up to the last stage.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ removing one backslash restores the text.
 Defined results: null roles and texts are empty; null conversation ids form one
 conversation; null turn numbers come first; turns with equal numbers are ordered
 by role and text, and repeated rows stay repeated; a leading turn of role
-``system`` is the system turn; an empty table gives no windows.
+``system`` is the system turn; an empty table gives no windows. Texts of any length
+stay whole; columns of any other name are never looked at.
 """
 
 from __future__ import annotations

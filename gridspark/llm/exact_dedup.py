@@ -8,7 +8,8 @@ by one space. Defined results:
   id, ``keep_id`` is null and every such row stays;
 * repeated rows (same id, same text) all carry ``kept``; ``deduplicate`` returns
   one of them;
-* an empty table gives an empty result; other columns are never looked at.
+* an empty table gives an empty result; texts of any length are taken whole; other
+  columns, whatever their names, are never looked at and ``deduplicate`` hands them on.
 
 Only the hashes of all rows and one copy of each distinct text per map task are
 shuffled, so a group of copies of any size arrives as a few rows.

@@ -17,7 +17,8 @@ otherwise; it is exact where both sets are kept whole.
 Defined results: a null text is empty; empty texts have equal fingerprints and
 likeness 1, and an empty one is unlike any other (0). In ``with_next`` rows
 without an id come first, rows with equal ids follow by text, a single row is its
-own successor, and an empty table gives an empty result.
+own successor, and an empty table gives an empty result. Texts of any length are taken
+whole; columns of any other name are never looked at.
 """
 
 from __future__ import annotations

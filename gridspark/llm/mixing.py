@@ -14,8 +14,9 @@ parts) and a running sum over the few rows of one part, however hot the source.
 
 Defined results: a null text has size 0 and is taken 0 words; null sources are
 one source, ordered last; rows without an id take part, ordered before others;
-repeated rows are decided alike; an empty table gives an empty result. The same
-seed and rows give the same mix.
+repeated rows are decided alike, and taken only where all of them fit the target;
+an empty table gives an empty result. Texts of any length are taken whole, and
+columns of any name are handed on. The same seed and rows give the same mix.
 """
 
 from __future__ import annotations

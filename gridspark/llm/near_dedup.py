@@ -22,8 +22,9 @@ classes (connected components) are those of all candidate links.
 
 Defined results: a null text has no words; texts without words are one class;
 rows without an id belong to a class by their text and never name it; repeated
-rows fall in one class; an empty table gives an empty result. Other columns are
-never looked at.
+rows fall in one class; an empty table gives an empty result. Texts of any length
+are taken whole. Other columns, whatever their names, are never looked at and
+``keep_one`` hands them on.
 """
 
 from __future__ import annotations

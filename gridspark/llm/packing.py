@@ -10,7 +10,8 @@ place in the plan by their rank among pieces of equal length.
 
 Defined results: a null or empty text is one piece with the end id; rows without
 a document id are packed like others; repeated rows are packed repeatedly; an
-empty table gives no pieces. Reruns give the same packing.
+empty table gives no pieces. Reruns give the same packing. Texts of any length are
+taken whole and cut into pieces; columns of any other name are never looked at.
 """
 
 from __future__ import annotations

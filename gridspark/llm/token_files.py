@@ -14,7 +14,8 @@ kind of plane. ``manifest`` inside the folder lists the committed files.
 
 Defined results: a null text has no ids besides the end id; rows without a
 document id come first; repeated ids follow each other, ordered by text; an
-empty table gives an empty data set.
+empty table gives an empty data set. Texts of any length are taken whole; columns
+of any other name are never looked at.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@ import collections
 
 import duckdb
 import pandas as pd
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridspark.llm import oracles, queries
@@ -71,6 +72,15 @@ def test_stages_take_awkward_and_empty_tables(spark, sf_dir):
         assert stage(spark, empty, sf_dir).count() == 0
 
 
+def test_stages_hand_on_columns_of_any_name(spark, sf_dir):
+    names = ["gone", "_gone", "odd", "_id", "row", "copies", "size", "key", "place", "quality", "label_id", "digest", "copy"]
+    docs = helpers.documents(spark).drop("size", "hash").withColumns({n: F.lit(n) for n in names})
+    for number in range(4):
+        docs = step(spark, docs, sf_dir, number, docs.columns)
+        assert docs.filter(F.col("row") != "row").isEmpty()
+    assert corpus_pipeline.STAGES[4][1](spark, docs, sf_dir).count() > 0
+
+
 def test_repeated_rows_and_ids(spark, sf_dir):
     data = [(1, "a b", "en", "s"), (1, "a b", "en", "s"), (1, "other", "en", "s"), (2, "a  b", "en", "s"), (None, "a b", "en", "s"), (None, "x", "en", "s")]
     out = corpus_pipeline.without_copies(spark, helpers.documents(spark, data), sf_dir)
