@@ -113,3 +113,50 @@ def test_pairs_recover_an_order():
     assert found.weights["a"] > 0 > found.weights["b"]
     assert found.weights["a"] / -found.weights["b"] == pytest.approx(2, rel=0.3)
     assert abs(found.weights["c"]) < 0.2
+
+
+def made(spark, good, bad):
+    """Labelled documents that marks tell apart, though not all of them."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(good + bad):
+        kind = int(i < good)
+        words = ["word" + "!" * int(rng.random() < (0.1 if kind else 0.3)) for _ in range(20 + int(rng.integers(30)))]
+        rows.append((i, " ".join(words), kind))
+    return spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+
+
+@pytest.mark.parametrize("good, bad", [(900, 400), (3, 700), (700, 2)])
+def test_blocks_learn_from_every_label(spark, good, bad):
+    docs = made(spark, good, bad)
+    ranking = quality.fit(docs, docs, 50)
+    again = quality.fit(docs.repartition(7), docs, 50)
+    assert ranking == again
+    taught = [r for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 != 0]
+    table = np.array([plain_features(r.text) for r in taught])
+    labels = np.array([r.quality for r in taught])
+    strength = table @ np.array(list(ranking.weights.values()))
+    assert (strength < ranking.cut - 1e-9).sum() <= (labels == 0).sum() <= (strength < ranking.cut + 1e-9).sum()
+    whole = quality.fit(docs, docs, 10_000)
+    if min(good, bad) > 100:
+        assert np.corrcoef(strength, table @ np.array(list(whole.weights.values())))[0, 1] > 0.99
+        assert auc(strength, labels) > 0.95
+
+
+def test_blocks_hold_every_row_and_both_sides(spark):
+    names = list(quality.features(quality.F.col("text")))
+    for good, bad, n in ((900, 400, 13), (5, 700, 9), (700, 2, 9)):
+        rows = quality._examples(*[made(spark, good, bad)] * 2)
+        sides = [r[0] for r in rows.select("good").collect()]
+        blocks = quality._blocks(rows, sum(sides), len(sides) - sum(sides), names, n).collect()
+        assert len(blocks) == n
+        assert {tuple(m) for b in blocks for m in b.members} == {tuple(r) for r in rows.select("good", *names).collect()}
+        assert all({m.good for m in b.members} == {True, False} for b in blocks)
+
+
+def test_first_text_of_a_repeated_id_is_learnt_from(spark):
+    docs = spark.createDataFrame([(1, "zz!"), (1, "aa"), (2, "b")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1) for i in (1, 2)], "doc_id bigint, quality int")
+    rows = quality._examples(docs, labels).collect()
+    wanted = {i for i in (1, 2) if zlib.crc32(str(i).encode()) % 5 != 0}
+    assert {r.label_id for r in rows} == wanted and all(r.marks == 0 for r in rows)
