@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm import tokens
-from gridspark.session import materialise
+from gridspark.session import materialise, small_batches
 
 WORDS = 5
 SIMILAR = 0.8
@@ -436,6 +436,11 @@ def classes(docs: DataFrame, estimate: float | None = ESTIMATE) -> DataFrame:
 
     Candidates whose signatures agree in less than ``estimate`` are not verified.
     """
+    with small_batches(docs.sparkSession):
+        return _classes(docs, estimate)
+
+
+def _classes(docs: DataFrame, estimate: float | None) -> DataFrame:
     marks = materialise(signatures(docs), "near-signatures")
     nodes = materialise(
         marks.groupBy("digest").agg(

@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm import tokens
-from gridspark.session import materialise
+from gridspark.session import materialise, small_batches
 
 WINDOW = 2048
 STEPS = 300
 # The least rows of a ranking bucket; buckets of a length of n pieces hold this plus sqrt(n).
 BUCKET_ROWS = 200
+# Bytes of text that are encoded at once.
+RUN_BYTES = 4_000_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -42,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) -
         coder = tokens.encoder(tokenizer)
         for batch in batches:
             named, texts = batch.column("doc_id"), batch.column("text")
-            for a, b in tokens.runs(texts):
+            for a, b in tokens.runs(texts, RUN_BYTES):
                 ids, lengths = tokens.with_end(*coder.encode(texts[a:b]), end_id)
                 cuts = -(-lengths // window)
                 doc = np.repeat(np.arange(b - a), cuts)
@@ -223,4 +225,6 @@ def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def packed(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) -> DataFrame:
     """All of ``docs`` cut and packed; one row per piece."""
-    return pack(materialise(pieces(docs, tokenizer, end_id, window), "pack-pieces"), window)
+    with small_batches(docs.sparkSession):
+        cut = materialise(pieces(docs, tokenizer, end_id, window), "pack-pieces")
+    return pack(cut, window)

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from gridspark import session
 from gridspark.llm import packing, queries, token_files, tokens
 from gridspark.session import scratch_path
 from tests.llm import helpers
@@ -124,3 +125,13 @@ def test_least_squares_fills_exactly():
     histogram[[700, 1348, 1000, 1048, 2048]] = [900, 900, 500, 500, 40]
     plan = packing.plan(histogram)
     assert sum(c for _, c in plan) == 900 + 500 + 40
+
+
+def test_packing_hands_texts_over_in_small_batches(spark, monkeypatch):
+    seen, real, before = [], packing.materialise, spark.conf.get(session.BATCH_SETTING)
+    monkeypatch.setattr(
+        packing, "materialise", lambda *args: seen.append(spark.conf.get(session.BATCH_SETTING)) or real(*args)
+    )
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
+    assert packing.packed(docs, helpers.tokenizer(), 1).count() == 2
+    assert seen == [session.BATCH_BYTES] and spark.conf.get(session.BATCH_SETTING) == before
