@@ -3,7 +3,7 @@ import hashlib
 
 import pytest
 
-from gridspark.llm import warc
+from gridspark.llm import queries, warc
 from gridspark.session import scratch_path
 
 FAKE = warc.record(999, "http://x.example/", b"fake payload", hashlib.sha1(b"fake payload").hexdigest(), None).decode()
@@ -104,3 +104,10 @@ def test_damaged_records_are_reported():
         with pytest.raises(ValueError):
             for _, fields, block in warc._records(warc.of_bytes(spoilt), 0, len(spoilt), False):
                 warc._row(fields, block, True)
+
+
+def test_query_keeps_its_archives_packed(spark, sf_dir, monkeypatch):
+    folders, real = [], queries.scratch_path
+    monkeypatch.setattr(queries, "scratch_path", lambda *args: folders.append(real(*args)) or folders[-1])
+    payload = queries.op10_warc(spark, sf_dir).filter("record_type = 'response'").agg({"payload_bytes": "sum"}).first()[0]
+    assert warc.manifest(spark, folders[0]).agg({"bytes": "sum"}).first()[0] < payload
