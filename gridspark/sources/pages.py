@@ -19,6 +19,9 @@ KEY = "chave"
 # Readers of the table skip folders whose name begins with a line.
 INDEX = "_indice"
 FILE_ROWS = 1_000_000
+# Rows that a task stores, in as many files as they make: what tasks tell the driver
+# of themselves must not grow with the files.
+TASK_ROWS = 1_000_000
 
 
 def falling(value: Column) -> Column:
@@ -30,8 +33,9 @@ def write_pages(rows: DataFrame, path: str, key: list[Column], file_rows: int =
     """Store ``rows`` in the order of ``key``, whose last part must tell rows apart (eager)."""
     spark = rows.sparkSession
     keyed = materialise(rows.withColumn(KEY, F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)])), "pages")
-    files = max(1, -(-keyed.count() // file_rows))
-    keyed.repartitionByRange(files, KEY).sortWithinPartitions(KEY).write.mode("overwrite").parquet(path)
+    tasks = max(1, -(-keyed.count() // max(file_rows, TASK_ROWS)))
+    ordered = keyed.repartitionByRange(tasks, KEY).sortWithinPartitions(KEY)
+    ordered.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
     stored = spark.read.schema(keyed.schema).parquet(path)
     index = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.min(KEY).alias("first"), F.max(KEY).alias("last"), F.count("*").alias("rows")

@@ -68,3 +68,17 @@ def test_an_empty_table(spark, tmp_path):
     pages.write_pages(table(spark).limit(0), out, key())
     page = pages.read_page(spark, out, 10)
     assert page.rows.collect() == [] and page.files == 0
+
+
+def test_many_files_are_written_by_few_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pages, "TASK_ROWS", 1000)
+    out = tmp_path / "p"
+    pages.write_pages(table(spark), str(out), key(), file_rows=50)
+    # A file's name begins with the number of the task that wrote it.
+    names = [f.name for f in out.glob("*.parquet")]
+    assert len(names) >= 60 and len({n.split("-")[1] for n in names}) == 3
+    after, rows = None, []
+    while len(rows) < 3000:
+        page = pages.read_page(spark, str(out), 700, after)
+        rows, after = rows + [tuple(r) for r in page.rows.collect()], page.after
+    assert rows == offset_page(spark, 1, 3000)
