@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,13 +127,20 @@ def recent_load(
 
 
 def _headers(lines: DataFrame) -> DataFrame:
-    """First line of each file, found where the files are read."""
-    at = F.struct("start", F.monotonically_increasing_id().alias("line"))
-    return (
-        lines.withColumn("at", at)
-        .groupBy("file")
-        .agg(F.min_by("value", "at").alias("header"))
-        .withColumn("header", F.regexp_replace("header", "^\ufeff", ""))
+    """First line of each file, found where the files are read; no task holds its lines."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            files = pc.run_end_encode(batch.column("file"))
+            for file, begin in zip(files.values.to_pylist(), [0, *files.run_ends.to_pylist()]):
+                if file != last:
+                    yield batch.slice(begin, 1)
+                last = file
+
+    starts = lines.filter("start = 0").select("file", F.col("value").alias("header"))
+    return starts.mapInArrow(first, "file string, header string").withColumn(
+        "header", F.regexp_replace("header", "^\ufeff", "")
     )
 
 

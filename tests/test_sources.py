@@ -110,3 +110,17 @@ def test_catalogue(spark, tmp_path):
     assert readers.zip_by_name(empty).count() == 0
     with pytest.raises(RuntimeError):
         readers.catalogue(spark, catalogue_file(tmp_path, success=False))
+
+
+def test_headers_are_the_first_line_of_each_file(spark, tmp_path):
+    for n in range(40):
+        body = "".join(f"{n};{i}\n" for i in range(n % 5 * 3000))
+        (tmp_path / f"f{n:02}.csv").write_text(f"﻿head{n % 3};x\n{body}")
+    lines = spark.read.text(str(tmp_path)).selectExpr(
+        "value", "_metadata.file_path AS file", "_metadata.file_block_start AS start"
+    )
+    headers = readers._headers(lines)
+    found = {r.file.rsplit("/", 1)[1]: r.header for r in headers.collect()}
+    assert found == {f"f{n:02}.csv": f"head{n % 3};x" for n in range(40)}
+    plan = headers._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
