@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,8 @@ LOG = "_cargas"
 BUCKET = "balde"
 # Files below this size are joined by ``compact``.
 SMALL_FILE = 32 << 20
+# Rows of a folder that one task writes.
+SLOT_ROWS = 500_000
 
 
 def clustered(rows: DataFrame, *columns: str) -> DataFrame:
@@ -29,9 +32,29 @@ def clustered(rows: DataFrame, *columns: str) -> DataFrame:
 
 def folders(rows: DataFrame, column: str) -> list:
     """The folders that ``rows`` name, NULL among them (eager). Callers bound their number."""
-    kind = rows.schema[column].dataType
     named = rows.select(F.col(column).cast("string")).distinct().toLocalIterator()
-    return [None if r[0] is None else F.lit(r[0]).cast(kind) for r in named]
+    return literals(rows, column, [r[0] for r in named])
+
+
+def literals(rows: DataFrame, column: str, names: Iterable[str | None]) -> list:
+    """Folder names as literals of the column's type."""
+    kind = rows.schema[column].dataType
+    return [None if name is None else F.lit(name).cast(kind) for name in names]
+
+
+def folder_sizes(rows: DataFrame, column: str) -> dict[str | None, int]:
+    """The folders that ``rows`` name, NULL among them, and the rows of each (eager). Callers bound their number."""
+    counts = rows.groupBy(F.col(column).cast("string").alias("folder")).agg(F.count("*").alias("n"))
+    return {r["folder"]: r["n"] for r in counts.toLocalIterator()}
+
+
+def slot(column: str, key: str, sizes: dict[str | None, int]) -> Column:
+    """Number of a row's part of its folder, by its key: small folders have one part, large ones several."""
+    parts = {name: -(-n // SLOT_ROWS) for name, n in sizes.items()}
+    several = [c for name, n in parts.items() if name is not None and n > 1 for c in (F.lit(name), F.lit(n))]
+    of_named = F.create_map(*several)[F.col(column).cast("string")] if several else F.lit(None).cast("int")
+    of_null = F.when(F.col(column).isNull(), max(1, parts.get(None, 1)))
+    return F.pmod(F.xxhash64(key), F.coalesce(of_null, of_named, F.lit(1)))
 
 
 def among(column: str, values: list) -> Column:

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark import schemas
-from gridspark.functions.parsing import row_hash
+from gridspark.functions.parsing import packed_hash, row_hash, unpacked_hash
 from gridspark.operators import capacity, load, plants, quality
-from gridspark.operators.rowsets import new_rows
+from gridspark.operators.rowsets import keep_first, new_rows
 from gridspark.session import materialise
 from gridspark.sources import layout
 from gridspark.sources.readers import VERIFIED, stored
@@ -18,6 +18,8 @@ REGISTRY_RESOURCE, FACT_RESOURCE = "aneel_mmgd", "mmgd_fato"
 PREFIX, PREFIX_CHARS, NO_HASH = "prefixo", 2, "-"
 # A lookup of few hashes skips row groups that lack them.
 BLOOM = {"parquet.bloom.filter.enabled#hash": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+# Hashes in hexadecimal take half the room.
+PACKED = {"compression": "zstd"}
 # Folders of plants and units, by hash.
 BUCKETS = 64
 
@@ -101,15 +103,27 @@ def append_load(records: DataFrame, path: str, created_at: str) -> None:
 def append_dispatch(rows: DataFrame, path: str) -> None:
     """Add the dispatch rows whose ``hash`` is not stored yet, partitioned by month.
 
-    A row's hash covers its day, so only the stored folders of the months that come in are compared.
+    A row's hash covers its day, so only the stored folders of the months that come in are
+    compared. That takes the hashes alone: a batch that is stored already shuffles no rows,
+    and new rows are shuffled once, by the month and slot that they are written by. ``rows``
+    are read again for each step and must come out the same.
     """
-    month = F.date_format("din_programacaodia", "yyyy-MM")
-    fresh = materialise(rows.withColumn("mes", month), "dispatch")
+    fresh = rows.withColumn("mes", F.date_format("din_programacaodia", "yyyy-MM")).withColumn("hash", packed_hash(F.col("hash")))
+    months = layout.folder_sizes(fresh, "mes")
     target = stored(rows.sparkSession, path, schemas.STORED_DISPATCH)
-    same_months = target.filter(layout.among("mes", layout.folders(fresh, "mes")))
+    same_months = target.filter(layout.among("mes", layout.literals(fresh, "mes", months)))
+    if not same_months.isEmpty():
+        known = same_months.select(packed_hash(F.col("hash")).alias("hash"))
+        new = materialise(fresh.select("hash").join(known, "hash", "left_anti").distinct(), "dispatch-new")
+        if new.isEmpty():
+            return
+        fresh = fresh.join(new.withColumnRenamed("hash", "new"), F.col("hash").eqNullSafe(F.col("new")), "left_semi")
+    # A slot of a month is one task's, and a file; equal hashes share it.
+    dealt = fresh.withColumn("slot", layout.slot("mes", "hash", months)).repartition("mes", "slot")
     # Equal hashes are equal rows but for the file, so the first file by name stays.
-    added = new_rows(same_months, fresh, "hash", ["fonte_arquivo"])
-    layout.clustered(added, "mes").write.mode("append").partitionBy("mes").parquet(path)
+    added = keep_first(dealt, "hash", ["fonte_arquivo"], ("mes", "slot"))
+    unpacked = added.withColumn("hash", unpacked_hash(F.col("hash"))).select(*rows.columns, "mes")
+    unpacked.write.mode("append").options(**PACKED).partitionBy("mes").parquet(path)
 
 
 def write_plants(incoming: DataFrame, path: str, order: list[str], buckets: int = BUCKETS) -> layout.Changes:

@@ -2,6 +2,7 @@ import datetime
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +187,34 @@ def test_rows_without_a_day_are_compared_too(spark, tmp_path):
     assert readers.stored(spark, out, schemas.STORED_DISPATCH).count() == 2
 
 
+def test_dispatch_stored_before_moves_hashes_only(spark, tmp_path, monkeypatch):
+    out, kept, real = str(tmp_path / "dispatch"), [], writers.materialise
+    monkeypatch.setattr(writers, "materialise", lambda rows, label: kept.append(rows) or real(rows, label))
+    texts = [("a" * 64), ("A" * 64), ("b" * 63), ("c" * 32), "", "é ", None]
+    rows = spark.createDataFrame(
+        [(datetime.date(2020, 1, 2), k % 7, texts[k % 7], f"{k // 7}.csv") for k in range(21)],
+        "din_programacaodia date, num_patamar int, hash string, fonte_arquivo string",
+    ).filter("hash IS NOT NULL OR fonte_arquivo = '0.csv'")
+    for batch in (rows.filter("num_patamar < 4"), rows, rows.filter("hash IS NOT NULL")):
+        writers.append_dispatch(batch, out)
+    stored = readers.stored(spark, out, schemas.STORED_DISPATCH).select("num_patamar", "hash", "fonte_arquivo")
+    assert sorted(map(tuple, stored.collect())) == [(k, text, "0.csv") for k, text in enumerate(texts)]
+    # Before, both whole batches were stored on the way.
+    assert [r.columns for r in kept] == [["hash"], ["hash"]]
+    codec = pq.ParquetFile(next((tmp_path / "dispatch").rglob("*.parquet"))).metadata.row_group(0).column(0).compression
+    assert codec == "ZSTD"
+
+
+def test_dispatch_of_a_large_month_is_cut_by_hash(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "SLOT_ROWS", 20)
+    out, rows = str(tmp_path / "dispatch"), dispatch_rows(spark, 0, 4100)
+    writers.append_dispatch(rows.unionByName(rows.withColumn("fonte_arquivo", F.lit("b.csv"))), out)
+    stored = readers.stored(spark, out, schemas.STORED_DISPATCH)
+    assert stored.count() == 4100 and stored.filter("fonte_arquivo <> 'a.csv'").isEmpty()
+    slots = layout.slot("mes", "hash", layout.folder_sizes(stored, "mes"))
+    assert stored.groupBy("mes").agg(F.count_distinct(slots).alias("n")).filter("n <> 5 AND n <> 6").isEmpty()
+
+
 def test_compaction_joins_small_files(spark, tmp_path):
     out, path = str(tmp_path / "dispatch"), tmp_path / "dispatch"
     for k in range(3):
