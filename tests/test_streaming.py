@@ -13,6 +13,7 @@ from gridspark.sources import writers
 from gridspark.streaming import measurements as stream
 from gridspark.streaming import registry as registry_stream
 from gridspark.streaming import settlement as settlement_stream
+from gridspark.streaming import state
 from gridspark.streaming import windows as window_stream
 
 
@@ -213,6 +214,18 @@ def test_fact_batches_read_no_earlier_folder(spark, tmp_path):
     assert got == [("", 9), ("", 19), ("", 29), ("", 39), ("h4", 4), ("h5", 5), ("h6", 6)]
 
 
+def test_fact_batches_save_what_they_changed(spark, tmp_path):
+    landing, fact, check = str(tmp_path / "raw"), str(tmp_path / "fact"), tmp_path / "c"
+    before = {name: spark.conf.get(name, None) for name in state.SETTINGS}
+    for first, last in ((0, 4), (4, 40)):
+        landing_part(spark, landing, first, last)
+        drain(registry_stream.start_fact_stream(spark, landing, fact, str(check)))
+    # Before, each batch saved the files of the store itself.
+    saved = {p.suffix for p in (check / "state").rglob("[0-9]*.*")}
+    assert ".changelog" in saved and ".zip" not in saved
+    assert {name: spark.conf.get(name, None) for name in state.SETTINGS} == before
+
+
 def test_the_fact_stream_reads_landed_folders(spark, tmp_path):
     landing, fact, check = str(tmp_path / "raw"), str(tmp_path / "fact"), str(tmp_path / "c")
     for day in (1, 2):
