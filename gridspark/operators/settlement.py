@@ -14,8 +14,11 @@ share the work:
   guess led to. A slice far into an exhausted credit mostly ends alike whatever
   the start, and one of a rich credit accepts all, so few passes suffice; a pass
   settles at least the first slice that was wrong. A chain has one step for a slice
-  of ``SLICE_ROWS`` or more requests, at most ``MOST_SLICES`` a credit; no task or
-  group holds such a credit whole, and a fold streams over blocks of requests.
+  of about ``SLICE_ROWS`` requests or more, at most about ``MOST_SLICES`` a credit; no
+  task or group holds such a credit whole, and a fold streams over blocks of requests.
+  Requests are dealt once, into the order of their credit, and stored in blocks. A pass
+  moves quantities only, and as the folds tell the balance before each block, the
+  outcomes are told where a block lies: requests are neither dealt nor joined again.
 
 Quantities are decimals with six places, so sums do not depend on their order.
 """
@@ -25,12 +28,14 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from decimal import Decimal, localcontext
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StructField, StructType
 
 from gridspark.operators.credits import TOKEN_SHARE
 from gridspark.session import materialise
@@ -50,6 +55,10 @@ MOST_SLICES = 100_000
 BLOCK_ROWS = 20_000
 CHUNK_ROWS = 1_000_000
 FOLD_BLOCK = 100
+# Blocks that are told their balance by a broadcast, at most; more are joined as Spark chooses.
+MOST_TOLD = 100_000
+# A task holds so many blocks of a file at once.
+STORED_BLOCKS = {"parquet.block.row.count.limit": "8"}
 QUANTITY = "decimal(28,6)"
 BALANCE = "decimal(38,6)"
 
@@ -120,38 +129,87 @@ def _folded(requests: DataFrame, credits: DataFrame, order: list[str]) -> DataFr
     )
 
 
-def _numbered(requests: DataFrame, rows: int, order: list[str]) -> DataFrame:
-    """Requests with their place ``n`` (from 1) among those of their credit (eager)."""
+# Columns of a block beside the requests': task that sorted it, place there, requests, their sum and quantities.
+CHUNK, PART, ROWS, ASKED, QUANTITIES, START = "__chunk", "__part", "__rows", "__asked", "__qs", "__start"
+BLOCK_KEY = ["credito_id", CHUNK, PART]
+
+
+def _stored_blocks(requests: DataFrame, rows: int, order: list[str], block_rows: int) -> DataFrame:
+    """Requests in the order of their credit, in blocks of ``block_rows`` or less (eager).
+
+    A column of a block is the list of its requests' values.
+    """
     cores = requests.sparkSession.sparkContext.defaultParallelism
     width = max(cores, math.ceil(rows / CHUNK_ROWS))
-    placed = materialise(
+    placed = (
         requests.repartitionByRange(width, "credito_id", *order)
         .sortWithinPartitions("credito_id", *order)
-        .withColumn("pos", F.monotonically_increasing_id())
-        .withColumn("chunk", F.shiftright("pos", 33)),
-        "settlement-rows",
-    )
-    # Within a range partition the rows of a credit follow each other.
-    earlier = Window.partitionBy("credito_id").orderBy("chunk").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    parts = placed.groupBy("credito_id", "chunk").agg(
-        F.count("*").alias("rows"), F.min("pos").alias("first")
-    )
-    base = parts.select(
-        "credito_id",
-        "chunk",
-        (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) + 1 - F.col("first")).alias("base"),
+        .withColumns({CHUNK: F.spark_partition_id(), QUANTITIES: F.col("quantidade_kwh").try_cast(QUANTITY)})
     )
-    return (
-        placed.join(base, ["credito_id", "chunk"])
-        .withColumn("n", F.col("pos") + F.col("base"))
-        .drop("pos", "base")
+    listed = [f for f in placed.schema if f.name not in ("credito_id", CHUNK)]
+    fields = [StructField(f.name, ArrayType(f.dataType)) for f in listed]
+    key = StructType().add("credito_id", "long").add(CHUNK, "integer").add(PART, "integer").add(ROWS, "integer").add(ASKED, BALANCE)
+    blocks = placed.mapInArrow(partial(_blocked, listed=[f.name for f in listed], block_rows=block_rows), StructType([*key, *fields]))
+    return materialise(blocks, "settlement-blocks", **STORED_BLOCKS)
+
+
+def _blocked(batches: Iterator[pa.RecordBatch], listed: list[str], block_rows: int) -> Iterator[pa.RecordBatch]:
+    """Sorted requests as blocks, each of one credit."""
+    held: list[pa.RecordBatch] = []
+    credit, rows, part = None, 0, 0
+
+    def block() -> pa.RecordBatch:
+        columns = {name: pa.concat_arrays([b.column(name) for b in held]) for name in listed}
+        valid = [q for q in _unscaled(columns[QUANTITIES]) if q is not None]
+        ends = pa.array([0, rows], pa.int32())
+        arrays = [
+            pa.array([credit], pa.int64()),
+            held[0].column(CHUNK).slice(0, 1),
+            pa.array([part], pa.int32()),
+            pa.array([rows], pa.int32()),
+            _money([sum(valid) if valid else None]),
+            *[pa.ListArray.from_arrays(ends, values) for values in columns.values()],
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=[*BLOCK_KEY, ROWS, ASKED, *columns])
+
+    for batch in batches:
+        credits = batch.column("credito_id").to_numpy()
+        bounds = [0, *(np.flatnonzero(credits[1:] != credits[:-1]) + 1).tolist(), len(credits)] if len(credits) else []
+        for begin, end in zip(bounds, bounds[1:]):
+            if held and credits[begin] != credit:
+                yield block()
+                held, rows, part = [], 0, part + 1
+            credit = int(credits[begin])
+            while begin < end:
+                taken = min(end - begin, block_rows - rows)
+                held.append(batch.slice(begin, taken))
+                begin, rows = begin + taken, rows + taken
+                if rows == block_rows:
+                    yield block()
+                    held, rows, part = [], 0, part + 1
+    if held:
+        yield block()
+
+
+def _in_slices(blocks: DataFrame, sizes: DataFrame, slice_rows: int, block_rows: int) -> DataFrame:
+    """Where each block lies: its slice, the place ``at`` in it and what its requests ask for (eager)."""
+    width = F.greatest(F.lit(slice_rows), F.ceil(F.col("n") / MOST_SLICES))
+    # Slices begin with a block.
+    widths = sizes.select("credito_id", (F.ceil(width / block_rows) * block_rows).alias("width"))
+    earlier = Window.partitionBy("credito_id").orderBy(CHUNK, PART).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(ROWS).over(earlier), F.lit(0))
+    inside = Window.partitionBy("credito_id", "slice").orderBy(CHUNK, PART)
+    return materialise(
+        blocks.select(*BLOCK_KEY, ROWS, F.col(ASKED).alias("asked"))
+        .withColumn("before", before)
+        .join(widths, "credito_id")
+        .withColumn("slice", F.expr("before div width"))
+        .select(*BLOCK_KEY, "slice", "asked", (F.row_number().over(inside) - 1).alias("at")),
+        "settlement-slices",
     )
 
 
-FOLDED = "credito_id bigint, slice bigint, start decimal(38,6), net decimal(38,6), low decimal(38,6), high decimal(38,6)"
-FLAGGED = "credito_id bigint, block bigint, flags array<boolean>"
+FOLDED = "credito_id bigint, slice bigint, start decimal(38,6), net decimal(38,6), low decimal(38,6), high decimal(38,6), taken array<decimal(38,6)>"
 STARTS = "credito_id bigint, slice bigint, start decimal(38,6), again boolean"
 MONEY = pa.decimal128(38, 6)
 
@@ -207,47 +265,42 @@ class _Slice:
         return self.start, self.start - self.left, low, high
 
 
-def _blocks_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(credit, slice, block, start, quantities) of sorted blocks."""
-    for batch in batches:
-        starts = _unscaled(batch.column("start"))
-        lists = batch.column("qs")
-        values, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy())
-        keys = zip(*(batch.column(c).to_pylist() for c in ("credito_id", "slice", "block")))
-        for k, key in enumerate(keys):
-            first = int(ends[k - 1]) if k else 0
-            yield *key, starts[k], _unscaled(values.slice(first, int(ends[k]) - first))
-
-
 def _fold_bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Net amount and interval of each slice."""
-    key, run, done = None, None, []
+    """Net amount and interval of each slice, from its sorted blocks, and the net amounts taken before each block."""
+    key, run, taken, done = None, None, [], []
 
     def batch_of(done: list) -> pa.RecordBatch:
-        credit, number, start, net, low, high = zip(*done)
-        arrays = [pa.array(credit, pa.int64()), pa.array(number, pa.int64()), *map(_money, (start, net, low, high))]
+        credit, number, start, net, low, high, taken = zip(*done)
+        ends = pa.array(np.cumsum([0, *map(len, taken)]), pa.int32())
+        lists = pa.ListArray.from_arrays(ends, _money([x for each in taken for x in each]))
+        arrays = [pa.array(credit, pa.int64()), pa.array(number, pa.int64()), *map(_money, (start, net, low, high)), lists]
         return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in FOLDED.split(", ")])
 
-    for credit, number, _, start, quantities in _blocks_in_order(batches):
-        if (credit, number) != key:
-            if run:
-                done.append((*key, *run.bounds()))
-            key, run = (credit, number), _Slice(start)
-        run.take(quantities)
+    for batch in batches:
+        starts = _unscaled(batch.column("start"))
+        for k in range(batch.num_rows):
+            at = tuple(batch.column(c)[k].as_py() for c in ("credito_id", "slice"))
+            if at != key:
+                if run:
+                    done.append((*key, *run.bounds(), taken))
+                key, run, taken = at, _Slice(starts[k]), []
+            taken.append(run.start - run.left)
+            run.take(_unscaled(batch.column(QUANTITIES).slice(k, 1).flatten()))
     if run:
-        done.append((*key, *run.bounds()))
+        done.append((*key, *run.bounds(), taken))
         yield batch_of(done)
 
 
-def _fold_flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Outcomes of each block, slices starting from their true balance."""
-    key, run = None, None
-    for credit, number, block, start, quantities in _blocks_in_order(batches):
-        if (credit, number) != key:
-            key, run = (credit, number), _Slice(start)
-        flags = pa.array([run.take(quantities)], pa.list_(pa.bool_()))
-        arrays = [pa.array([credit], pa.int64()), pa.array([block], pa.int64()), flags]
-        yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in FLAGGED.split(", ")])
+def _outcomes(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The requests of each block, which starts from its true balance, with their outcomes."""
+    for batch in batches:
+        starts = _unscaled(batch.column(START))
+        for k in range(batch.num_rows):
+            block = batch.slice(k, 1)
+            flags = _Slice(starts[k]).take(_unscaled(block.column(QUANTITIES).flatten()))
+            credit = pa.array(np.full(len(flags), block.column("credito_id")[0].as_py(), dtype=np.int64))
+            arrays = [credit if name == "credito_id" else block.column(name).flatten() for name in names]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(flags, pa.bool_())], names=[*names, "aceita"])
 
 
 def _chain(folds: pd.DataFrame) -> pd.DataFrame:
@@ -269,19 +322,19 @@ def _fold_slices(blocks: DataFrame, starts: DataFrame, fold, schema: str) -> Dat
     return (
         blocks.join(starts.select("credito_id", "slice", "start"), ["credito_id", "slice"])
         .repartition("credito_id", "slice")
-        .sortWithinPartitions("credito_id", "slice", "block")
-        .select("credito_id", "slice", "block", "start", "qs")
+        .sortWithinPartitions("credito_id", "slice", "at")
+        .select("credito_id", "slice", "start", QUANTITIES)
         .mapInArrow(fold, schema)
     )
 
 
-def _guesses(blocks: DataFrame, opening: DataFrame) -> DataFrame:
+def _guesses(places: DataFrame, opening: DataFrame) -> DataFrame:
     """The balance each slice would start with if all before it were accepted, but no less than nothing."""
     before = Window.partitionBy("credito_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     asked = F.coalesce(F.sum("asked").over(before), F.lit(0)).cast(BALANCE)
     guess = F.when(F.col("slice") == 0, F.col("saldo")).otherwise(F.greatest(F.col("saldo") - asked, F.lit(0)))
     return (
-        blocks.groupBy("credito_id", "slice")
+        places.groupBy("credito_id", "slice")
         .agg(F.sum("asked").alias("asked"))
         .join(opening, "credito_id")
         .select("credito_id", "slice", guess.cast(BALANCE).alias("start"))
@@ -299,38 +352,38 @@ def _in_passes(
 ) -> DataFrame:
     """Settlement of credits with many requests, slice by slice (eager)."""
     opening = credits.select(F.col("id").alias("credito_id"), F.col("saldo_kwh").cast(BALANCE).alias("saldo"))
-    numbered = _numbered(requests, rows, order)
-    width = F.greatest(F.lit(slice_rows), F.ceil(F.col("rows") / MOST_SLICES))
-    # Whole blocks to a slice.
-    slices = sizes.withColumnRenamed("n", "rows").select("credito_id", F.ceil(width / block_rows).alias("width"))
-    block = F.expr(f"(n - 1) div {block_rows}")
-    blocks = materialise(
-        numbered.select("credito_id", "n", "q", block.alias("block"))
-        .groupBy("credito_id", "block")
-        .agg(F.array_sort(F.collect_list(F.struct("n", "q"))).alias("listed"), F.sum("q").alias("asked"))
-        .join(slices, "credito_id")
-        .select("credito_id", F.expr("block div width").alias("slice"), "block", "asked", F.col("listed.q").alias("qs")),
-        "settlement-blocks",
-    )
-    folds = materialise(_fold_slices(blocks, _guesses(blocks, opening), _fold_bounds, FOLDED), "settlement-folds")
+    blocks = _stored_blocks(requests, rows, order, block_rows)
+    places = _in_slices(blocks, sizes, slice_rows, block_rows)
+    few = places.count() <= MOST_TOLD
+
+    def told(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if few else table
+
+    quantities = blocks.select(*BLOCK_KEY, QUANTITIES).join(told(places.drop("asked")), BLOCK_KEY)
+    guesses = materialise(_guesses(places, opening), "settlement-guesses")
+    folds = materialise(_fold_slices(quantities, told(guesses), _fold_bounds, FOLDED), "settlement-folds")
     while True:
-        starts = materialise(folds.groupBy("credito_id").applyInPandas(_chain, STARTS), "settlement-starts")
+        starts = materialise(
+            folds.drop("taken").groupBy("credito_id").applyInPandas(_chain, STARTS), "settlement-starts"
+        )
         again = starts.filter("again")
         if again.isEmpty():
             break
         held = folds.join(again.select("credito_id", "slice"), ["credito_id", "slice"], "left_anti")
         folds = materialise(
-            held.unionByName(_fold_slices(blocks, again, _fold_bounds, FOLDED)), "settlement-folds"
+            held.unionByName(_fold_slices(quantities, told(again), _fold_bounds, FOLDED)), "settlement-folds"
         )
-    outcomes = _fold_slices(blocks, starts, _fold_flags, FLAGGED).select(
-        "credito_id", "block", F.posexplode("flags").alias("place", "aceita")
-    )
-    n = F.col("block") * block_rows + F.col("place") + 1
-    return (
-        numbered.join(outcomes.select("credito_id", n.alias("n"), "aceita"), ["credito_id", "n"])
-        .join(opening, "credito_id")
-        .select(*requests.columns, "saldo", "aceita")
+    taken = folds.select("credito_id", "slice", F.posexplode("taken").alias("at", "taken"))
+    balances = materialise(
+        places.join(taken, ["credito_id", "slice", "at"])
+        .join(starts.select("credito_id", "slice", "start"), ["credito_id", "slice"])
+        .select(*BLOCK_KEY, (F.col("start") - F.col("taken")).cast(BALANCE).alias(START)),
+        "settlement-balances",
     )
+    schema = StructType([*requests.schema, StructField("aceita", BooleanType())])
+    decided = blocks.join(told(balances), BLOCK_KEY).mapInArrow(partial(_outcomes, names=requests.columns), schema)
+    # Whatever is left, these credits are known.
+    return _prepared(decided).withColumn("saldo", F.lit(0).cast(BALANCE))
 
 
 def settle(
@@ -347,26 +400,21 @@ def settle(
     the requests per credit first (eager) to choose the way; a sale of an
     expired credit or of a non-positive quantity goes through but is flagged.
     """
-    prepared = _prepared(requests)
-    known = credits.select(F.col("id").alias("credito_id"))
+    # A credit without a balance is as good as none.
+    known = credits.filter(F.col("saldo_kwh").isNotNull()).select(F.col("id").alias("credito_id"))
+    counts = requests.groupBy("credito_id").agg(F.count("*").alias("n")).filter(F.col("n") > fold_limit)
+    many = materialise(counts.join(known, "credito_id", "left_semi"), "settlement-ids")
+    size = many.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    # Requests of credits with many are taken out first, so that only the others meet all credits.
+    rest = _prepared(requests if size[0] == 0 else requests.join(many, "credito_id", "left_anti"))
     # Requests of no known credit are refused whatever the order: they join no fold or pass.
-    refused = prepared.join(known, "credito_id", "left_anti").withColumns(
+    refused = rest.join(known, "credito_id", "left_anti").withColumns(
         {"saldo": F.lit(None).cast(BALANCE), "aceita": F.lit(False)}
     )
-    wanted = prepared.join(known, "credito_id", "left_semi")
-    counts = wanted.groupBy("credito_id").agg(F.count("*").alias("n")).filter(F.col("n") > fold_limit)
-    size = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if size[0] == 0:
-        decided = _folded(wanted, credits, order)
-    else:
-        ids = materialise(counts, "settlement-ids")
-        decided = _folded(
-            wanted.join(ids, "credito_id", "left_anti"), credits, order
-        ).unionByName(
-            _in_passes(
-                wanted.join(ids, "credito_id", "left_semi"), credits, ids, size[1], order, slice_rows, block_rows
-            )
-        )
+    decided = _folded(rest.join(known, "credito_id", "left_semi"), credits, order)
+    if size[0]:
+        mine = requests.join(many, "credito_id", "left_semi")
+        decided = decided.unionByName(_in_passes(mine, credits, many, size[1], order, slice_rows, block_rows))
     decided = decided.unionByName(refused, allowMissingColumns=True)
     reason = (
         F.when(F.col("aceita"), SOLD)

@@ -149,3 +149,31 @@ def test_requests_without_a_known_credit_join_no_group(spark):
     assert len(got) == 51
     assert {r["status"] for r in got if r["id"] < 100} == {settlement.UNKNOWN_CREDIT}
     assert [r["status"] for r in got if r["id"] == 100] == [settlement.SOLD]
+
+
+def test_hot_requests_are_dealt_once(spark, monkeypatch):
+    """Into blocks; a pass moves quantities, and outcomes are told where the blocks lie."""
+    whole, real = [], settlement.materialise
+
+    def kept(df, label, **options):
+        if "valor_rs" in df.columns:
+            whole.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, label, **options)
+
+    monkeypatch.setattr(settlement, "materialise", kept)
+    requests = some_requests(random.Random(5), [1, 2], 4000, lambda r: float(r.randrange(-5, 30)))
+    table = spark.createDataFrame([(1, 900.0), (2, 300.0)], "id bigint, saldo_kwh double")
+    asked = spark.createDataFrame(requests, SALES)
+    settled = settlement.settle(table, asked, fold_limit=100, slice_rows=500, block_rows=100)
+    assert [label for label, _ in whole] == ["settlement-blocks"]
+    assert whole[0][1].count("rangepartitioning") == 1
+    assert settled.count() == 4000
+
+
+def test_hot_credit_without_a_balance(spark):
+    table = spark.createDataFrame([(1, None), (2, 5.0)], "id bigint, saldo_kwh double")
+    requests = some_requests(random.Random(2), [1, 2], 60, lambda r: 1.0)
+    rows = settlement.settle(table, spark.createDataFrame(requests, SALES), fold_limit=5).collect()
+    assert len(rows) == 60
+    assert {r["status"] for r in rows if r["credito_id"] == 1} == {settlement.UNKNOWN_CREDIT}
+    assert sum(r["status"] == settlement.SOLD for r in rows) == 5
