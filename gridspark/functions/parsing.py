@@ -73,7 +73,8 @@ def packed_hash(text: Column) -> Column:
 
     With its tail of 33 blanks another text is longer than 32 bytes, so different texts stay different.
     """
-    return F.when(text.rlike("^[0-9a-f]{64}$"), F.unhex(text)).otherwise(F.encode(F.concat(text, F.lit(" " * 33)), "utf-8"))
+    hexadecimal = (F.octet_length(text) == 64) & (F.lower(text) == text)
+    return F.coalesce(F.when(hexadecimal, F.unhex(text)), F.encode(F.concat(text, F.lit(" " * 33)), "utf-8"))
 
 
 def unpacked_hash(packed: Column) -> Column:

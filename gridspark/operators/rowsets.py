@@ -29,10 +29,11 @@ def keep_first(df: DataFrame, key: str, order: list[str], within: tuple[str, ...
     """First row per key. NULL keys never collide, so all their rows stay.
 
     ``order`` must identify a row; it also spreads the NULL-key rows. Rows that are
-    dealt already by the columns ``within``, which equal keys share, are not shuffled again.
+    dealt already by the columns ``within``, which equal keys share, are not shuffled again, and
+    come out in the order of these columns.
     """
     alone = [F.when(F.col(key).isNull(), F.col(c)) for c in order]
-    return _one_per_key(df, [F.col(key), *alone, *map(F.col, within)], [F.col(c).asc() for c in order])
+    return _one_per_key(df, [*map(F.col, within), F.col(key), *alone], [F.col(c).asc() for c in order])
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

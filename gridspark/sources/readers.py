@@ -144,21 +144,20 @@ def _headers(lines: DataFrame) -> DataFrame:
     )
 
 
-def _by_header(header: str, fields: list[list[str]]) -> Column:
-    """A line of a file with this header: typed fields by name, row hash, and what does not parse."""
-    names = [name.strip().strip('"') for name in header.split(";")]
-    text = ", ".join(f"`{name}` string" for name in [*names, rejects.CORRUPT])
-    parsed = F.from_csv("value", F.lit(text), {"sep": ";", **rejects.OPTIONS})
+def _names(header: str) -> list[str]:
+    return [name.strip().strip('"') for name in header.split(";")]
 
-    def typed(row: Column) -> Column:
-        body = F.to_json(F.struct(*[row[n].alias(n) for n in sorted(names)]), {"ignoreNullFields": "false"})
-        cells = [
-            (row[name] if name in names else F.lit(None)).try_cast(kind).alias(name) for name, kind in fields
-        ]
-        return F.struct(*cells, F.sha2(body, 256).alias("hash"), row[rejects.CORRUPT].alias(rejects.CORRUPT))
 
-    # As an array it is parsed once a line, however many fields are taken.
-    return F.transform(F.array(parsed), typed)[0]
+def _by_header(header: str) -> Column:
+    """A line of a file with this header as texts, NULL for any other line."""
+    text = ", ".join(f"`{name}` string" for name in [*_names(header), rejects.CORRUPT])
+    return F.when(F.col("header") == header, F.from_csv("value", F.lit(text), {"sep": ";", **rejects.OPTIONS}))
+
+
+def _json_hash(row: Column, header: str) -> Column:
+    """The row hash over all columns of a file with this header."""
+    body = F.to_json(F.struct(*[row[n].alias(n) for n in sorted(_names(header))]), {"ignoreNullFields": "false"})
+    return F.when(F.col("header") == header, F.sha2(body, 256))
 
 
 def dispatch_files(spark: SparkSession, path: str, checked: bool = False) -> DataFrame:
@@ -183,16 +182,32 @@ def dispatch_files(spark: SparkSession, path: str, checked: bool = False) -> Dat
             none += "".join(f", `{c}` string" for c in (rejects.REASON, rejects.FILE, rejects.RECORD))
         return spark.createDataFrame([], none)
     body = lines.join(headers, "file").filter(
-        (F.trim("value") != "") & (F.regexp_replace("value", "^\ufeff", "") != F.col("header"))
+        (F.trim("value") != "") & ~F.col("value").isin(F.col("header"), F.concat(F.lit("\ufeff"), F.col("header")))
+    )
+    # A generator parses each line once, however many fields are taken; a field or hash that nobody takes is not made.
+    kinds = {f"linha_{k}": header for k, header in enumerate(kinds)}
+    parsed = body.select(
+        "value", "file", "fonte_arquivo", "header", F.inline(F.array(F.struct(*[_by_header(h).alias(k) for k, h in kinds.items()])))
+    )
+
+    def of_any(name: str) -> Column:
+        held = [F.col(k)[name] for k, h in kinds.items() if name in (*_names(h), rejects.CORRUPT)]
+        return F.coalesce(*held, F.lit(None).cast("string"))
+
+    rows = parsed.select(
+        *[of_any(name).try_cast(kind).alias(name) for name, kind in fields],
+        F.coalesce(*[_json_hash(F.col(k), h) for k, h in kinds.items()]).alias("hash"),
+        "fonte_arquivo",
+        of_any(rejects.CORRUPT).alias(rejects.CORRUPT),
+        "file",
+        "value",
     )
-    row = F.coalesce(*[F.when(F.col("header") == h, _by_header(h, fields)) for h in kinds])
-    parsed = body.select("value", "file", "fonte_arquivo", F.inline(F.array(row)))
-    rows = parsed.select(*[name for name, _ in fields], "hash", "fonte_arquivo")
+    names = [*[name for name, _ in fields], "hash", "fonte_arquivo"]
     if not checked:
-        return rows
+        return rows.select(names)
     bad = F.col(rejects.CORRUPT).isNotNull()
-    return parsed.select(
-        *rows.columns,
+    return rows.select(
+        *names,
         F.when(bad, rejects.MALFORMED).alias(rejects.REASON),
         F.col("file").alias(rejects.FILE),
         F.when(bad, F.col("value")).alias(rejects.RECORD),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridspark import schemas
 from gridspark.functions import parsing
-from gridspark.operators import capacity, growth, load, quality, registry
+from gridspark.operators import capacity, growth, load, quality, registry, rowsets
 from gridspark.plans import catalog, inputs
 from gridspark.sources import layout, readers, writers
 
@@ -341,3 +341,21 @@ def test_cells_serve_every_level(spark, sf_dir, tmp_path):
         one = capacity.treemap(spark.read.parquet(out), level).select(*keys, "empreendimentos")
         same = levels.filter(F.col("nivel") == level).select(*keys, "empreendimentos")
         assert sorted(one.collect()) == sorted(same.collect())
+
+
+def test_packed_hashes_of_odd_texts(spark):
+    plain = "0123456789abcdef" * 4
+    texts = [plain, plain + "\n", plain.upper(), plain[:-1] + "g", plain[:-2] + "é", plain[:-1], "", " ", None]
+    packed = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parsing.packed_hash(F.col("t")).alias("p"))
+    rows = packed.select("t", "p", parsing.unpacked_hash(F.col("p")).alias("u")).collect()
+    assert all(r["t"] == r["u"] for r in rows)
+    assert len({r["p"] and bytes(r["p"]) for r in rows}) == len(texts) and [len(r["p"]) for r in rows if r["t"] == plain] == [32]
+
+
+def test_first_rows_of_dealt_keys_come_in_the_order_of_their_folders(spark):
+    dealt = spark.range(1000).selectExpr("id % 3 AS mes", "id % 2 AS slot", "id % 7 AS hash", "id AS f").repartition("mes", "slot")
+    first = rowsets.keep_first(dealt, "hash", ["f"], ("mes", "slot")).sortWithinPartitions("mes")
+    plan = first._jdf.queryExecution().executedPlan()
+    assert first.count() == 42
+    assert first.select("mes")._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert plan.toString().count("Sort [") == 1

@@ -124,3 +124,16 @@ def test_headers_are_the_first_line_of_each_file(spark, tmp_path):
     assert found == {f"f{n:02}.csv": f"head{n % 3};x" for n in range(40)}
     plan = headers._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "Exchange" not in plan
+
+
+def test_dispatch_lines_are_parsed_once_for_what_is_taken(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("din_programacaodia;num_patamar\n2025-05-01;1\n2025-06-01;x\n")
+    (tmp_path / "b.csv").write_text("﻿num_patamar;din_programacaodia\n2;2025-05-02\n")
+    rows = readers.dispatch_files(spark, str(tmp_path))
+    days = rows.filter("din_programacaodia < DATE'2025-06-01'").select("din_programacaodia")
+    plan = days._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in plan and "sha2" not in plan
+    assert plan.count("from_csv") == 2 and "lambda" not in plan
+    assert sorted(str(r[0]) for r in days.collect()) == ["2025-05-01", "2025-05-02"]
+    assert [r["num_patamar"] for r in rows.orderBy("din_programacaodia").collect()] == [1, 2, None]
+    assert len({r["hash"] for r in rows.collect()}) == 3
